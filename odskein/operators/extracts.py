@@ -67,7 +67,7 @@ def country_flows(
     period = Period.of(wef, til)
     counted = (
         civil_flights(flights, aircraft_types, period, **exclusions)
-        .groupBy(_year("lobt").alias("year"), "sk_adep_id", "sk_ades_id")
+        .groupBy(F.year("lobt").alias("year"), "sk_adep_id", "sk_ades_id")
         .agg(F.count("flt_uid").alias("n"))
     )
     known = airports
@@ -88,7 +88,7 @@ def country_flows(
         .join(arrival, "sk_ades_id")
         .groupBy(*keys, *(["hidden_code"] if split_key else []))
         .agg(F.sum("n").alias("nb_of_flight"))
-        .select("year", "nb_of_flight", "dep_iso_country_code", "des_iso_country_code")
+        .select(_text("year"), "nb_of_flight", "dep_iso_country_code", "des_iso_country_code")
     )
 
 
@@ -116,14 +116,14 @@ def airport_flows(
         # the dimension is looked up. Instants are nearly as many as the flights themselves, so
         # that count would only add a shuffle and is left to the final grouping.
         facts = (
-            civil.groupBy(_year("lobt").alias("time_key"), "sk_adep_id", "sk_ades_id")
+            civil.groupBy(F.year("lobt").alias("time_key"), "sk_adep_id", "sk_ades_id")
             .agg(F.count("flt_uid").alias("n"))
         )
-        year = F.col("time_key")
+        year = _text("time_key")
         total = F.sum("n")
     elif grain == "instant":
         facts = civil.withColumnRenamed("lobt", "time_key")
-        year = _year("time_key")
+        year = F.year("time_key").cast("string")
         total = F.count("flt_uid")
     else:
         raise ValueError(f"grain is 'instant' or 'year', not {grain!r}")
@@ -239,6 +239,6 @@ def _airport_end(current: DataFrame, end: str) -> DataFrame:
     )
 
 
-def _year(column: str) -> Column:
-    """The year as text, the type the source database returns it in."""
-    return F.year(column).cast("string")
+def _text(year: str) -> Column:
+    """Years are counted as numbers and shown as text, the type the source returns."""
+    return F.col(year).cast("string").alias(year)

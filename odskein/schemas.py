@@ -11,43 +11,44 @@ TYPES = {
     "double": T.DoubleType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
 }
 
 
-def _schema(columns: str) -> T.StructType:
+def schema_of(columns: str) -> T.StructType:
     """Columns as ``name type, name type``; unlike DDL parsing this needs no running session."""
     pairs = [column.split() for column in columns.split(",")]
     return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
-FLIGHTS = _schema(
+FLIGHTS = schema_of(
     "flt_uid string, lobt timestamp, sk_adep_id bigint, sk_ades_id bigint, "
     "aircraft_type_icao_id string, icao_flt_type string"
 )
 
-AIRPORTS = _schema(
+AIRPORTS = schema_of(
     "sk_ap_id bigint, icao_ap_code string, icao_ap_name string, iata_ap_code string, "
     "iata_ap_name string, ec_iso_ct_code string, iso_ct_code string, iso_ct_name string, "
     "longitude double, latitude double, valid_from timestamp, valid_to timestamp, "
     "cfmu_ap_code string, cfmu_ap_name string"
 )
 
-AIRCRAFT_TYPES = _schema("icao_type_code string, icao_desc string")
+AIRCRAFT_TYPES = schema_of("icao_type_code string, icao_desc string")
 
-OPERATIONAL_FLIGHTS = _schema(
+OPERATIONAL_FLIGHTS = schema_of(
     "flt_uid string, flt_lobt timestamp, flt_a_asp_prof_time_entry timestamp, "
     "flt_dep_ad string, flt_ctfm_ades string, flt_state string"
 )
 
-COUNTRY_FLOWS = _schema(
+COUNTRY_FLOWS = schema_of(
     "year string, nb_of_flight bigint, dep_iso_country_code string, des_iso_country_code string"
 )
 
-RAW_FLOWS_CSV = _schema(
+RAW_FLOWS_CSV = schema_of(
     "YEAR int, NB_OF_FLIGHT int, DEP_ISO_COUNTRY_CODE string, DES_ISO_COUNTRY_CODE string"
 )
 
-PREPARED_FLOWS = _schema(
+PREPARED_FLOWS = schema_of(
     "year int, flights bigint, origin_iso string, origin_name string, origin_region_name string, "
     "destination_iso string, destination_name string, destination_region_name string"
 )
@@ -62,7 +63,7 @@ FLOW_TEXT_COLUMNS = [
     "destination_region_name",
 ]
 
-DAILY_AIRPORT_FLOWS = _schema(
+DAILY_AIRPORT_FLOWS = schema_of(
     "entry_day date, adep string, ades string, adep_ades_pair_code string, "
     "airport_pair_code string, flight bigint, adep_name string, ades_name string, "
     "adep_country_iso_name string, adep_country_iso_code string, ades_country_iso_name string, "
@@ -70,23 +71,23 @@ DAILY_AIRPORT_FLOWS = _schema(
     "ades_latitude double, ades_longitude double"
 )
 
-COUNTRY_PAIRS = _schema(
+COUNTRY_PAIRS = schema_of(
     "entry_day date, airport_country_pair string, count bigint, source string, target string, "
     "source_iso2c string, target_iso2c string"
 )
 
-CLASSIFICATION = _schema(
+CLASSIFICATION = schema_of(
     "iso2c string, country_name string, un_region string, home_region string, sub_region string"
 )
 
-COUNTRIES = _schema("iso string, name string, show int")
-REGIONS = _schema("name string")
-YEARS = _schema("year int")
+COUNTRIES = schema_of("iso string, name string, show int")
+REGIONS = schema_of("name string")
+YEARS = schema_of("year int")
 
-CENTROIDS = _schema(
+CENTROIDS = schema_of(
     "name string, iso_a3 string, iso_a2 string, longitude double, latitude double"
 )
-OVERRIDES = _schema("iso_a2 string, name string, latitude double, longitude double")
-LOCATIONS = _schema("id int, name string, iso_a2 string, lat double, lon double")
-TIMELINE = _schema("origin int, dest int, count bigint, time string")
-PROPERTIES = _schema("property string, value string")
+OVERRIDES = schema_of("iso_a2 string, name string, latitude double, longitude double")
+LOCATIONS = schema_of("id int, name string, iso_a2 string, lat double, lon double")
+TIMELINE = schema_of("origin int, dest int, count bigint, time string")
+PROPERTIES = schema_of("property string, value string")

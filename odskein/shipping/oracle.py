@@ -123,11 +123,6 @@ FLOW_NAME = """CASE WHEN origin_region_name < destination_region_name
        THEN destination_region_name || '-' || origin_region_name END"""
 
 VERSIONS = f"""{NATIONS},
-spans AS (
-  SELECT o_custkey, min(o_orderdate) AS valid_from, max(o_orderdate) AS valid_to
-  FROM orders GROUP BY o_custkey
-),
-customers AS (SELECT * FROM customer JOIN spans ON o_custkey = c_custkey),
 numbered AS (
   SELECT *, 'C' || lpad(CAST(n_nationkey // 2 AS VARCHAR), 2, '0') AS country FROM nations
 ),
@@ -136,8 +131,9 @@ versions AS (
          CASE WHEN substr(n_name, 2) IN ('WI', 'WR') THEN 'INDONESIA'
               WHEN n_name = 'XSPR' THEN 'CUBA'
               ELSE r_name || '-D''ARC (' || country || ')' END AS country_name,
-         country, n_nationkey * 3.0 - 35 AS lat, n_nationkey * 10.0 - 120 AS lon, valid_to
-  FROM customers JOIN numbered ON n_nationkey = c_nationkey
+         country, n_nationkey * 3.0 - 35 AS lat, n_nationkey * 10.0 - 120 AS lon,
+         DATE '2000-01-01' + CAST(floor(c_acctbal) AS INTEGER) AS valid_to
+  FROM customer JOIN numbered ON n_nationkey = c_nationkey
 ),
 latest AS (
   SELECT DISTINCT code, ap_name, country_name, country,
@@ -245,15 +241,15 @@ nodes AS (
   FROM (SELECT a AS name FROM edges UNION SELECT b FROM edges)
 )"""
 
-POINTS = f"""{VERSIONS},
+POINTS = """
 points AS (
-  SELECT c_name AS icao, lower(c_name) AS name, substr(c_mktsegment, 1, 3) AS iata_code,
+  SELECT c_custkey, c_name AS icao, lower(c_name) AS name, substr(c_mktsegment, 1, 3) AS iata_code,
          c_mktsegment AS iata_name,
          CAST(nullif((c_custkey * 7) % 361 - 180, 0) AS DOUBLE) AS longitude,
          CAST((c_custkey * 13) % 181 - 90 AS DOUBLE) AS latitude,
          CAST(c_nationkey AS VARCHAR) AS iso_code,
-         'nation ' || c_nationkey AS iso_ct_name, valid_from, valid_to
-  FROM customers
+         'nation ' || c_nationkey AS iso_ct_name
+  FROM customer
 )"""
 
 TWO_YEAR_CIVIL = civil(*TWO_YEARS)
@@ -287,8 +283,14 @@ SELECT year, CAST(count(l_orderkey) AS INTEGER) AS nb_of_flight, adep,
        CASE ades WHEN 'NATION_11' THEN '##' ELSE des_region END AS des_iso_country_code
 FROM civil GROUP BY ALL""",
     "airports_valid": f"""
-WITH {POINTS}
-SELECT * FROM points
+WITH {POINTS},
+spans AS (
+  SELECT o_custkey, min(o_orderdate) AS valid_from, max(o_orderdate) AS valid_to
+  FROM orders GROUP BY o_custkey
+)
+SELECT icao, name, iata_code, iata_name, longitude, latitude, iso_code, iso_ct_name,
+       valid_from, valid_to
+FROM points JOIN spans ON o_custkey = c_custkey
 WHERE valid_from <= TIMESTAMP '1996-01-01' AND valid_to > TIMESTAMP '1998-01-01'""",
     "daily_airport_flows": f"WITH {daily(*ALL_TIME)} SELECT * FROM daily",
     "daily_airport_flows_period": f"""
@@ -435,8 +437,7 @@ FROM yearly WHERE adep <> ades""",
     "airport_points": f"""
 WITH {POINTS}
 SELECT icao AS icao_ap_code, name AS icao_ap_name, iata_code AS iata_ap_code,
-       iata_name AS iata_ap_name, longitude, latitude, iso_code AS iso_ct_code, iso_ct_name,
-       valid_from, valid_to
+       iata_name AS iata_ap_name, longitude, latitude, iso_code AS iso_ct_code, iso_ct_name
 FROM points
 WHERE longitude BETWEEN -25 AND 45 AND latitude BETWEEN 29 AND 75""",
     "pair_points": f"""
@@ -445,7 +446,7 @@ grid AS (
   SELECT n_name AS icao, CAST(n_nationkey * 10 - 120 AS DOUBLE) AS lon,
          CAST(n_nationkey * 3 - 35 AS DOUBLE) AS lat
   FROM nation WHERE n_name <> 'NATION_24'
-    AND n_nationkey IN (SELECT c_nationkey FROM customer JOIN orders ON o_custkey = c_custkey)
+    AND n_nationkey IN (SELECT c_nationkey FROM customer)
 )
 SELECT year, adep, ades, n AS nb_of_flight, p.lon AS adep_longitude, p.lat AS adep_latitude,
        q.lon AS ades_longitude, q.lat AS ades_latitude

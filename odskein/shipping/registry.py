@@ -84,7 +84,7 @@ def airport_flows_year(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def airports_valid(spark: SparkSession, folder: str) -> DataFrame:
-    return extracts.airports_valid(roles.customer_airports(spark, folder), *roles.TWO_YEARS)
+    return extracts.airports_valid(roles.dated_customer_airports(spark, folder), *roles.TWO_YEARS)
 
 
 @query
@@ -326,7 +326,8 @@ def departure_share(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def airport_points(spark: SparkSession, folder: str) -> DataFrame:
-    return yearly.airport_points(roles.customer_airports(spark, folder), yearly.EUROPE)
+    airports = roles.customer_airports(spark, folder).drop("c_custkey")
+    return yearly.airport_points(airports, yearly.EUROPE)
 
 
 @query

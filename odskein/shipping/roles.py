@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from odskein.operators.extracts import country_flows
 from odskein.operators.recode import prepare_columns
 from odskein.operators.regions import with_region
+from odskein.schemas import schema_of
 from odskein.session import use_utc
 from odskein.sources.tables import read_files
 
@@ -34,8 +35,25 @@ LATE_NAMES = {"NATION_7": "Antilles"}
 WIDE_REGIONS = {"ASIA": "EAST", "MIDDLE EAST": "EAST"}
 
 
+# The schemas are given, so that no query reads file footers before it starts.
+_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_files(use_utc(spark), f"{folder}/{name}.parquet")
+    return read_files(use_utc(spark), f"{folder}/{name}.parquet", schema_of(_TABLES[name]))
 
 
 def shipments(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,19 +147,10 @@ def national_airports(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def customer_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers with orders, valid from their first order to their last."""
-    spans = (
-        table(spark, folder, "orders")
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.min("o_orderdate").alias("valid_from"), F.max("o_orderdate").alias("valid_to"))
-    )
-    return table(spark, folder, "customer").join(spans, "c_custkey")
-
-
 def customer_airports(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers as airports, with made-up coordinates and a validity of their own."""
-    return customer_versions(spark, folder).select(
+    """Customers as airports, with made-up coordinates."""
+    return table(spark, folder, "customer").select(
+        "c_custkey",
         F.col("c_name").alias("icao_ap_code"),
         F.lower("c_name").alias("icao_ap_name"),
         F.substring("c_mktsegment", 1, 3).alias("iata_ap_code"),
@@ -150,11 +159,19 @@ def customer_airports(spark: SparkSession, folder: str) -> DataFrame:
         latitude().alias("latitude"),
         F.col("c_nationkey").cast("string").alias("iso_ct_code"),
         F.concat(F.lit("nation "), F.col("c_nationkey")).alias("iso_ct_name"),
-        "valid_from",
-        "valid_to",
     )
 
 
+def dated_customer_airports(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as airports that are valid from their first order to their last."""
+    spans = (
+        table(spark, folder, "orders")
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(F.min("o_orderdate").alias("valid_from"), F.max("o_orderdate").alias("valid_to"))
+    )
+    return customer_airports(spark, folder).join(spans, "c_custkey")
+
+
 def longitude() -> Column:
     """-180 to 180 in steps of one degree, missing at 0."""
     degrees = (F.col("c_custkey") * 7) % 361 - 180
@@ -167,14 +184,14 @@ def latitude() -> Column:
 
 
 def airport_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """Every customer as a version of its nation's airport, up to its last order.
+    """Every customer as a version of its nation's airport, valid for a day per unit of balance.
 
     Pairs of neighbouring nations share a country; the last nation has no airport record.
     """
     number = F.floor(F.col("n_nationkey") / 2)
     country = F.concat(F.lit("C"), F.lpad(number.cast("string"), 2, "0"))
     return (
-        customer_versions(spark, folder)
+        table(spark, folder, "customer")
         .join(nations(spark, folder), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.nullif(F.col("n_name"), F.lit("NATION_24")).alias("cfmu_ap_code"),
@@ -183,20 +200,27 @@ def airport_versions(spark: SparkSession, folder: str) -> DataFrame:
             country.alias("iso_ct_code"),
             (F.col("n_nationkey") * 3 - 35).cast("double").alias("latitude"),
             (F.col("n_nationkey") * 10 - 120).cast("double").alias("longitude"),
-            "valid_to",
+            F.date_add(F.lit("2000-01-01").cast("date"), F.floor("c_acctbal").cast("int")).alias(
+                "valid_to"
+            ),
         )
     )
 
 
 def centroids(spark: SparkSession, folder: str) -> DataFrame:
-    """A centroid per country of ``airport_versions``, averaged over its customers' nations."""
+    """A centroid per country of ``airport_versions``."""
     versions = airport_versions(spark, folder).where(F.col("cfmu_ap_code").isNotNull())
-    return versions.groupBy(F.col("iso_ct_code").alias("iso_a2")).agg(
-        F.concat(F.lit("Land "), F.min("iso_ct_code")).alias("name"),
-        F.lit(None).cast("string").alias("iso_a3"),
-        F.min("longitude").alias("longitude"),
-        F.min("latitude").alias("latitude"),
-    ).select("name", "iso_a3", "iso_a2", "longitude", "latitude")
+    return (
+        versions.groupBy(F.col("iso_ct_code").alias("iso_a2"))
+        .agg(F.min("longitude").alias("longitude"), F.min("latitude").alias("latitude"))
+        .select(
+            F.concat(F.lit("Land "), F.col("iso_a2")).alias("name"),
+            F.lit(None).cast("string").alias("iso_a3"),
+            "iso_a2",
+            "longitude",
+            "latitude",
+        )
+    )
 
 
 def classification(spark: SparkSession, folder: str) -> DataFrame:
