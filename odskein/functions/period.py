@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime, time, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,8 +50,9 @@ class Period:
         column and reaches the Parquet reader as a pushed filter.
         """
         kind = df.schema[column].dataType
-        start = instant_literal(self.wef - look_back, kind)
-        return (F.col(column) >= start) & (F.col(column) < instant_literal(self.til, kind))
+        start = instant_literal(self.wef - look_back, kind, next_day=True)
+        end = instant_literal(self.til, kind, next_day=True)
+        return (F.col(column) >= start) & (F.col(column) < end)
 
     def spans(self, df: DataFrame, starts: str, ends: str) -> Column:
         """``starts <= wef`` and ``ends > til``: a validity interval around the whole period."""
@@ -70,11 +71,18 @@ class Period:
         return {"wef": self.wef.strftime(form), "til": self.til.strftime(form)}
 
 
-def instant_literal(moment: datetime, kind: T.DataType) -> Column:
-    """``moment`` (UTC) as a literal of the given date or timestamp type."""
+def instant_literal(moment: datetime, kind: T.DataType, next_day: bool = False) -> Column:
+    """``moment`` (UTC) as a literal of the given date or timestamp type.
+
+    A date column holds midnights. A moment within a day becomes that day's date, or with
+    ``next_day`` the one after, whichever compares with midnights as the moment does.
+    """
+    if isinstance(kind, T.DateType):
+        late = next_day and moment.time() != time(0)
+        return F.lit(moment.date() + timedelta(days=1 if late else 0))
     text = moment.isoformat(sep=" ")
     if isinstance(kind, T.TimestampType):
         text += "Z"
-    elif not isinstance(kind, (T.TimestampNTZType, T.DateType)):
+    elif not isinstance(kind, T.TimestampNTZType):
         raise TypeError(f"a period needs a date or timestamp column, not {kind.simpleString()}")
     return F.lit(text).cast(kind)

@@ -146,11 +146,12 @@ def airport_flows(
         .join(arrival, "sk_ades_id")
         .groupBy("time_key", *places)
         .agg(total.cast("int").alias("nb_of_flight"))
-        .select(year.alias("year"), "nb_of_flight", *places)
     )
     if ordered:
-        flows = flows.orderBy(F.desc("nb_of_flight"), "year", "adep", "ades")
-    return flows
+        # The time key settles ties: without it all single flights of a busy pair would be equal
+        # to the sort, and land in one task.
+        flows = flows.orderBy(F.desc("nb_of_flight"), "time_key", "adep", "ades")
+    return flows.select(year.alias("year"), "nb_of_flight", *places)
 
 
 def airports_valid(
@@ -173,7 +174,8 @@ def airports_valid(
         "valid_from",
         "valid_to",
     )
-    return rows.orderBy(F.asc_nulls_last("icao")) if ordered else rows
+    by_code = [F.asc_nulls_last("icao"), "valid_from", "valid_to"]
+    return rows.orderBy(*by_code) if ordered else rows
 
 
 def daily_airport_flows(

@@ -32,6 +32,13 @@ def departure_share(flows: DataFrame) -> DataFrame:
     return direct.join(totals, "adep").select(*direct.columns, "total")
 
 
+def region_countries(
+    countries: DataFrame, region: str = "Europe", without: tuple[str, ...] = ("Russia",)
+) -> DataFrame:
+    """The countries of a region that the map shows."""
+    return countries.where((F.col("region") == region) & ~F.col("name").isin(list(without)))
+
+
 def airport_points(airports: DataFrame, box: BoundingBox | None = None) -> DataFrame:
     """Airports with a position, inside the box if one is given (its edges included)."""
     placed = airports.na.drop(subset=["longitude", "latitude"])

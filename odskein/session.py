@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,8 +49,6 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(configured)
         return configured
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
@@ -58,9 +57,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialise a frame that several later branches read, so its input is scanned once.
+    """Store a frame that several later branches read, so its input is scanned once.
 
-    The rows are written by a reliable checkpoint, which outlives any executor.
+    The rows go to a table in the shared folder, which outlives any executor and which each
+    branch reads only the columns of. The table stays until the folder is cleaned.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    application = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark).rstrip('/')}/{application}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

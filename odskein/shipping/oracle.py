@@ -440,6 +440,11 @@ SELECT icao AS icao_ap_code, name AS icao_ap_name, iata_code AS iata_ap_code,
        iata_name AS iata_ap_name, longitude, latitude, iso_code AS iso_ct_code, iso_ct_name
 FROM points
 WHERE longitude BETWEEN -25 AND 45 AND latitude BETWEEN 29 AND 75""",
+    "region_countries": f"""
+WITH {NATIONS}
+SELECT DISTINCT n_name AS name, r_name AS region
+FROM nations JOIN customer ON c_nationkey = n_nationkey
+WHERE r_name = 'EUROPE' AND n_name <> 'NATION_13'""",
     "pair_points": f"""
 WITH {YEARLY},
 grid AS (

@@ -330,6 +330,12 @@ def airport_points(spark: SparkSession, folder: str) -> DataFrame:
     return yearly.airport_points(airports, yearly.EUROPE)
 
 
+@query
+def region_countries(spark: SparkSession, folder: str) -> DataFrame:
+    countries = roles.customer_countries(spark, folder)
+    return yearly.region_countries(countries, roles.HOME, ("NATION_13",))
+
+
 @query
 def pair_points(spark: SparkSession, folder: str) -> DataFrame:
     pairs = _yearly_flows(spark, folder).select("year", "adep", "ades", "nb_of_flight")

@@ -56,27 +56,39 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_files(use_utc(spark), f"{folder}/{name}.parquet", schema_of(_TABLES[name]))
 
 
-def shipments(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items with the nations of both ends.
+def shipments(spark: SparkSession, folder: str, nameless: str | None = None) -> DataFrame:
+    """Line items with the nation's key and name at both ends; ``nameless`` has no name.
 
-    The joins carry no hints: suppliers, customers and orders are broadcast only while they are
-    small, and otherwise shuffled with their hot keys split.
+    Everything a customer or supplier is known by is joined to the customers and suppliers, and
+    the customers to the orders, before the much larger line items come in: those are shuffled
+    once per key at most. The joins carry no hints: a side is broadcast only while it is small,
+    otherwise both are shuffled and AQE splits the partitions of hot keys.
     """
+    names = table(spark, folder, "nation").select(
+        "n_nationkey", F.nullif(F.col("n_name"), F.lit(nameless or "")).alias("n_name")
+    )
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate"
     )
-    orders = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderstatus"
+    customers = (
+        table(spark, folder, "customer")
+        .select("c_custkey", "c_nationkey")
+        .join(names.toDF("c_nationkey", "to_name"), "c_nationkey")
+        .toDF("to_nation", "o_custkey", "to_name")
     )
-    suppliers = table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("from_nation")
+    orders = (
+        table(spark, folder, "orders")
+        .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+        .withColumnRenamed("o_orderkey", "l_orderkey")
+        .join(customers, "o_custkey")
     )
-    customers = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("to_nation")
-    )
-    return (
-        lines.join(orders, "l_orderkey").join(suppliers, "l_suppkey").join(customers, "o_custkey")
+    suppliers = (
+        table(spark, folder, "supplier")
+        .select("s_suppkey", "s_nationkey")
+        .join(names.toDF("s_nationkey", "from_name"), "s_nationkey")
+        .toDF("from_nation", "l_suppkey", "from_name")
     )
+    return lines.join(orders, "l_orderkey").join(suppliers, "l_suppkey")
 
 
 def flights(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,21 +112,13 @@ def operational_flights(
     spark: SparkSession, folder: str, nameless: str | None = None
 ) -> DataFrame:
     """``nameless`` is a nation whose airport code is missing on the flights."""
-    nations = table(spark, folder, "nation").select(
-        "n_nationkey", F.nullif(F.col("n_name"), F.lit(nameless or "")).alias("code")
-    )
-    return (
-        shipments(spark, folder)
-        .join(nations.toDF("from_nation", "flt_dep_ad"), "from_nation")
-        .join(nations.toDF("to_nation", "flt_ctfm_ades"), "to_nation")
-        .select(
-            F.col("l_orderkey").alias("flt_uid"),
-            F.col("o_orderdate").alias("flt_lobt"),
-            F.col("l_shipdate").alias("flt_a_asp_prof_time_entry"),
-            "flt_dep_ad",
-            "flt_ctfm_ades",
-            F.col("o_orderstatus").alias("flt_state"),
-        )
+    return shipments(spark, folder, nameless).select(
+        F.col("l_orderkey").alias("flt_uid"),
+        F.col("o_orderdate").alias("flt_lobt"),
+        F.col("l_shipdate").alias("flt_a_asp_prof_time_entry"),
+        F.col("from_name").alias("flt_dep_ad"),
+        F.col("to_name").alias("flt_ctfm_ades"),
+        F.col("o_orderstatus").alias("flt_state"),
     )
 
 
@@ -223,6 +227,16 @@ def centroids(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def customer_countries(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations that have customers, with their region."""
+    customers = table(spark, folder, "customer").select(F.col("c_nationkey").alias("n_nationkey"))
+    return (
+        nations(spark, folder)
+        .join(customers, "n_nationkey", "left_semi")
+        .select(F.col("n_name").alias("name"), F.col("r_name").alias("region"))
+    )
+
+
 def classification(spark: SparkSession, folder: str) -> DataFrame:
     """Nations by region; one nation is missing."""
     return nations(spark, folder).where(F.col("n_name") != "NATION_12").select(
