@@ -232,7 +232,7 @@ def customer_countries(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").select(F.col("c_nationkey").alias("n_nationkey"))
     return (
         nations(spark, folder)
-        .join(customers, "n_nationkey", "left_semi")
+        .join(customers.distinct(), "n_nationkey")
         .select(F.col("n_name").alias("name"), F.col("r_name").alias("region"))
     )
 
