@@ -25,22 +25,26 @@ def jdbc_options(
     url: str,
     table: str,
     column: str,
-    period: Period,
+    bounds: Period | tuple[int, int],
     partitions: int,
     **options: str,
 ) -> dict[str, str]:
-    """Options of a database read that splits the period into ``partitions`` parallel queries.
+    """Options of a database read that splits a column's range into parallel queries.
 
-    ``column`` is the date or timestamp column the flights are stored by. The bounds only place
-    the splits and drop no rows, so the extract still filters on the period.
+    ``column`` is the time the flights are stored by, with a period as its bounds, or a number
+    such as the flight's key. All splits are equally wide, so where one day may hold much of the
+    table take the key. The bounds only place the splits and drop no rows: the extract still
+    filters on the period, and Spark passes that filter to the database.
     """
-    form = "%Y-%m-%d %H:%M:%S"
+    if isinstance(bounds, Period):
+        bounds = (bounds.wef.isoformat(sep=" "), bounds.til.isoformat(sep=" "))
+    lower, upper = map(str, bounds)
     return {
         "url": url,
         "dbtable": table,
         "partitionColumn": column,
-        "lowerBound": period.wef.strftime(form),
-        "upperBound": period.til.strftime(form),
+        "lowerBound": lower,
+        "upperBound": upper,
         "numPartitions": str(partitions),
         "fetchsize": "10000",
         **options,

@@ -89,6 +89,8 @@ def test_database_read_is_split_over_the_period():
         "2020-10-13 00:00:00",
     )
     assert (options["numPartitions"], options["user"]) == ("64", "me")
+    by_key = tables.jdbc_options("jdbc:x", "fac_flight", "flt_uid", (0, 10**9), 64)
+    assert (by_key["lowerBound"], by_key["upperBound"]) == ("0", "1000000000")
 
 
 def test_catalog_table_and_folders(spark, tmp_path):
