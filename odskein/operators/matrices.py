@@ -38,6 +38,8 @@ def year_matrix(
     combined before it.
     """
     years = sorted_values(flows, "year") if years is None else years
+    if not years:
+        return flows.select(*keys).limit(0)
     threshold = F.lit(DAYS_PER_YEAR * fpd)
     names = [f"{prefix}{year}" for year in years]
     totals = (
@@ -55,6 +57,8 @@ def pair_totals_by_year(flows: DataFrame, years: list[int] | None = None) -> Dat
     """Movements per year between two regions, both directions under one name."""
     years = sorted_values(flows, "year") if years is None else years
     label = sorted_label(F.col("origin_region_name"), F.col("destination_region_name"))
+    if not years:
+        return flows.select(label.alias("flow_name")).limit(0)
     return (
         flows.where(F.col("year").cast("int").isin([int(y) for y in years]))
         .groupBy(label.alias("flow_name"))
@@ -87,6 +91,8 @@ def od_matrix(
     """
     if destinations is None:
         destinations = sorted_values(flows, destination)
+    if not destinations:
+        return flows.select(origin).distinct()
     wide = flows.groupBy(origin).pivot(destination, list(destinations)).agg(F.sum(measure))
     return wide.na.fill(0, subset=list(destinations))
 

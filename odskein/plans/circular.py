@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from odskein.functions.labels import snake_columns
 from odskein.operators.lists import (
     drop_missing_codes,
     visible_countries,
@@ -37,8 +38,11 @@ class ChartTables(NamedTuple):
 
 
 def clean_flows(raw: DataFrame) -> DataFrame:
-    """Codes repaired, rows without a code dropped, columns renamed, merged keys added up."""
-    flows = prepare_columns(drop_missing_codes(recode_country(raw)))
+    """Codes repaired, rows without a code dropped, columns renamed, merged keys added up.
+
+    ``raw`` may be an extract or the file of one, whose column names are in capitals.
+    """
+    flows = prepare_columns(drop_missing_codes(recode_country(snake_columns(raw))))
     return merge_flows(flows.withColumn("year", F.col("year").cast("int")), "flights")
 
 

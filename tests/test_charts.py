@@ -160,3 +160,14 @@ def test_ordered_ids_over_many_keys(spark):
     frame = spark.range(5000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"))
     found = ids.with_ordered_id(frame, "k").orderBy("k").collect()
     assert [r.id for r in found] == list(range(1, 5001))
+
+
+def test_no_flows_make_empty_tables(spark):
+    flows = prepared(spark, [])
+    assert matrices.year_matrix(flows).columns == matrices.PAIR_KEYS
+    assert matrices.year_matrix(flows, [2014]).count() == 0
+    assert rows(matrices.pair_totals_by_year(flows)) == []
+    assert rows(matrices.od_matrix(flows)) == []
+    assert rows(lists.visible_countries(flows, show=0)) == []
+    assert rows(graph.od_graph(flows, 2015).nodes) == []
+    assert lists.day_list(spark.sql("SELECT current_date() AS entry_day WHERE false")).first().value == ""

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from odskein import schemas
 from odskein.functions.period import Period
+from odskein.operators import flowmap, lists
+from odskein.operators.extracts import country_flows, daily_airport_flows
+from odskein.operators.graph import od_graph
 from odskein.plans import circular, daily_map, yearly_map
 from odskein.session import settle, shared_folder
 from odskein.shipping import roles
 from odskein.sinks import files
 from odskein.sources import delimited, extracts, tables
 from odskein.sources.literals import inline_rows
-from tests.frames import aircraft, airports, country_rows, flights, rows
+from tests.frames import aircraft, airports, country_rows, flights, operational, rows
 
 PERIOD = Period.of("2020-01-01", "2020-10-13")
 
@@ -234,6 +237,51 @@ def test_chart_files(spark, tmp_path):
     assert rows(un.where("origin_iso = 'SN'"), "origin_region_name") == [("Western Africa",)]
 
 
+def test_from_the_raw_file_to_the_graph(spark, tmp_path):
+    path = write(
+        tmp_path / "raw.csv",
+        "YEAR,NB_OF_FLIGHT,DEP_ISO_COUNTRY_CODE,DES_ISO_COUNTRY_CODE\n"
+        "2015,9000,CS,FR\n2015,9000,RS,FR\n2015,14600,FR,RS\n2014,99999,FR,RS\n2015,99999,,FR\n",
+    )
+    classification = inline_rows(spark, schemas.CLASSIFICATION, [("FR", "France", "a", "b", "c")])
+    flows = circular.clean_flows(delimited.read_raw_flows(spark, path))
+    assert flows.columns == ["year", "flights", "origin_iso", "destination_iso"]
+    prepared = circular.with_home_region(flows, classification)
+    files.write_csv(prepared, str(tmp_path / "flows"))
+    stored = delimited.read_whole_numbers(spark, str(tmp_path / "flows"))
+    assert rows(stored) == rows(prepared)
+    nodes, links = od_graph(stored, 2015)
+    assert rows(nodes) == [(0, "FRdes"), (1, "RSdep")]
+    assert rows(links) == [(1, 0, 18000)]
+
+
+def test_outputs_have_the_declared_schemas(spark):
+    def shape(schema):
+        return [(f.name, f.dataType) for f in schema]
+
+    places = inline_rows(spark, schemas.CENTROIDS, [])
+    pairs = flowmap.country_pairs(daily(spark))
+    located = flowmap.locations(pairs, places)
+    prepared = inline_rows(spark, schemas.PREPARED_FLOWS, [])
+    star = (flights(spark, []), airports(spark, []), aircraft(spark))
+    outputs = [
+        (country_flows(*star, "2001", "2002"), schemas.COUNTRY_FLOWS),
+        (
+            daily_airport_flows(operational(spark, []), star[1], "2001", "2002"),
+            schemas.DAILY_AIRPORT_FLOWS,
+        ),
+        (pairs, schemas.COUNTRY_PAIRS),
+        (located, schemas.LOCATIONS),
+        (flowmap.flow_timeline(pairs, located), schemas.TIMELINE),
+        (lists.visible_countries(prepared, 1), schemas.COUNTRIES),
+        (lists.visible_regions(prepared), schemas.REGIONS),
+        (lists.visible_years(prepared), schemas.YEARS),
+        (files.map_properties(spark), schemas.PROPERTIES),
+    ]
+    for frame, schema in outputs:
+        assert shape(frame.schema) == shape(schema)
+
+
 def test_yearly_map(spark):
     dim = airports(
         spark,
