@@ -35,3 +35,13 @@ def spark_rows(df):
 def sql_rows(db, text):
     result = db.execute(text)
     return canonical([column[0] for column in result.description], result.fetchall())
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    """The plan AQE arrived at when the frame was collected."""
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]

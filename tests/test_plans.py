@@ -1,7 +1,6 @@
 """What the plans must look like for large tables, and hot keys against brute force."""
 
 import random
-import re
 from collections import Counter
 from contextlib import contextmanager
 
@@ -16,7 +15,7 @@ from odskein.operators.yearly import departure_share
 from odskein.shipping import roles
 from odskein.shipping.oracle import ORACLE
 from odskein.shipping.registry import QUERIES
-from tests.compare import duck, spark_rows, sql_rows
+from tests.compare import duck, final_plan, plan, spark_rows, sql_rows
 from tests.frames import aircraft, airports, flights, operational, rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -35,15 +34,6 @@ def settings(spark, **conf):
             spark.conf.set(name, value)
 
 
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def final_plan(df):
-    df.collect()
-    return plan(df).split("== Initial Plan ==")[0]
-
-
 def test_filters_and_columns_reach_the_scan(spark):
     with settings(spark, spark__sql__maxMetadataStringLength="1000"):
         shown = plan(QUERIES["airport_flows_year"](spark, FOLDER))
@@ -56,14 +46,6 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert lines.count(":bigint") == 3 and lines.count(":string") == 1
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"flow_timeline"}))
-def test_the_fact_is_scanned_at_most_once(spark, name):
-    shown = final_plan(QUERIES[name](spark, FOLDER))
-    assert len(re.findall(r"FileScan .*lineitem\.parquet", shown)) <= 1
-    assert "CartesianProduct" not in shown and "BroadcastNestedLoopJoin" not in shown
-    assert "Python" not in shown
-
-
 def test_no_broadcast_is_forced(spark):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         for name in ("country_flows", "daily_airport_flows", "with_region", "od_links"):
