@@ -16,6 +16,7 @@ from odskein.functions.labels import directed_pair, undirected_pair
 from odskein.functions.nulls import blank_to_null
 from odskein.functions.period import Period
 from odskein.operators.versions import current_airports
+from odskein.session import in_utc
 
 # Fixed values of the source database.
 UNKNOWN_COUNTRY = "##"
@@ -48,6 +49,7 @@ def civil_flights(
     )
 
 
+@in_utc
 def country_flows(
     flights: DataFrame,
     airports: DataFrame,
@@ -92,6 +94,7 @@ def country_flows(
     )
 
 
+@in_utc
 def airport_flows(
     flights: DataFrame,
     airports: DataFrame,
@@ -178,6 +181,7 @@ def airports_valid(
     return rows.orderBy(*by_code) if ordered else rows
 
 
+@in_utc
 def daily_airport_flows(
     flights: DataFrame,
     airports: DataFrame,

@@ -157,7 +157,7 @@ def flow_timeline(
         pairs.where(F.col("count") >= threshold)
         .join(ids.toDF("origin", "source_iso2c"), "source_iso2c")
         .join(ids.toDF("dest", "target_iso2c"), "target_iso2c")
-        .select("origin", "dest", "count", F.date_format("entry_day", "yyyy-MM-dd").alias("time"))
+        .select("origin", "dest", "count", F.to_date("entry_day").cast("string").alias("time"))
     )
     return rows.orderBy("time", "origin", "dest", "count") if ordered else rows
 

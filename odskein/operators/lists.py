@@ -45,7 +45,7 @@ def day_list(flows: DataFrame, day: str = "entry_day") -> DataFrame:
 
     The days are made distinct before they are gathered: the calendar bounds the list.
     """
-    days = flows.select(F.date_format(day, "yyyy-MM-dd").alias("day")).distinct()
+    days = flows.select(F.to_date(day).cast("string").alias("day")).distinct()
     newest_first = F.sort_array(F.collect_set("day"), asc=False)
     return days.agg(F.array_join(newest_first, ",").alias("value"))
 

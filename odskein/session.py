@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,10 +36,24 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session clock to UTC on a session somebody else built."""
-    spark.conf.set("spark.sql.session.timeZone", TIME_ZONE)
-    return spark
+def in_utc(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Build an operator's frame with the session clock at UTC, then set the clock back.
+
+    Spark binds the time zone of an expression when it analyses the frame, so days and years
+    stay in UTC when the frame runs.
+    """
+
+    @wraps(operator)
+    def run(first: DataFrame, *args, **kwargs) -> DataFrame:
+        conf = first.sparkSession.conf
+        before = conf.get("spark.sql.session.timeZone")
+        conf.set("spark.sql.session.timeZone", TIME_ZONE)
+        try:
+            return operator(first, *args, **kwargs)
+        finally:
+            conf.set("spark.sql.session.timeZone", before)
+
+    return run
 
 
 def shared_folder(spark: SparkSession) -> str:

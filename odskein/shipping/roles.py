@@ -15,7 +15,6 @@ from odskein.operators.extracts import country_flows
 from odskein.operators.recode import prepare_columns
 from odskein.operators.regions import with_region
 from odskein.schemas import schema_of
-from odskein.session import use_utc
 from odskein.sources.tables import read_files
 
 # The exclusions in the trade tables' terms: returned goods, and one letter of the part type.
@@ -53,7 +52,7 @@ _TABLES = {
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_files(use_utc(spark), f"{folder}/{name}.parquet", schema_of(_TABLES[name]))
+    return read_files(spark, f"{folder}/{name}.parquet", schema_of(_TABLES[name]))
 
 
 def shipments(spark: SparkSession, folder: str, nameless: str | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Extracts kept on shared storage, one folder per period."""
+"""Extracts kept on shared storage: one folder per period, or one table with a folder per day."""
 
 from __future__ import annotations
 
@@ -34,3 +34,28 @@ def read_or_build(
     if refresh or not is_complete(spark, path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def write_days(
+    df: DataFrame, path: str, day: str = "entry_day", spread: tuple[str, ...] = ("adep", "ades")
+) -> None:
+    """Store an extract in a table partitioned by day, in place of the days it already holds.
+
+    Rows are ranged over the day and the ``spread`` columns: a day is written by a few tasks, a
+    busy one by more.
+    """
+    (
+        df.repartitionByRange(day, *spread)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(day)
+        .parquet(path)
+    )
+
+
+def read_period(
+    spark: SparkSession, path: str, period: Period, day: str = "entry_day"
+) -> DataFrame:
+    """The days of a period from such a table; folders of other days are not opened."""
+    days = spark.read.parquet(path)
+    return days.where(period.holds(days, day))

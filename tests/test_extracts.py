@@ -226,3 +226,25 @@ def test_instants_of_a_busy_pair_are_spread_by_the_sort(spark):
     assert found.count() == 600
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "time_key" in plan.split("Sort [")[1].split("]")[0]
+
+
+def test_years_and_days_are_utc_whatever_the_session_clock(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        late = spark.sql("""
+            SELECT '1' AS flt_uid, timestamp'2001-01-01T01:00:00Z' AS lobt, 0L AS sk_adep_id,
+                   1L AS sk_ades_id, 'A1' AS aircraft_type_icao_id, 'S' AS icao_flt_type""")
+        legs = spark.sql("""
+            SELECT '1' AS flt_uid, timestamp'2001-01-01T01:00:00Z' AS flt_lobt,
+                   timestamp'2001-01-01T02:00:00Z' AS flt_a_asp_prof_time_entry,
+                   'A' AS flt_dep_ad, 'B' AS flt_ctfm_ades, 'TE' AS flt_state""")
+        dim, types = airports(spark, PLACES), aircraft(spark)
+        yearly = country_flows(late, dim, types, "2001", "2002")
+        instants = airport_flows(late, dim, types, "2001", "2002")
+        days = daily_airport_flows(legs, airports(spark, []), "2001-01-01", "2001-01-02")
+        assert rows(yearly, "year", "nb_of_flight") == [("2001", 1)]
+        assert rows(instants, "year", "nb_of_flight") == [("2001", 1)]
+        assert rows(days, F.col("entry_day").cast("string"), "flight") == [("2001-01-01", 1)]
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -120,6 +120,20 @@ def test_extract_is_built_once(spark, tmp_path):
     assert calls == [2, 4, 5]
 
 
+def test_days_are_replaced_and_pruned(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    extracts.write_days(daily(spark), path)
+    later = daily(spark).where("entry_day = '2020-01-02'").withColumn("flight", F.lit(100))
+    extracts.write_days(later, path)
+    found = extracts.read_period(spark, path, Period.of("2020-01-02", "2020-01-03"))
+    assert rows(found, "flight") == [(100,), (100,)]
+    assert dict(found.dtypes)["entry_day"] == "date"
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "entry_day" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    both = extracts.read_period(spark, path, Period.of("2020", "2021"))
+    assert rows(both, "flight") == [(100,), (100,), (3,), (4,)]
+
+
 def test_csv_round_trip(spark, tmp_path):
     frame = inline_rows(
         spark, schemas.COUNTRIES, [("KR", "Korea, Republic of", 0), ("NA", None, 1)]
