@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 def with_ordered_id(df: DataFrame, key: str, name: str = "id", start: int = 1) -> DataFrame:
     """Number the rows of ``df`` (one per ``key``) in ascending key order.
 
-    Keys are ranked inside groups that share their first two bytes; a group's first id follows
-    from the sizes of the groups before it. The only window without partitions runs over those
-    sizes, at most 256 + 256*256 + 1 rows whatever the data. Byte order is Spark's string order.
+    Keys are ranked inside groups that share their first two bytes, which set country and airport
+    codes apart; a group's first id follows from the sizes of the groups before it. The only
+    window without partitions runs over those sizes, at most 256 + 256*256 + 1 rows whatever the
+    data. A group holds distinct codes, so never more than the dimension has of its prefix. Byte
+    order is Spark's string order.
     """
     head = F.hex(F.substring(F.encode(F.col(key), "UTF-8"), 1, 2))
     grouped = df.withColumn("_head", head)

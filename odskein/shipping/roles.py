@@ -55,38 +55,33 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_files(spark, f"{folder}/{name}.parquet", schema_of(_TABLES[name]))
 
 
-def shipments(spark: SparkSession, folder: str, nameless: str | None = None) -> DataFrame:
-    """Line items with the nation's key and name at both ends; ``nameless`` has no name.
+def shipments(spark: SparkSession, folder: str, names: DataFrame | None = None) -> DataFrame:
+    """Line items with the nation's key at both ends, and its name if ``names`` gives one per key.
 
     Everything a customer or supplier is known by is joined to the customers and suppliers, and
     the customers to the orders, before the much larger line items come in: those are shuffled
     once per key at most. The joins carry no hints: a side is broadcast only while it is small,
     otherwise both are shuffled and AQE splits the partitions of hot keys.
     """
-    names = table(spark, folder, "nation").select(
-        "n_nationkey", F.nullif(F.col("n_name"), F.lit(nameless or "")).alias("n_name")
-    )
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate"
     )
-    customers = (
-        table(spark, folder, "customer")
-        .select("c_custkey", "c_nationkey")
-        .join(names.toDF("c_nationkey", "to_name"), "c_nationkey")
-        .toDF("to_nation", "o_custkey", "to_name")
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("to_nation")
     )
+    suppliers = table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("from_nation")
+    )
+    if names is not None:
+        customers = customers.join(names.toDF("to_nation", "to_name"), "to_nation")
+        suppliers = suppliers.join(names.toDF("from_nation", "from_name"), "from_nation")
     orders = (
         table(spark, folder, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-        .withColumnRenamed("o_orderkey", "l_orderkey")
+        .select(
+            F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderstatus"
+        )
         .join(customers, "o_custkey")
     )
-    suppliers = (
-        table(spark, folder, "supplier")
-        .select("s_suppkey", "s_nationkey")
-        .join(names.toDF("s_nationkey", "from_name"), "s_nationkey")
-        .toDF("from_nation", "l_suppkey", "from_name")
-    )
     return lines.join(orders, "l_orderkey").join(suppliers, "l_suppkey")
 
 
@@ -111,7 +106,10 @@ def operational_flights(
     spark: SparkSession, folder: str, nameless: str | None = None
 ) -> DataFrame:
     """``nameless`` is a nation whose airport code is missing on the flights."""
-    return shipments(spark, folder, nameless).select(
+    names = table(spark, folder, "nation").select(
+        "n_nationkey", F.nullif(F.col("n_name"), F.lit(nameless or ""))
+    )
+    return shipments(spark, folder, names).select(
         F.col("l_orderkey").alias("flt_uid"),
         F.col("o_orderdate").alias("flt_lobt"),
         F.col("l_shipdate").alias("flt_a_asp_prof_time_entry"),
