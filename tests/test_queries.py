@@ -6,11 +6,12 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from odskein.shipping import oracle, registry
 from tests.compare import duck, plan, spark_rows, sql_rows
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = dict(registry.QUERIES)
+ORACLE = dict(oracle.ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def db():
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
