@@ -4,7 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from odskein.llm.shared import drop_paths, new_path, table
+from odskein.llm import oracle
+from odskein.llm.shared import new_path, table
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odskein.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from odskein.llm.chat import digests, formatted
+
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return digests(formatted(turns, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odskein.llm.decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odskein.llm.warc import archived
+
+    records = archived(table(spark, sf_dir, "pages")).where("kind = 'record'")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +60,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules, op9_license_scan, op10_token_files)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_simhash, op4_chat, op5_decontamination, op6_warc, op8_quality_rules, op9_license_scan, op10_token_files)}
+ORACLE: dict[str, str] = {
+    "op4_chat": oracle.CHAT,
+    "op5_decontamination": oracle.DECONTAMINATION,
+    "op6_warc": oracle.WARC,
+    "op8_quality_rules": oracle.QUALITY_RULES,
+    "op9_license_scan": oracle.LICENSE_SCAN,
+}
