@@ -38,6 +38,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odskein.llm.suffix_dedup import repeated_bytes
+
+    return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from odskein.llm.quality_rules import judged
 
@@ -60,7 +66,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op4_chat, op5_decontamination, op6_warc, op8_quality_rules, op9_license_scan, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op4_chat, op5_decontamination, op6_warc, op7_suffix_dedup, op8_quality_rules, op9_license_scan, op10_token_files)}
 ORACLE: dict[str, str] = {
     "op4_chat": oracle.CHAT,
     "op5_decontamination": oracle.DECONTAMINATION,
