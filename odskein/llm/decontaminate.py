@@ -24,9 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 from pyspark.sql.window import Window
 
-from odskein.llm.shared import stored
+from odskein.llm.shared import carried, given_back, stored
 from odskein.llm.token_files import slices
 from odskein.llm.wordhash import hash_words, hash_shingles, spell, words_of
 
@@ -129,11 +130,17 @@ def rarest_shingles(shingles: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-PLACES = "array<struct<at:int,shingle:bigint,lead:int,around:string>>"
+PLACES = ArrayType(
+    StructType().add("at", "integer").add("shingle", "long").add("lead", "integer").add("around", "string")
+)
 
 
-def shingle_places(docs: DataFrame, prefixes: DataFrame, width: int) -> DataFrame:
-    """row, doc_id, n_words and the places of prefix shingles with the words around them."""
+def shingle_places(docs: DataFrame, prefixes: DataFrame, width: int, carry: bool = False) -> DataFrame:
+    """row, doc_id, n_words and the places of prefix shingles with the words around them.
+
+    With ``carry`` the documents' columns come along under names of their own.
+    """
+    names = ["row", "doc_id", *(f"c{i}" for i in range(len(docs.columns)) if carry)]
     field, lengths = bit_field(prefixes)
     place = pa.struct([("at", pa.int32()), ("shingle", pa.int64()), ("lead", pa.int32()), ("around", pa.string())])
 
@@ -152,18 +159,21 @@ def shingle_places(docs: DataFrame, prefixes: DataFrame, width: int) -> DataFram
                         places[d].append((i - int(begin[d]), value, i - low, around))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("row").slice(first, count),
-                        batch.column("doc_id").slice(first, count),
+                        *(batch.column(c).slice(first, count) for c in names),
                         pa.array(n_words.astype(np.int64)),
                         pa.array([[dict(zip(("at", "shingle", "lead", "around"), p)) for p in row] for row in places], pa.list_(place)),
                     ],
-                    names=["row", "doc_id", "n_words", "places"],
+                    names=[*names, "n_words", "places"],
                 )
 
     plain = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+        F.monotonically_increasing_id().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        *(carried(docs) if carry else []),
     )
-    return plain.mapInArrow(find, f"row long, doc_id long, n_words long, places {PLACES}")
+    schema = StructType([plain.schema[c] for c in names]).add("n_words", "long").add("places", PLACES)
+    return plain.mapInArrow(find, schema)
 
 
 def window_hits(places: DataFrame, prefixes: DataFrame) -> DataFrame:
@@ -181,13 +191,23 @@ def window_hits(places: DataFrame, prefixes: DataFrame) -> DataFrame:
     )
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
-    """For each document its words, those in windows of items, and the items found."""
+def _searched(docs: DataFrame, items: DataFrame, width: int, carry: bool):
     windows = stored(item_windows(items, width), "windows")
     shingles = stored(window_shingles(windows), "shingles")
     prefixes = stored(rarest_shingles(shingles, shingle_counts(docs, shingles)), "prefixes")
-    places = stored(shingle_places(docs, prefixes, width), "places")
-    hits = stored(window_hits(places, prefixes), "hits")
+    places = stored(shingle_places(docs, prefixes, width, carry), "places")
+    return windows, places, stored(window_hits(places, prefixes), "hits")
+
+
+def without_contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
+    """The documents in which no window of an item occurs, with all their columns."""
+    _, places, hits = _searched(docs, items, width, carry=True)
+    return given_back(places.join(hits.select("row").distinct(), "row", "left_anti"), docs)
+
+
+def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
+    """For each document its words, those in windows of items, and the items found."""
+    windows, places, hits = _searched(docs, items, width, carry=False)
     end = F.col("start") + F.col("n")
     so_far = Window.partitionBy("row").orderBy("start", "n").rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.greatest(F.lit(0), end - F.greatest(F.col("start"), F.coalesce(F.max(end).over(so_far), F.lit(0))))

@@ -14,6 +14,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from odskein.llm.piece_codec import encoded
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from odskein.llm.passage_quality import trained_scores
 
@@ -72,7 +81,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_passage_quality, op4_chat, op5_decontamination, op6_warc, op7_suffix_dedup, op8_quality_rules, op9_license_scan, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_pieces, op3_passage_quality, op4_chat, op5_decontamination, op6_warc, op7_suffix_dedup, op8_quality_rules, op9_license_scan, op10_token_files)}
 ORACLE: dict[str, str] = {
     "op4_chat": oracle.CHAT,
     "op5_decontamination": oracle.DECONTAMINATION,

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -57,3 +58,13 @@ def drop_paths(spark: SparkSession, *paths: str) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def carried(docs: DataFrame) -> list[Column]:
+    """All columns under names of our own (c0, c1, ...), so that they clash with nothing."""
+    return [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(docs.columns)]
+
+
+def given_back(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The carried columns under their former names."""
+    return rows.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])

@@ -26,9 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from odskein.llm.components import components
-from odskein.llm.shared import stored
+from odskein.llm.shared import carried, given_back, stored
 
 SEED = 42
 BITS = 64
@@ -53,17 +54,26 @@ def fingerprint(text: str, shingle: int) -> int:
     return int.from_bytes(np.packbits(set_bits).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and fingerprint (the 64 bits as a signed long) of every document."""
+def fingerprints(docs: DataFrame, shingle: int, carry: bool = False) -> DataFrame:
+    """row (a number), doc_id and fingerprint (the 64 bits as a signed long) of every document.
+
+    With ``carry`` the documents' columns come along under names of their own.
+    """
+    names = ["row", "doc_id", *(f"c{i}" for i in range(len(docs.columns)) if carry)]
 
     def run(batches):
         for batch in batches:
-            values = [fingerprint(text or "", shingle) for text in batch.column("text").to_pylist()]
+            values = [fingerprint(text or "", shingle) for text in batch.column("plain").to_pylist()]
             signed = np.array(values, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(signed)], names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(signed)], names=[*names, "fingerprint"])
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, fingerprint long")
+    plain = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("plain"),
+        *(carried(docs) if carry else []),
+    )
+    return plain.mapInArrow(run, StructType([plain.schema[c] for c in names]).add("fingerprint", "long"))
 
 
 class BKTree:
@@ -189,16 +199,32 @@ def _edges(piece, rows, radius):
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, the group's smallest doc_id."""
-    rows = stored(fingerprints(docs, shingle), "fingerprints")
+def groups(rows: DataFrame, radius: int) -> DataFrame:
+    """fingerprint, root (the group's smallest fingerprint) and component_id, stored.
+
+    ``rows`` is a stored table with doc_id and fingerprint.
+    """
     prints = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "prints")
     roots = components(links(prints.select("fingerprint"), radius))
     labelled = prints.join(roots, prints["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
     )
     heads = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    groups = stored(labelled.join(heads, "root").select("fingerprint", "component_id"), "groups")
-    return rows.join(groups, "fingerprint").select(
+    return stored(labelled.join(heads, "root").select("fingerprint", "root", "component_id"), "groups")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id, the group's smallest doc_id."""
+    rows = stored(fingerprints(docs, shingle), "fingerprints")
+    return rows.join(groups(rows, radius), "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def representatives(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """One document of each group, with all its columns: that with the smallest doc_id."""
+    rows = stored(fingerprints(docs, shingle, carry=True), "fingerprints")
+    found = rows.select("row", "doc_id", "fingerprint").join(groups(rows, radius), "fingerprint")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    chosen = found.groupBy("root").agg(F.min(order).alias("chosen")).select("chosen.row")
+    return given_back(rows.join(chosen, "row", "left_semi"), docs)

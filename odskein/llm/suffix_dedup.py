@@ -29,9 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from odskein.llm.shared import new_path, stored
+from odskein.llm.shared import carried, given_back, new_path, stored
 from odskein.llm.suffix_runs import LEAST, Run, differences, front_code, merge, pack, spread, stretches, unpack
 
 RUN_BYTES = 16 << 20
@@ -73,9 +73,8 @@ def write_runs(docs: DataFrame, folder: str, run_bytes: int) -> DataFrame:
             )
 
         for batch in batches:
-            sizes = np.array([len(t or b"") for t in batch.column("bytes_").to_pylist()], np.int64)
             first = 0
-            for i, length in enumerate(sizes.tolist()):
+            for i, length in enumerate(len(text) for text in batch.column("plain").to_pylist()):
                 size += length
                 if size >= run_bytes:
                     held.append(batch.slice(first, i + 1 - first))
@@ -86,13 +85,12 @@ def write_runs(docs: DataFrame, folder: str, run_bytes: int) -> DataFrame:
         if held:
             yield closed()
 
-    rows = docs.withColumn("bytes_", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).drop("text")
-    return stored(rows.mapInArrow(write, "run string, size long, sample array<binary>"), "text-runs")
+    return stored(docs.mapInArrow(write, "run string, size long, sample array<binary>"), "text-runs")
 
 
 def _text_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """All texts one after the other, and where each ends."""
-    texts = table.column("bytes_").to_pylist()
+    texts = table.column("plain").to_pylist()
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts], dtype=np.int64)
 
 
@@ -273,7 +271,7 @@ def _digest(batches):
         yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in DIGESTS.split(", ")])
 
 
-def _trim(names: list[str]):
+def _trim(names: list[str], text_at: int):
     def run(batches):
         for path, rows in _groups(batches, "run"):
             table = _read_run(path)
@@ -281,9 +279,8 @@ def _trim(names: list[str]):
             begins = np.concatenate([[0], ends[:-1]])
             # a character that loses some of its bytes goes as a whole
             kept = [text[a:b][~goes[a:b]].tobytes().decode("utf-8", "ignore") for a, b in zip(begins.tolist(), ends.tolist())]
-            texts = pa.array(kept, pa.string())
-            table = table.drop_columns("bytes_").append_column("text", texts).select(names)
-            yield from table.to_batches(max_chunksize=2000)
+            columns = [pa.chunked_array([pa.array(kept, pa.string())]) if i == text_at else table.column(f"c{i}") for i in range(len(names))]
+            yield from pa.table(columns, names=[f"c{i}" for i in range(len(names))]).to_batches(max_chunksize=2000)
 
     return run
 
@@ -342,14 +339,19 @@ def _marked(docs: DataFrame, run_bytes: int, bucket_bytes: int) -> DataFrame:
     return _dealt(smallest, files, "run")
 
 
+def _plain(docs: DataFrame, *more) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("plain"), *more)
+
+
 def repeated_bytes(docs: DataFrame, run_bytes: int = RUN_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """For each document its bytes, how many go, in how many spans, and the digest of the rest."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return _marked(plain, run_bytes, bucket_bytes).mapInArrow(_digest, DIGESTS)
+    return _marked(_plain(docs), run_bytes, bucket_bytes).mapInArrow(_digest, DIGESTS)
 
 
 def without_repeats(docs: DataFrame, run_bytes: int = RUN_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """The documents with all their columns, their texts without the repeated bytes."""
-    schema = StructType([f for f in docs.schema.fields])
-    names = docs.columns
-    return _marked(docs, run_bytes, bucket_bytes).mapInArrow(_trim(names), schema)
+    others = [column for name, column in zip(docs.columns, carried(docs)) if name != "text"]
+    schema = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)])
+    marked = _marked(_plain(docs, *others), run_bytes, bucket_bytes)
+    return given_back(marked.mapInArrow(_trim(docs.columns, docs.columns.index("text")), schema), docs)
