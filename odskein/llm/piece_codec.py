@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from odskein.llm.token_files import CACHE_WORDS, _Numbered, _ranges, slices
+from odskein.llm.token_files import CACHE_WORDS, Numbered, ranges, slices, worker_memo
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
@@ -194,7 +194,7 @@ class Codec:
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.flat = _Numbered(), np.empty(0, np.int32)
+        self.known, self.flat = Numbered(), np.empty(0, np.int32)
         self.starts, self.sizes, self.replaced = (np.empty(0, np.int64) for _ in range(3))
 
     def _learn(self) -> None:
@@ -224,7 +224,7 @@ class Codec:
         sizes = self.sizes[which]
         lengths = np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)
         replaced = np.bincount(owner, weights=self.replaced[which], minlength=len(texts)).astype(np.int64)
-        lists = np.split(self.flat[_ranges(self.starts[which], sizes)], np.cumsum(lengths)[:-1]) if texts else []
+        lists = np.split(self.flat[ranges(self.starts[which], sizes)], np.cumsum(lengths)[:-1]) if texts else []
         parity = [True] * len(texts)
         for i, text in enumerate(texts):
             if zlib.crc32(text.encode("utf-8", "replace")) % VERIFY_EVERY == 0:
@@ -240,8 +240,12 @@ class Codec:
 def _started(model_path: str, threads: int) -> Codec:
     os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
     os.environ["RAYON_NUM_THREADS"] = str(threads)
-    with open(model_path, "rb") as file:
-        return Codec(file.read())
+
+    def made() -> Codec:
+        with open(model_path, "rb") as file:
+            return Codec(file.read())
+
+    return worker_memo(("pieces", model_path), made)
 
 
 ADDED = [StructField("ids", ArrayType(IntegerType())), StructField("n_tokens", LongType()), StructField("n_replaced", LongType()), StructField("parity", BooleanType()), StructField("round_trip", BooleanType())]

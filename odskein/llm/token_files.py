@@ -14,8 +14,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,53 +27,69 @@ from pyspark.sql import functions as F
 
 IDS_SCHEMA = "doc_id long, n_tokens long, ids array<int>"
 # Text handled at once inside a task, in characters.
-SLICE_CHARS = 4_000_000
-# Distinct words whose ids a worker remembers before it starts anew.
-CACHE_WORDS = 300_000
-# White space that may stand before a word; a cut in front of it is a cut of the tokenizer's too.
+SLICE_CHARS = 1_000_000
+# Distinct words a worker remembers; beyond that it forgets those it has met only once.
+CACHE_WORDS = 500_000
+# Words of texts with runs of white space; a cut in front of such a run is a cut of the tokenizer's too.
 PIECES = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
-# Other white space could join what is cut above, so texts with it are encoded in one go.
-OTHER_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000]")
+OTHER_SPACE = re.compile(r"[^\S \n]")
+# In front of a key that spells a piece out. No other key has two line breaks.
+SPELLED = "\n\n"
+
+
+def worker_memo(key, make: Callable):
+    """``make()``, once for each Python worker; its tasks share what it remembers."""
+    memo = sys.modules.setdefault("odskein_worker_memo", types.ModuleType("odskein_worker_memo"))
+    if not hasattr(memo, "kept"):
+        memo.kept = {}
+    if key not in memo.kept:
+        memo.kept[key] = make()
+    return memo.kept[key]
 
 
 class WordEncoder:
-    """Ids of texts from a byte-level tokenizer, one call of it for each distinct word.
+    """Ids of texts from a byte-level tokenizer, which sees each distinct word once.
 
     Such a tokenizer never merges across the start of a run of white space that follows other
     text, so a text's ids are those of its words, in order. Texts that hold an added token, or
-    white space beyond ASCII, are encoded whole.
+    words that begin or end in other white space, are encoded whole.
+
+    Words are keys: ``word`` stands for a blank and the word, a line break and a word for
+    themselves, and what follows SPELLED for itself.
     """
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        self.added = re.compile("|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
-        self.forget()
-
-    def forget(self) -> None:
-        self.known = _Numbered()
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        # every token spells as many bytes as its name has characters
+        self.bytes_of = np.zeros(tokenizer.get_vocab_size(), np.int64)
+        for token, i in tokenizer.get_vocab().items():
+            self.bytes_of[i] = len(token)
+        self.known: dict[str, int] = {}
         self.flat = np.empty(0, np.int32)
-        self.starts = np.empty(0, np.int64)
-        self.sizes = np.empty(0, np.int64)
-        self.whole = set()
+        self.starts, self.sizes, self.uses = (np.empty(0, np.int64) for _ in range(3))
+        self.whole = np.empty(0, bool)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the number of ids of each text."""
         if len(self.known) > CACHE_WORDS:
-            self.forget()
-        cut = [PIECES.findall(text) for text in texts]
-        words = np.fromiter((len(c) for c in cut), np.int64, len(cut))
-        number = self.known.__getitem__
-        which = np.fromiter((number(p) for c in cut for p in c), np.int64, int(words.sum()))
-        self._learn()
+            self._forget()
+        cut = [_keys(text) for text in texts]
+        words = np.fromiter(map(len, cut), np.int64, len(cut))
+        self._learn([key for key in set(chain.from_iterable(cut)) if key not in self.known])
+        which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(words.sum()))
+        self.uses += np.bincount(which, minlength=len(self.uses))
         owner = np.repeat(np.arange(len(texts)), words)
         sizes = self.sizes[which]
         counts = np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)
-        ids = self.flat[_ranges(self.starts[which], sizes)]
-        odd = self._odd(texts, which, owner)
+        ids = self.flat[ranges(self.starts[which], sizes)]
+        odd = {i for i, text in enumerate(texts) if self.added.search(text)}
+        odd.update(owner[self.whole[which]].tolist())
         if odd:
             ends = np.cumsum(counts)
             parts, last = [], 0
-            for i in odd:
+            for i in sorted(odd):
                 parts.append(ids[last : ends[i] - counts[i]])
                 whole = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int32)
                 parts.append(whole)
@@ -79,27 +98,59 @@ class WordEncoder:
             ids = np.concatenate([*parts, ids[last:]])
         return ids, counts
 
-    def _learn(self) -> None:
-        fresh, self.known.fresh = self.known.fresh, []
-        if not fresh:
-            return
-        base = len(self.sizes)
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-        sizes = np.fromiter((len(x) for x in lists), np.int64, len(lists))
-        flat = np.fromiter((i for x in lists for i in x), np.int32, int(sizes.sum()))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
+    def _learn(self, fresh: list[str]) -> None:
+        # words that begin in white space keep their cuts side by side, so many are one text
+        joined = [key for key in fresh if not key.startswith(SPELLED)]
+        alone = [key for key in fresh if key.startswith(SPELLED)]
+        pieces = [key if key[0] == "\n" else f" {key}" for key in joined]
+        texts = ["".join(pieces[at : at + 512]) for at in range(0, len(pieces), 512)]
+        texts += [key[len(SPELLED) :] for key in alone]
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, sum(map(len, lists)))
+        lengths = [len(piece.encode("utf-8")) for piece in pieces] + [len(text.encode("utf-8")) for text in texts[len(texts) - len(alone) :]]
+        ends = np.searchsorted(np.cumsum(self.bytes_of[flat]), np.cumsum(lengths), "left") + 1
+        starts = np.concatenate([[0], ends[:-1]])
+        odd = np.zeros(len(fresh), bool)
+        if OTHER_SPACE.search("".join(fresh)):
+            odd[:] = [_odd(key) for key in (*joined, *alone)]
+        self.known.update(zip(chain(joined, alone), range(len(self.known), len(self.known) + len(fresh))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + starts])
+        self.sizes = np.concatenate([self.sizes, ends - starts])
+        self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
         self.flat = np.concatenate([self.flat, flat])
-        self.whole.update(base + i for i, word in enumerate(fresh) if OTHER_SPACE.search(word))
-
-    def _odd(self, texts: list[str], which: np.ndarray, owner: np.ndarray) -> list[int]:
-        odd = {i for i, text in enumerate(texts) if self.added.search(text)}
-        if self.whole:
-            odd.update(owner[np.isin(which, np.fromiter(self.whole, np.int64, len(self.whole)))].tolist())
-        return sorted(odd)
-
-
-class _Numbered(dict):
+        self.whole = np.concatenate([self.whole, odd])
+
+    def _forget(self) -> None:
+        """Keep the words met more than once, if those are few enough, and count anew."""
+        kept = np.flatnonzero(self.uses > 1)
+        if len(kept) > CACHE_WORDS // 2:
+            kept = np.sort(kept[np.argsort(-self.uses[kept], kind="stable")[: CACHE_WORDS // 2]])
+        keys = list(self.known)
+        known = {keys[i]: n for n, i in enumerate(kept.tolist())}
+        flat = self.flat[ranges(self.starts[kept], self.sizes[kept])]
+        self.known, self.flat, self.sizes, self.whole = known, flat, self.sizes[kept], self.whole[kept]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.uses = np.zeros(len(kept), np.int64)
+
+
+def _keys(text: str) -> list[str]:
+    """The words of a text as keys."""
+    if not text:
+        return []
+    parts = text.replace("\n", " \n").split(" ")
+    if "" not in parts and "\n" not in parts and parts[0][0] != "\n":
+        parts[0] = SPELLED + parts[0]
+        return parts
+    return [p[1:] if p[0] == " " and len(p) > 1 and p[1] not in " \n\t\r" else SPELLED + p for p in PIECES.findall(text)]
+
+
+def _odd(piece: str) -> bool:
+    """Whether white space beyond the blanks and breaks in front of a piece could join its neighbours."""
+    bare = piece.lstrip(" \n\t\r")  # what stands in front is white space that a cut may precede
+    return bool(bare) and (bare[0].isspace() or bare[-1].isspace())
+
+
+class Numbered(dict):
     """Numbers words in the order of their first use."""
 
     def __init__(self):
@@ -111,7 +162,7 @@ class _Numbered(dict):
         return number
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The positions start, start + 1, ... of every range, one after the other."""
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
@@ -137,7 +188,7 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFra
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        encoder = WordEncoder(Tokenizer.from_file(tokenizer_path))
+        encoder = worker_memo(("words", tokenizer_path), lambda: WordEncoder(Tokenizer.from_file(tokenizer_path)))
         for batch in batches:
             texts = [text or "" for text in batch.column("text").to_pylist()]
             for first, last in slices([len(text) for text in texts]):
