@@ -77,8 +77,11 @@ def loss_tokens(offsets: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.n
     return mask, covered
 
 
-def formatted(turns: DataFrame, tokenizer_path: str, speaker: str = "assistant") -> DataFrame:
-    """One row for each conversation (or part of a long one): text, ids, loss mask, masked spans."""
+def formatted(turns: DataFrame, tokenizer_path: str, speaker: str = "assistant", ranges: int | None = None) -> DataFrame:
+    """One row for each conversation (or part of a long one): text, ids, loss mask, masked spans.
+
+    ``ranges`` fixes the number of tasks; by default Spark chooses it.
+    """
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -120,7 +123,7 @@ def formatted(turns: DataFrame, tokenizer_path: str, speaker: str = "assistant")
         F.coalesce(F.col("text").cast("string"), empty).alias("text"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return plain.repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(run, FORMATTED)
+    return plain.repartitionByRange(*([ranges] if ranges else []), *key).sortWithinPartitions(*key).mapInArrow(run, FORMATTED)
 
 
 def _batch(rows):

@@ -133,12 +133,13 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit(bags: list[np.ndarray], labels: list[int], hidden: int = 32, gates: int = 16, epochs: int = 24, rate: float = 0.004, decay: float = 1e-4, seed: int = 11) -> Model:
-    """Adam over mini-batches of bags (counts of class pairs, one row for each passage)."""
+def fit(bags: list[np.ndarray], labels: list[int], hidden: int = 32, gates: int = 16, steps: int = 1200, rate: float = 0.004, decay: float = 1e-4, seed: int = 11) -> Model:
+    """Adam over mini-batches of bags (counts of class pairs, one row for each passage), for about ``steps`` steps."""
     model = Model.fresh(hidden, gates, seed)
     rng = np.random.Generator(np.random.PCG64(seed))
     moments = {n: (np.zeros_like(getattr(model, n)), np.zeros_like(getattr(model, n))) for n in Model.NAMES}
     y, step = np.array(labels, np.float32), 0
+    epochs = max(1, round(steps / -(-len(bags) // 64)))
     for epoch in range(epochs):
         order = rng.permutation(len(bags))
         pace = rate * (1 - epoch / epochs)

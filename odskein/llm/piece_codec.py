@@ -144,10 +144,11 @@ class Rebuilt:
         if self.charsmap is not None:
             text = self.charsmap.normalize_str(text)
         if self.model.strip_spaces:
-            text = re.sub(" {2,}", " ", text.replace(MARK, " ").strip(" "))
+            text = re.sub(" {2,}", " ", text.lstrip(" "))
         if not text:
             return ""
-        return (MARK if self.model.dummy_prefix else "") + text.replace(" ", MARK)
+        text = (MARK if self.model.dummy_prefix else "") + text.replace(" ", MARK)
+        return text.rstrip(MARK) if self.model.strip_spaces else text
 
     def words(self, normal: str) -> list[str]:
         return _WORDS.findall(normal) if self.by_word else [normal] if normal else []

@@ -1,0 +1,131 @@
+"""The classifier's held-out accuracy and gradients, and the whole pipeline."""
+
+import os
+
+import duckdb
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from odskein.llm import passage_quality as quality
+from odskein.llm.queries import QUERIES
+from tests.llm.samples import odd_rows
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_gradients():
+    rng = np.random.default_rng(1)
+    model = quality.Model.fresh(5, 4, 3)
+    for name in model.NAMES:
+        setattr(model, name, getattr(model, name).astype(np.float64) + 0.01)
+    x, sizes, y = rng.random((9, quality.FEATURES)), np.array([1, 3, 5]), np.array([0.0, 1.0, 1.0])
+
+    def loss():
+        p = model.forward(x, sizes)["score"]
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    exact = model.gradients(x, sizes, y)
+    for name in model.NAMES:
+        value = getattr(model, name)
+        at = tuple(rng.integers(0, n) for n in value.shape)
+        before = value[at]
+        value[at] = before + 1e-5
+        up = loss()
+        value[at] = before - 1e-5
+        down = loss()
+        value[at] = before
+        assert abs((up - down) / 2e-5 - exact[name][at]) < 1e-4
+
+
+def test_passages_do_not_depend_on_neighbours():
+    texts = [b"", b"one", b" ".join([b"word"] * 200), "é\n# x".encode(), b" ", b"A" * 5000]
+    together, sizes = quality.passage_counts(texts)
+    assert sizes.tolist() == [1, 1, 3, 1, 1, 1]
+    alone = [quality.passage_counts([t])[0] for t in texts]
+    assert np.array_equal(together, np.concatenate(alone))
+    assert all(c.sum() == max(0, len(t) - 1) for c, t in zip(alone, texts))
+
+
+def test_held_out_accuracy(spark):
+    rows = QUERIES["op3_passage_quality"](spark, FOLDER)
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    found = rows.join(labels, "doc_id").where("held_out").select("score", "predicted", "quality").collect()
+    good = [r["score"] for r in found if r["quality"] == 1]
+    bad = [r["score"] for r in found if r["quality"] == 0]
+    area = np.mean([[(g > b) + 0.5 * (g == b) for b in bad] for g in good])
+    assert area > 0.95
+    assert np.mean([r["predicted"] for r in found if r["quality"] == 1]) > 0.97
+    assert rows.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+
+
+def test_odd_rows_and_labels(spark, docs_of):
+    docs = docs_of(odd_rows())
+    labels = spark.createDataFrame([(9, 1, 0), (9, 0, 0), (10, 1, 0), (4, 0, 1), (None, 1, 1), (5, None, 0), (6, 7, 0), (999, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = quality.trained_scores(docs, labels).collect()
+    assert len(rows) == len(odd_rows()) and all(0 <= r["score"] <= 1 for r in rows)
+    again = quality.trained_scores(docs, labels).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
+    none = quality.trained_scores(docs, labels.where("false"))
+    assert {r["score"] for r in none.collect()} == {0.5}
+    assert quality.trained_scores(docs_of([]), labels).count() == 0
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    found = [("documents", docs)]
+    for name, stage in corpus_pipeline.STAGES:
+        result = stage(spark, docs, FOLDER)
+        docs = corpus_pipeline.reopened(spark, corpus_pipeline.stored_path(result, name), result)
+        found.append((name, docs))
+    return dict(found)
+
+
+def test_stages_keep_the_columns(stages):
+    columns = stages["documents"].columns
+    assert list(stages) == ["documents", "quality", "near_copies", "repeats", "decontamination", "encoding"]
+    for name in list(stages)[:-1]:
+        assert stages[name].columns == columns and stages[name].dtypes == stages["documents"].dtypes
+
+
+def test_stages_keep_good_documents_and_drop_bad_ones(spark, stages):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    kept = stages["quality"].select("doc_id").join(labels, "doc_id")
+    good, bad = labels.where("quality = 1").count(), labels.where("quality = 0").count()
+    assert kept.where("quality = 1").count() >= 0.97 * good and kept.where("quality = 0").count() <= 0.2 * bad
+    ids = {name: {r["doc_id"] for r in rows.select("doc_id").collect()} for name, rows in stages.items()}
+    copies = corpus_pipeline.simhash.near_duplicates(stages["quality"])
+    assert ids["near_copies"] == {r["doc_id"] for r in copies.where("doc_id = component_id").collect()}
+    assert ids["repeats"] == ids["near_copies"]
+    items = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    found = corpus_pipeline.decontaminate.contamination(stages["repeats"], items)
+    assert ids["decontamination"] == {r["doc_id"] for r in found.where("not contaminated").collect()}
+    assert ids["encoding"] == ids["decontamination"]
+    assert stages["encoding"].where("not parity or not round_trip").count() == 0
+    assert stages["repeats"].where("n_chars <> length(text)").count() == 0
+
+
+def test_odd_rows_go_through_all_stages(spark, docs_of, tmp_path):
+    docs_of([*odd_rows(), (77, "clean words of the house and of the garden " * 9)]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "no such words stand in any of the documents here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path))
+    assert rows.count() > 5
+    assert rows.groupBy("doc_id").count().where("doc_id is not null and count > 1").count() == 0
+
+
+SQL_QUERIES = ["op4_chat", "op5_decontamination", "op6_warc", "op8_quality_rules", "op9_license_scan"]
+
+
+@pytest.mark.parametrize("name", SQL_QUERIES)
+def test_queries_match_sql(spark, name):
+    from odskein.llm.queries import ORACLE
+    from tests.compare import canonical, spark_rows
+
+    db = duckdb.connect()
+    for table in ("documents", "benchmark", "pages", "conversations"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{os.path.join(FOLDER, table)}.parquet')")
+    found = db.execute(ORACLE[name])
+    expected = canonical([c[0] for c in found.description], found.fetchall())
+    assert spark_rows(QUERIES[name](spark, FOLDER)) == expected
