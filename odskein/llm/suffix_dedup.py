@@ -145,7 +145,8 @@ def _send_classes(buckets: int):
 
 
 def _join_classes(batches):
-    """Of each class in a bucket: 0 nowhere else, 1 elsewhere too, 2 as 1 with an anchor in other stretches."""
+    """Of each class in a bucket: 0 nowhere else, 1 elsewhere too, 2 with an anchor that different
+    first holders have in different stretches."""
     for bucket, rows in _groups(batches, "bucket"):
         runs = [unpack(blob) for _, _, _, blob in rows]
         sizes = np.array([len(r[0]) for r in runs], np.int64)
@@ -162,10 +163,11 @@ def _join_classes(batches):
             number = np.cumsum(new_class) - 1
             smallest = np.minimum.reduceat(d, heads)
             shared = (np.maximum.reduceat(d, heads) != smallest) | np.logical_or.reduceat(several[order], heads)
-            gram_number = np.cumsum(new_gram) - 1
-            classes = np.bincount(gram_number[heads], minlength=gram_number[-1] + 1)
-            sorted_kind = np.where(classes[gram_number] > 1, 2, shared[number].astype(np.int64)).astype(np.uint8)
-            kind[order], first[order] = sorted_kind, smallest[number]
+            of_gram = np.cumsum(new_gram[heads]) - 1
+            grams = np.flatnonzero(new_gram[heads])
+            apart = np.minimum.reduceat(smallest, grams) != np.maximum.reduceat(smallest, grams)
+            kind[order] = np.where(apart[of_gram], 2, shared)[number]
+            first[order] = smallest[number]
         at = 0
         for (path, *_), size in zip(rows, sizes.tolist()):
             part = slice(at, at + size)
@@ -184,9 +186,12 @@ def _send_strings(splitters: list[bytes]):
             smallest[kind > 0] = first
             of = own.of
             gone = (kind[of] > 0) & (own.doc > smallest[of])
+            # strings of the classes whose first holder is here, taken from one of their stretches
             asks = np.flatnonzero((kind[of] == 2) & (own.doc == smallest[of]))
-            sizes = own.found.last[asks] - own.found.first[asks] + 1
-            starts, docs = spread(own.found.first[asks], sizes), np.repeat(own.doc[asks], sizes)
+            classes, one = np.unique(of[asks], return_index=True)
+            one = asks[one]
+            sizes = own.found.last[one] - own.found.first[one] + 1
+            starts = spread(own.found.first[one], sizes)
             text = own.text.tobytes()
             known: dict[bytes, int] = {}
             which = np.fromiter((known.setdefault(text[i : i + LEAST], len(known)) for i in starts.tolist()), np.int64, len(starts))
@@ -195,11 +200,12 @@ def _send_strings(splitters: list[bytes]):
             rank[np.fromiter((known[s] for s in strings), np.int64, len(strings))] = np.arange(len(strings))
             which = rank[which]
             least = np.full(len(strings), LAST_ID)
-            np.minimum.at(least, which, docs)
+            np.minimum.at(least, which, np.repeat(smallest[classes], sizes))
             state = f"{path}.{uuid.uuid4().hex}"
             filesystem, inner = _file(state)
+            number = np.searchsorted(classes, of[asks])
             with filesystem.open_output_stream(inner, compression=None) as sink:
-                sink.write(pack(own.found.first[gone], own.found.last[gone], starts, docs, which))
+                sink.write(pack(own.found.first[gone], own.found.last[gone], smallest[classes], sizes, which, own.found.first[asks], number))
             del own, known, text
             # the file's own entry, so that files without strings come through too
             yield _packet(path, state, -1, b"")
@@ -243,9 +249,12 @@ def _mark(table: pa.Table, state: str, packets: list[bytes]) -> tuple[np.ndarray
     """The file's bytes, where its documents end, and which bytes go."""
     filesystem, inner = _file(state)
     with filesystem.open_input_stream(inner, compression=None) as source:
-        first, last, starts, docs, which = unpack(source.read())
+        first, last, holders, sizes, which, asking, number = unpack(source.read())
     least = np.concatenate([np.empty(0, np.int64), *(unpack(blob)[0] for blob in packets)])
-    gone = starts[least[which] < docs] if len(starts) else starts
+    earlier = least[which] < np.repeat(holders, sizes)
+    # every stretch of an asking class has the strings of the one that was sent
+    starts = spread(asking, sizes[number])
+    gone = starts[earlier[spread((np.cumsum(sizes) - sizes)[number], sizes[number])]]
     text, ends = _text_of(table)
     depth = np.zeros(len(text) + 1, np.int32)
     np.add.at(depth, np.concatenate([first, gone]), 1)

@@ -10,14 +10,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
 import zstandard
 
 from odskein.llm.wordhash import mixed, powers, prefix_sums
 
 LEAST = 50
 GRAM = 20
-SLICE = 1 << 21
+SLICE = 1 << 20
 _PLACE = np.uint64(SLICE * 2 - 1)
 
 
@@ -71,11 +70,9 @@ def _slice_stretches(text, ends, at):
     turn = np.flatnonzero((np.diff(start) != 1) | (np.diff(own) != 0)) + 1
     first, last = start[np.concatenate([[0], turn])], start[np.concatenate([turn - 1, [len(start) - 1]])]
     own = own[np.concatenate([[0], turn])]
-    view = memoryview(np.ascontiguousarray(data))
-    digest = xxhash.xxh3_64_intdigest
-    whole = np.fromiter(
-        (digest(view[a : b + LEAST], seed=o) for a, b, o in zip(first.tolist(), last.tolist(), (own - first).tolist())), np.uint64, len(first)
-    )
+    # the stretch's own hash, apart for each place that the anchor can have in it
+    whole = (sums[last + LEAST] - sums[first]) * powers(len(data))[1][first]
+    whole = mixed(whole ^ mixed((own - first + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
     return first + at, last + at, grams[own], whole
 
 

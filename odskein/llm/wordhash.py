@@ -14,7 +14,7 @@ BLANK = 32
 _WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else BLANK for c in range(256)
 )
-_VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 2**64, 256, dtype=np.uint64)
 _powers = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 
 
