@@ -5,28 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Bytes of the key that are compared at a time, as hexadecimal digits.
+CHUNK = 4
+# Sorts after every chunk of digits: where a missing key stands.
+LAST = "~"
+
 
 def with_ordered_id(df: DataFrame, key: str, name: str = "id", start: int = 1) -> DataFrame:
-    """Number the rows of ``df`` (one per ``key``) in ascending key order.
+    """Number the rows of ``df`` (one per ``key``) in ascending key order; a NULL key comes last.
 
-    Keys are ranked inside groups that share their first two bytes, which set country and airport
-    codes apart; a group's first id follows from the sizes of the groups before it. The only
-    window without partitions runs over those sizes, at most 256 + 256*256 + 1 rows whatever the
-    data. A group holds distinct codes, so never more than the dimension has of its prefix. Byte
-    order is Spark's string order.
+    A key is read as a path of two-byte chunks. At each step, the keys that take a smaller chunk
+    come before it; how many those are is a running sum over the chunks that follow the same
+    prefix, at most 65,793 rows whatever the data. The sum over the steps is the key's place, so
+    no window ever holds the rows of a prefix, however many keys share it. Byte order is Spark's
+    string order.
     """
-    head = F.hex(F.substring(F.encode(F.col(key), "UTF-8"), 1, 2))
-    grouped = df.withColumn("_head", head)
-    before = Window.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        grouped.groupBy("_head")
+    code = F.hex(F.encode(F.col(key), "UTF-8"))
+    steps = F.sequence(F.lit(0), F.ceil(F.length(code) / CHUNK).cast("int"))
+    path = F.transform(
+        steps,
+        lambda i: F.struct(
+            F.substr(code, F.lit(1), i * CHUNK).alias("prefix"),
+            F.substr(code, i * CHUNK + 1, F.lit(CHUNK)).alias("chunk"),
+        ),
+    )
+    missing = F.array(F.struct(F.lit("").alias("prefix"), F.lit(LAST).alias("chunk")))
+    keys = df.select(F.col(key).alias("_key"), F.inline(F.coalesce(path, missing)))
+    before = Window.partitionBy("prefix").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    smaller = (
+        keys.groupBy("prefix", "chunk")
         .agg(F.count(F.lit(1)).alias("_size"))
-        .select("_head", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+        .select("prefix", "chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    )
+    places = (
+        keys.join(smaller, ["prefix", "chunk"])
+        .groupBy("_key")
+        .agg((F.sum("_before") + start).alias("_place"))
     )
-    rank = F.row_number().over(Window.partitionBy("_head").orderBy(key))
-    number = (F.col("_offset") + F.col("_rank") - 1 + start).cast("int")
-    return (
-        grouped.withColumn("_rank", rank)
-        .join(offsets, "_head")
-        .select(number.alias(name), *df.columns)
+    return df.join(places, F.col(key).eqNullSafe(F.col("_key"))).select(
+        F.col("_place").alias(name), *df.columns
     )

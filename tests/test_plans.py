@@ -165,11 +165,21 @@ def test_hot_keys_are_split_when_both_sides_are_large(spark):
 
 
 def test_ids_sort_only_bounded_rows_in_one_task(spark):
-    frame = spark.range(1000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"))
-    shown = final_plan(with_ordered_id(frame, "k"))
-    # The window without partitions sits on the counts per two-byte prefix.
-    single = shown.split("SinglePartition")[1]
-    assert "keys=[_head" in single.split("Window")[0]
+    key = F.concat(F.lit("A_LONG_PREFIX_THAT_ALL_SHARE_"), F.col("id").cast("string"))
+    frame = spark.range(200_000).select(key.alias("k"))
+    numbered = with_ordered_id(frame, "k")
+    shown = final_plan(numbered)
+    # Windows run over counts by prefix and chunk, partitioned by prefix.
+    assert "SinglePartition" not in shown
+    assert all("[prefix" in line for line in shown.splitlines() if " Window " in line)
+    keys = [f"A_LONG_PREFIX_THAT_ALL_SHARE_{i}".encode() for i in range(200_000)]
+    siblings = {}
+    for code in keys:
+        for at in range(0, len(code) + 1, 2):
+            siblings.setdefault(code[:at], set()).add(code[at : at + 2])
+    assert max(map(len, siblings.values())) <= 65_793
+    found = [r.k for r in numbered.orderBy("id").collect()]
+    assert found == sorted(code.decode() for code in keys)
 
 
 def test_country_pairs_hash_the_flights(spark):
