@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,13 +32,18 @@ def unique_lookup(df: DataFrame, key: str, values: list[str]) -> DataFrame:
     )
 
 
-def sorted_values(df: DataFrame, column: str, at_most: int = 10_000) -> list:
+def sorted_values(df: DataFrame, column: str) -> list:
     """The distinct non-null values of a column as a sorted driver list, for naming columns.
 
-    These become the columns of a wide table, so a list that cannot be one is refused rather
-    than cut; the long form of the data has no such limit.
+    Meant for dimensions: the values become the columns of a wide table, which bounds them. The
+    long form of the data needs no such list.
     """
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"{column} has more than {at_most} values, too many to become columns")
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(row[0] for row in rows)
+
+
+def listed(column: Column, values: list, what: str) -> Column:
+    """The column's value, if it is one of ``values`` or missing; any other fails the query."""
+    return F.when(column.isNull() | column.isin(list(values)), column).otherwise(
+        F.raise_error(F.concat(F.lit(f"{what} is not in the list: "), column.cast("string")))
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odskein.functions.labels import sorted_label
-from odskein.operators.checks import sorted_values
+from odskein.operators.checks import listed
 
 PAIR_KEYS = [
     "origin_iso",
@@ -23,7 +23,7 @@ DAYS_PER_YEAR = 365
 
 def year_matrix(
     flows: DataFrame,
-    years: list[int] | None = None,
+    years: list[int],
     fpd: float = 0,
     keys: list[str] = PAIR_KEYS,
     prefix: str = "countryflow_",
@@ -31,19 +31,19 @@ def year_matrix(
     """One row per pair and one column per year, keeping cells above ``fpd`` flights a day.
 
     The comparison is strict. A cell at or below the threshold, or without flights, shows 0, and
-    a pair with no cell above it has no row. Years outside ``years`` are left out; without a list
-    the years are read from the data first. Repeated rows are added up before the comparison.
+    a pair with no cell above it has no row. Repeated rows are added up before the comparison.
+    A year outside ``years``, or none, has no column to go to and fails the query; filter the
+    flows first where only some years are wanted.
 
     Totals, threshold and pivot are one grouping with a conditional sum per year: one shuffle,
     combined before it.
     """
-    years = sorted_values(flows, "year") if years is None else years
     if not years:
         return flows.select(*keys).limit(0)
     threshold = F.lit(DAYS_PER_YEAR * fpd)
     names = [f"{prefix}{year}" for year in years]
     totals = (
-        flows.where(F.col("year").cast("int").isin([int(y) for y in years]))
+        _with_listed_year(flows, years)
         .groupBy(*keys)
         .agg(*[_year_total(y, "flights").alias(n) for y, n in zip(years, names)])
     )
@@ -53,14 +53,16 @@ def year_matrix(
     )
 
 
-def pair_totals_by_year(flows: DataFrame, years: list[int] | None = None) -> DataFrame:
-    """Movements per year between two regions, both directions under one name."""
-    years = sorted_values(flows, "year") if years is None else years
+def pair_totals_by_year(flows: DataFrame, years: list[int]) -> DataFrame:
+    """Movements per year between two regions, both directions under one name.
+
+    A year outside ``years``, or none, fails the query.
+    """
     label = sorted_label(F.col("origin_region_name"), F.col("destination_region_name"))
     if not years:
         return flows.select(label.alias("flow_name")).limit(0)
     return (
-        flows.where(F.col("year").cast("int").isin([int(y) for y in years]))
+        _with_listed_year(flows, years)
         .groupBy(label.alias("flow_name"))
         .agg(*[F.coalesce(_year_total(y, "flights"), F.lit(0)).alias(str(y)) for y in years])
     )
@@ -78,23 +80,35 @@ def region_pair_stats(flows: DataFrame) -> DataFrame:
 
 def od_matrix(
     flows: DataFrame,
-    destinations: list[str] | None = None,
+    destinations: list[str],
     origin: str = "origin_iso",
     destination: str = "destination_iso",
     measure: str = "flights",
+    missing: str = "missing",
 ) -> DataFrame:
     """One row per origin, one column per destination, 0 where nothing flows.
 
-    Without a list the destinations are read from the data first. Given the list, Spark's pivot
-    adds up per pair before it gathers an origin's row, so a busy origin is one row per
-    destination by then.
+    Flows without a destination are in the column ``missing``, flows without an origin in the row
+    of the NULL origin. A destination outside the list fails the query, so a row adds up to all
+    that leaves its origin. Spark's pivot adds up per pair before it gathers an origin's row, so a
+    busy origin is one row per destination by then.
     """
-    if destinations is None:
-        destinations = sorted_values(flows, destination)
-    if not destinations:
-        return flows.select(origin).distinct()
-    wide = flows.groupBy(origin).pivot(destination, list(destinations)).agg(F.sum(measure))
-    return wide.na.fill(0, subset=list(destinations))
+    if missing in destinations:
+        raise ValueError(f"{missing!r} is a destination; name the column of missing ones otherwise")
+    columns = [*destinations, missing]
+    to = F.coalesce(listed(F.col(destination), destinations, destination), F.lit(missing))
+    wide = (
+        flows.select(origin, to.alias("_to"), measure)
+        .groupBy(origin)
+        .pivot("_to", columns)
+        .agg(F.sum(measure))
+    )
+    return wide.na.fill(0, subset=columns)
+
+
+def _with_listed_year(flows: DataFrame, years: list[int]) -> DataFrame:
+    year = F.coalesce(F.col("year").cast("int"), F.lit(-1))
+    return flows.withColumn("year", listed(year, [int(y) for y in years], "year"))
 
 
 def _year_total(year: int, measure: str) -> Column:

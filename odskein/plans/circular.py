@@ -56,7 +56,7 @@ def with_home_region(flows: DataFrame, classification: DataFrame, scheme: str =
     return fix_home_region(with_region(flows, classification, scheme))
 
 
-def extra_tables(flows: DataFrame, home: str, years: list[int] | None = None) -> ChartTables:
+def extra_tables(flows: DataFrame, home: str, years: list[int]) -> ChartTables:
     """Flows across the home border, in wide regions. The lists are those before the threshold."""
     extra = collapse_regions(split_intra_extra(flows, home).extra)
     return ChartTables(
@@ -71,8 +71,8 @@ def intra_tables(
     flows: DataFrame,
     home: str,
     classification: DataFrame,
+    years: list[int],
     scheme: str = "sub_region",
-    years: list[int] | None = None,
 ) -> ChartTables:
     """Flows inside the home region, by its own parts. The lists are those of the matrix."""
     intra = with_region(split_intra_extra(flows, home).intra, classification, scheme)
@@ -90,7 +90,7 @@ def write_chart(
     classification: DataFrame,
     home: str,
     folder: str,
-    years: list[int] | None = None,
+    years: list[int],
 ) -> None:
     """Write the prepared flows and both sets of tables under the folder.
 
@@ -102,7 +102,7 @@ def write_chart(
     )
     write_csv(prepared, f"{folder}/flows")
     sets = {
-        "intra": intra_tables(prepared, home, classification, years=years),
+        "intra": intra_tables(prepared, home, classification, years),
         "extra": extra_tables(prepared, home, years),
     }
     for name, tables in sets.items():

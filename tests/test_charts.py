@@ -20,6 +20,11 @@ def test_threshold_is_strict_and_fills_zero(spark):
             flow(2013, 9999, "DE", "JP"),
         ],
     )
+    with pytest.raises(Exception, match="year is not in the list: 2013"):
+        matrices.year_matrix(flows, [2014, 2015], fpd=10).collect()
+    with pytest.raises(Exception, match="year is not in the list: 2013"):
+        matrices.pair_totals_by_year(flows, [2014, 2015]).collect()
+    flows = flows.where("year > 2013")
     wide = matrices.year_matrix(flows, [2014, 2015], fpd=10)
     assert wide.columns == matrices.PAIR_KEYS + ["countryflow_2014", "countryflow_2015"]
     found = rows(
@@ -33,12 +38,11 @@ def test_repeated_rows_are_added_before_the_threshold(spark):
     assert rows(matrices.year_matrix(flows, [2014], fpd=10), "countryflow_2014") == [(4000,)]
 
 
-def test_years_come_from_the_data_when_not_given(spark):
+def test_years_may_be_text(spark):
     flows = prepared(spark, [flow(2015, 1, "FR", "CN"), flow(2013, 1, "FR", "CN")])
-    wide = matrices.year_matrix(flows)
-    assert wide.columns[-2:] == ["countryflow_2013", "countryflow_2015"]
+    wide = matrices.year_matrix(flows, [2013, 2015])
     as_text = flows.withColumn("year", F.col("year").cast("string"))
-    assert rows(matrices.year_matrix(as_text)) == rows(wide)
+    assert rows(matrices.year_matrix(as_text, ["2013", "2015"])) == rows(wide)
 
 
 def test_matrix_rows_conserve_the_kept_flights(spark):
@@ -82,12 +86,17 @@ def test_od_matrix(spark):
             flow(2015, 2, "FR", "CN"),
             flow(2014, 4, "FR", "JP"),
             flow(2014, 8, "DE", "JP"),
+            flow(2014, 16, "DE", None),
+            flow(2014, 32, None, "JP"),
         ],
     )
-    found = matrices.od_matrix(flows)
-    assert found.columns == ["origin_iso", "CN", "JP"]
-    assert rows(found) == [("DE", 0, 8), ("FR", 3, 4)]
-    assert rows(matrices.od_matrix(flows, ["JP"])) == [("DE", 8), ("FR", 4)]
+    found = matrices.od_matrix(flows, ["CN", "JP", "XX"])
+    assert found.columns == ["origin_iso", "CN", "JP", "XX", "missing"]
+    assert rows(found) == [("DE", 0, 8, 0, 16), ("FR", 3, 4, 0, 0), (None, 0, 32, 0, 0)]
+    with pytest.raises(Exception, match="destination_iso is not in the list: CN"):
+        matrices.od_matrix(flows, ["JP"]).collect()
+    with pytest.raises(ValueError, match="missing"):
+        matrices.od_matrix(flows, ["missing"])
 
 
 def test_visible_lists(spark):
@@ -162,12 +171,20 @@ def test_ordered_ids_over_many_keys(spark):
     assert [r.id for r in found] == list(range(1, 5001))
 
 
+def test_ids_keep_a_missing_key_and_follow_byte_order(spark):
+    keys = ["b", None, "a", "ab", "abc", "abd", "é", "", "aé"]
+    found = ids.with_ordered_id(spark.createDataFrame([(k, 1) for k in keys], "k string, v int"), "k")
+    expected = sorted((k for k in keys if k is not None), key=lambda k: k.encode()) + [None]
+    assert [r.k for r in found.orderBy("id").collect()] == expected
+    assert sorted(r.id for r in found.collect()) == list(range(1, 10))
+
+
 def test_no_flows_make_empty_tables(spark):
     flows = prepared(spark, [])
-    assert matrices.year_matrix(flows).columns == matrices.PAIR_KEYS
+    assert matrices.year_matrix(flows, []).columns == matrices.PAIR_KEYS
     assert matrices.year_matrix(flows, [2014]).count() == 0
-    assert rows(matrices.pair_totals_by_year(flows)) == []
-    assert rows(matrices.od_matrix(flows)) == []
+    assert rows(matrices.pair_totals_by_year(flows, [])) == []
+    assert rows(matrices.od_matrix(flows, ["FR"])) == []
     assert rows(lists.visible_countries(flows, show=0)) == []
     assert rows(graph.od_graph(flows, 2015).nodes) == []
     assert lists.day_list(spark.sql("SELECT current_date() AS entry_day WHERE false")).first().value == ""
