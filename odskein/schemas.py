@@ -45,7 +45,7 @@ COUNTRY_FLOWS = schema_of(
 )
 
 RAW_FLOWS_CSV = schema_of(
-    "YEAR int, NB_OF_FLIGHT int, DEP_ISO_COUNTRY_CODE string, DES_ISO_COUNTRY_CODE string"
+    "YEAR int, NB_OF_FLIGHT bigint, DEP_ISO_COUNTRY_CODE string, DES_ISO_COUNTRY_CODE string"
 )
 
 PREPARED_FLOWS = schema_of(
@@ -88,6 +88,6 @@ CENTROIDS = schema_of(
     "name string, iso_a3 string, iso_a2 string, longitude double, latitude double"
 )
 OVERRIDES = schema_of("iso_a2 string, name string, latitude double, longitude double")
-LOCATIONS = schema_of("id int, name string, iso_a2 string, lat double, lon double")
-TIMELINE = schema_of("origin int, dest int, count bigint, time string")
+LOCATIONS = schema_of("id bigint, name string, iso_a2 string, lat double, lon double")
+TIMELINE = schema_of("origin bigint, dest bigint, count bigint, time string")
 PROPERTIES = schema_of("property string, value string")

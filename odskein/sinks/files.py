@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from odskein.schemas import PROPERTIES
+from odskein.sources.delimited import CSV_FORM
 from odskein.sources.literals import inline_rows
 
 # Texts the map shows, in its property table.
@@ -41,8 +42,8 @@ PUBLISHER_PROPERTIES = [
 
 
 def write_csv(df: DataFrame, path: str, gzip: bool = False) -> None:
-    """CSV with a header; a missing value is an empty field, commas in a value are quoted."""
-    writer = df.write.mode("overwrite").option("header", True).option("nullValue", "")
+    """CSV with a header; a missing value is an empty field, commas and quotes in a value are quoted."""
+    writer = df.write.mode("overwrite").option("header", True).options(**CSV_FORM)
     if gzip:
         writer = writer.option("compression", "gzip")
     writer.csv(path)
@@ -74,6 +75,7 @@ def write_days(timeline: DataFrame, path: str) -> None:
         .write.mode("overwrite")
         .partitionBy("time")
         .option("header", True)
+        .options(**CSV_FORM)
         .csv(path)
     )
 

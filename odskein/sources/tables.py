@@ -8,6 +8,10 @@ from pyspark.sql.types import StructType
 from odskein.functions.period import Period
 
 
+# Statement that sets the session's clock, in the source database's dialect.
+UTC_SESSION = "ALTER SESSION SET TIME_ZONE = 'UTC'"
+
+
 def read_files(
     spark: SparkSession, path: str, schema: StructType | None = None, format: str = "parquet"
 ) -> DataFrame:
@@ -27,6 +31,7 @@ def jdbc_options(
     column: str,
     bounds: Period | tuple[int, int],
     partitions: int,
+    session_statement: str | None = UTC_SESSION,
     **options: str,
 ) -> dict[str, str]:
     """Options of a database read that splits a column's range into parallel queries.
@@ -34,11 +39,14 @@ def jdbc_options(
     ``column`` is the time the flights are stored by, with a period as its bounds, or a number
     such as the flight's key. All splits are equally wide, so where one day may hold much of the
     table take the key. The bounds only place the splits and drop no rows: the extract still
-    filters on the period, and Spark passes that filter to the database.
+    filters on the period, and Spark passes that filter to the database. Bounds and times are in
+    UTC, so every connection sets its clock to that before it reads (None: it does not).
     """
     if isinstance(bounds, Period):
         bounds = (bounds.wef.isoformat(sep=" "), bounds.til.isoformat(sep=" "))
     lower, upper = map(str, bounds)
+    if session_statement:
+        options = {"sessionInitStatement": session_statement, **options}
     return {
         "url": url,
         "dbtable": table,

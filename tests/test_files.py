@@ -11,7 +11,6 @@ from odskein.operators import flowmap, lists
 from odskein.operators.extracts import country_flows, daily_airport_flows
 from odskein.operators.graph import od_graph
 from odskein.plans import circular, daily_map, yearly_map
-from odskein.session import settle, shared_folder
 from odskein.shipping import roles
 from odskein.sinks import files
 from odskein.sources import delimited, extracts, tables
@@ -45,10 +44,33 @@ def test_whole_numbers_in_scientific_notation(spark, tmp_path):
         f'{header}\nKR,"Korea, Republic of",Asia,NA,Namibia,Africa,4e3,\n',
     )
     found = delimited.read_whole_numbers(spark, path)
-    assert [t for _, t in found.dtypes] == ["string"] * 6 + ["int"] * 2
+    assert [t for _, t in found.dtypes] == ["string"] * 6 + ["bigint"] * 2
     assert rows(found) == [("KR", "Korea, Republic of", "Asia", "NA", "Namibia", "Africa", 4000, None)]
 
 
+def test_csv_keeps_quotes_blanks_and_line_breaks(spark, tmp_path):
+    data = [("a", 'The "Big" land, x', 1), ("b", "  pad ", 2), ("NA", 'say ""', 3), (None, "two\nlines", 4), ("e", None, 5)]
+    frame = spark.createDataFrame(data, "code string, label string, n long")
+    files.write_csv(frame, str(tmp_path / "out"))
+    back = delimited.read_csv(spark, str(tmp_path / "out"), frame.schema, multiLine="true")
+    assert rows(back) == rows(frame)
+    path = write(tmp_path / "quoted.csv", 'code,label,n\nXX,"The ""Big"" land, x",1\n')
+    assert rows(delimited.read_csv(spark, path, frame.schema)) == [("XX", 'The "Big" land, x', 1)]
+
+
+@pytest.mark.parametrize("text,value", [("3000000000", 3_000_000_000), ("4e3", 4000), ("9223372036854775807", 2**63 - 1), ("-7", -7), ("", None)])
+def test_whole_numbers(spark, tmp_path, text, value):
+    path = write(tmp_path / "raw.csv", f"YEAR,NB_OF_FLIGHT,DEP_ISO_COUNTRY_CODE,DES_ISO_COUNTRY_CODE\n2014,{text},A,B\n")
+    assert rows(delimited.read_raw_flows(spark, path)) == [(2014, value, "A", "B")]
+
+
+@pytest.mark.parametrize("text", ["x", "4.5", "9223372036854775808"])
+def test_what_is_no_whole_number_fails(spark, tmp_path, text):
+    path = write(tmp_path / "raw.csv", f"YEAR,NB_OF_FLIGHT,DEP_ISO_COUNTRY_CODE,DES_ISO_COUNTRY_CODE\n2014,{text},A,B\n")
+    with pytest.raises(Exception, match="no whole number"):
+        delimited.read_raw_flows(spark, path).collect()
+
+
 def test_gzip_csv_with_inferred_types(spark, tmp_path):
     path = write(
         tmp_path / "pairs.csv.gz", "entry_day,adep,flight\n2020-01-01,NA,3\n2020-01-02,,4\n",
@@ -155,14 +177,6 @@ def test_properties_hold_no_token_unless_given(spark):
     ] == "t"
 
 
-def test_settled_rows_are_read_from_the_shared_folder(spark):
-    frame = spark.range(10).withColumn("x", F.rand())
-    settled = settle(frame)
-    assert rows(settled) == rows(settled)
-    assert shared_folder(spark) in settled.inputFiles()[0].replace("file:", "")
-    assert settled.schema["x"].dataType == frame.schema["x"].dataType
-
-
 def daily(spark):
     data = [
         (date(2020, 1, d), a, b, n, f"LAND {c}", c, f"LAND {e}", e)
@@ -321,25 +335,6 @@ def test_yearly_map(spark):
     ]
 
 
-def test_shared_folder_must_be_named_on_a_cluster():
-    class Conf:
-        def get(self, name, default):
-            return default
-
-    class Context:
-        master = "spark://somewhere"
-
-        def getCheckpointDir(self):
-            return None
-
-    class Session:
-        conf = Conf()
-        sparkContext = Context()
-
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session())
-
-
 def test_role_schemas_match_the_files(spark):
     for name in roles._TABLES:
         path = f"/root/testdata/sf0.001/{name}.parquet"
