@@ -34,42 +34,55 @@ def parse_instant(value: str | date | datetime) -> datetime:
 
 @dataclass(frozen=True)
 class Period:
-    """``wef`` is inside the period, ``til`` is the first instant after it."""
+    """``wef`` is inside the period, ``til`` is the first instant after it; None leaves a side open."""
 
-    wef: datetime
-    til: datetime
+    wef: datetime | None
+    til: datetime | None
 
     @classmethod
     def of(cls, wef, til) -> "Period":
-        return cls(parse_instant(wef), parse_instant(til))
+        period = cls(*(None if bound is None else parse_instant(bound) for bound in (wef, til)))
+        if None not in (period.wef, period.til) and period.wef >= period.til:
+            raise ValueError(f"the period ends before it begins: {wef!r}, {til!r}")
+        return period
 
     def holds(self, df: DataFrame, column: str, look_back: timedelta = timedelta(0)) -> Column:
-        """``wef - look_back <= column < til``.
+        """``wef - look_back <= column < til``; an open side sets no bound.
 
         The bounds are literals of the column's own type, so the comparison needs no cast on the
         column and reaches the Parquet reader as a pushed filter.
         """
         kind = df.schema[column].dataType
-        start = instant_literal(self.wef - look_back, kind, next_day=True)
-        end = instant_literal(self.til, kind, next_day=True)
-        return (F.col(column) >= start) & (F.col(column) < end)
+        test = F.lit(True)
+        if self.wef is not None:
+            test = test & (F.col(column) >= instant_literal(self.wef - look_back, kind, next_day=True))
+        if self.til is not None:
+            test = test & (F.col(column) < instant_literal(self.til, kind, next_day=True))
+        return test
 
     def spans(self, df: DataFrame, starts: str, ends: str) -> Column:
         """``starts <= wef`` and ``ends > til``: a validity interval around the whole period."""
+        self._closed()
         start = instant_literal(self.wef, df.schema[starts].dataType)
         end = instant_literal(self.til, df.schema[ends].dataType)
         return (F.col(starts) <= start) & (F.col(ends) > end)
 
     def years(self) -> list[int]:
         """The calendar years the period touches; known without reading any data."""
+        self._closed()
         last = self.til - timedelta(microseconds=1)
         return list(range(self.wef.year, last.year + 1))
 
     def stamps(self) -> dict[str, str]:
         """The bounds as ``YYYY-MM-DDTHH:MM:SSZ``, for binding to SQL text."""
+        self._closed()
         form = "%Y-%m-%dT%H:%M:%SZ"
         return {"wef": self.wef.strftime(form), "til": self.til.strftime(form)}
 
+    def _closed(self) -> None:
+        if self.wef is None or self.til is None:
+            raise ValueError("this needs a period with both bounds")
+
 
 def instant_literal(moment: datetime, kind: T.DataType, next_day: bool = False) -> Column:
     """``moment`` (UTC) as a literal of the given date or timestamp type.

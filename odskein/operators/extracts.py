@@ -34,7 +34,7 @@ def civil_flights(
 ) -> DataFrame:
     """Flights off block inside the period, without one flight type and one kind of aircraft.
 
-    A missing flight type, an unknown aircraft type and a type without a description all drop
+    A missing (or blank) flight type, an unknown aircraft type and a type without a description all drop
     the flight. A type listed twice counts its flights twice, as an inner join does.
     """
     kept_types = aircraft_types.where(
@@ -42,7 +42,7 @@ def civil_flights(
     ).select(F.col("icao_type_code").alias("aircraft_type_icao_id"))
     return (
         flights.where(period.holds(flights, "lobt"))
-        .where(F.col("icao_flt_type") != excluded_flight_type)
+        .where(_other_than("icao_flt_type", excluded_flight_type))
         .select("flt_uid", "lobt", "sk_adep_id", "sk_ades_id", "aircraft_type_icao_id")
         .join(kept_types, "aircraft_type_icao_id")
         .drop("aircraft_type_icao_id")
@@ -74,15 +74,15 @@ def country_flows(
     )
     known = airports
     if drop_unknown:
-        known = known.where(F.col("ec_iso_ct_code") != UNKNOWN_COUNTRY)
+        known = known.where(_other_than("ec_iso_ct_code", UNKNOWN_COUNTRY))
     departure = known.select(
         F.col("sk_ap_id").alias("sk_adep_id"),
-        F.col("ec_iso_ct_code").alias("dep_iso_country_code"),
-        F.col("iso_ct_code").alias("hidden_code"),
+        blank_to_null(F.col("ec_iso_ct_code")).alias("dep_iso_country_code"),
+        blank_to_null(F.col("iso_ct_code")).alias("hidden_code"),
     )
     arrival = known.select(
         F.col("sk_ap_id").alias("sk_ades_id"),
-        F.col("ec_iso_ct_code").alias("des_iso_country_code"),
+        blank_to_null(F.col("ec_iso_ct_code")).alias("des_iso_country_code"),
     )
     keys = ["year", "dep_iso_country_code", "des_iso_country_code"]
     return (
@@ -132,23 +132,23 @@ def airport_flows(
         raise ValueError(f"grain is 'instant' or 'year', not {grain!r}")
     known = airports
     if drop_unknown:
-        known = known.where(F.col("ec_iso_ct_code") != UNKNOWN_COUNTRY)
+        known = known.where(_other_than("ec_iso_ct_code", UNKNOWN_COUNTRY))
     departure = known.select(
         F.col("sk_ap_id").alias("sk_adep_id"),
-        F.col("icao_ap_code").alias("adep"),
-        F.col("ec_iso_ct_code").alias("dep_iso_country_code"),
+        blank_to_null(F.col("icao_ap_code")).alias("adep"),
+        blank_to_null(F.col("ec_iso_ct_code")).alias("dep_iso_country_code"),
     )
     arrival = known.select(
         F.col("sk_ap_id").alias("sk_ades_id"),
-        F.col("icao_ap_code").alias("ades"),
-        F.col("ec_iso_ct_code").alias("des_iso_country_code"),
+        blank_to_null(F.col("icao_ap_code")).alias("ades"),
+        blank_to_null(F.col("ec_iso_ct_code")).alias("des_iso_country_code"),
     )
     places = ["adep", "dep_iso_country_code", "ades", "des_iso_country_code"]
     flows = (
         facts.join(departure, "sk_adep_id")
         .join(arrival, "sk_ades_id")
         .groupBy("time_key", *places)
-        .agg(total.cast("int").alias("nb_of_flight"))
+        .agg(total.alias("nb_of_flight"))
     )
     if ordered:
         # The time key settles ties: without it all single flights of a busy pair would be equal
@@ -203,8 +203,8 @@ def daily_airport_flows(
         .where(F.col("flt_state").isin(list(states)))
         .groupBy(
             F.to_date("flt_a_asp_prof_time_entry").alias("entry_day"),
-            F.col("flt_dep_ad").alias("adep"),
-            F.col("flt_ctfm_ades").alias("ades"),
+            blank_to_null(F.col("flt_dep_ad")).alias("adep"),
+            blank_to_null(F.col("flt_ctfm_ades")).alias("ades"),
         )
         .agg(F.count("flt_uid").alias("flight"))
     )
@@ -245,6 +245,11 @@ def _airport_end(current: DataFrame, end: str) -> DataFrame:
     )
 
 
+def _other_than(column: str, value: str) -> Column:
+    """Neither missing, nor blank, nor ``value``; in a form that reaches the Parquet reader."""
+    return (F.col(column) != value) & (F.col(column) != "")
+
+
 def _text(year: str) -> Column:
     """Years are counted as numbers and shown as text, the type the source returns."""
     return F.col(year).cast("string").alias(year)

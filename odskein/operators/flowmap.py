@@ -10,6 +10,7 @@ from odskein.functions.nulls import if_known, paste_text
 from odskein.operators.checks import unique_lookup
 from odskein.operators.ids import with_ordered_id
 from odskein.schemas import CENTROIDS, OVERRIDES
+from odskein.session import in_utc
 from odskein.sources.literals import inline_rows
 
 # An airport whose country the source gets wrong.
@@ -145,6 +146,7 @@ def country_codes(pairs: DataFrame) -> DataFrame:
     )
 
 
+@in_utc
 def flow_timeline(
     pairs: DataFrame, places: DataFrame, threshold: int = 1, ordered: bool = True
 ) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odskein.functions.nulls import if_known
+from odskein.session import in_utc
 
 
 def visible_countries(flows: DataFrame, show: int) -> DataFrame:
@@ -40,6 +41,7 @@ def visible_years(flows: DataFrame) -> DataFrame:
     return flows.select("year").distinct().orderBy(F.asc_nulls_last("year"))
 
 
+@in_utc
 def day_list(flows: DataFrame, day: str = "entry_day") -> DataFrame:
     """One row with the days that have flows, newest first, separated by commas.
 

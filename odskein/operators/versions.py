@@ -33,11 +33,11 @@ def current_airports(airports: DataFrame, prefix_repair: bool = False) -> DataFr
     code = F.col("cfmu_ap_code")
     part = F.substring(code, 1, 2) if prefix_repair else F.substr(code, F.lit(2))
     name = F.col("iso_ct_name")
-    repaired = F
-    for prefix, country in PREFIX_COUNTRY_NAMES.items():
-        repaired = repaired.when(part == prefix, country)
-    for whole, country in CODE_COUNTRY_NAMES.items():
-        repaired = repaired.when(code == whole, country)
+    rules = [(part == prefix, country) for prefix, country in PREFIX_COUNTRY_NAMES.items()]
+    rules += [(code == whole, country) for whole, country in CODE_COUNTRY_NAMES.items()]
+    repaired = name
+    for test, country in reversed(rules):
+        repaired = F.when(test, country).otherwise(repaired)
     # Identical copies of a version are dropped before the versions are compared.
     versions = (
         airports.withColumn("cfmu_ap_code", blank_to_null(code))
@@ -45,7 +45,7 @@ def current_airports(airports: DataFrame, prefix_repair: bool = False) -> DataFr
             "cfmu_ap_code",
             F.substring(code, 1, 2).alias("icao_ctry_code"),
             "cfmu_ap_name",
-            repaired.otherwise(name).alias("iso_ct_name"),
+            repaired.alias("iso_ct_name"),
             "iso_ct_code",
             "latitude",
             "longitude",

@@ -25,9 +25,7 @@ def departure_share(flows: DataFrame) -> DataFrame:
     The totals are an aggregate joined back: combined before the shuffle and one row per
     airport, where a window would gather all rows of a busy airport in one task.
     """
-    direct = flows.where(F.col("adep") != F.col("ades")).withColumn(
-        "nb_of_flight", F.col("nb_of_flight").cast("int")
-    ).withColumnRenamed("nb_of_flight", "n")
+    direct = flows.where(F.col("adep") != F.col("ades")).withColumnRenamed("nb_of_flight", "n")
     totals = direct.groupBy("adep").agg(F.sum("n").alias("total"))
     return direct.join(totals, "adep").select(*direct.columns, "total")
 

@@ -166,7 +166,7 @@ def test_departure_share_leaves_out_circular_flights(spark):
     )
     found = rows(yearly.departure_share(flows))
     assert found == [("2017", 1, "B", "A", 1), ("2017", 2, "A", "C", 7), ("2017", 5, "A", "B", 7)]
-    assert dict(yearly.departure_share(flows).dtypes)["n"] == "int"
+    assert dict(yearly.departure_share(flows).dtypes)["n"] == "bigint"
 
 
 def test_points_and_pairs(spark):
