@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from odskein.operators.flowmap import country_pairs, flow_timeline, locations, repair_country
+from odskein.operators.flowmap import (
+    ITS_COUNTRY,
+    MISPLACED_AIRPORT,
+    country_pairs,
+    flow_timeline,
+    locations,
+    repair_country,
+)
 from odskein.operators.lists import day_list
-from odskein.session import settle
 from odskein.sinks.files import (
     map_properties,
     write_csv,
@@ -16,6 +22,13 @@ from odskein.sinks.files import (
     write_timeline,
 )
 
+# The airport the source places in the wrong country.
+DEFAULT_REPAIR = (MISPLACED_AIRPORT, ITS_COUNTRY)
+
+
+def _pairs(daily: DataFrame, repair: tuple[str, str] | None) -> DataFrame:
+    return country_pairs(repair_country(daily, *repair) if repair else daily)
+
 
 def map_timeline(
     daily: DataFrame,
@@ -24,13 +37,13 @@ def map_timeline(
     overrides: DataFrame | None = None,
     threshold: int = 1,
     ordered: bool = True,
+    repair: tuple[str, str] | None = DEFAULT_REPAIR,
 ) -> DataFrame:
-    """The timeline of the country pairs behind daily airport flows.
+    """The timeline of the country pairs behind daily airport flows, as one lazy frame.
 
-    Locations and timeline both come from the pairs, so those are settled first: the flights
-    behind them are read once.
+    ``repair`` is an airport and the country code to give it; None leaves the codes alone.
     """
-    pairs = settle(country_pairs(repair_country(daily)))
+    pairs = _pairs(daily, repair)
     places = locations(pairs, centroids, extra, overrides)
     return flow_timeline(pairs, places, threshold, ordered)
 
@@ -41,14 +54,17 @@ def write_map(
     folder: str,
     threshold: int = 1,
     by_day: bool = False,
+    extra: DataFrame | None = None,
+    overrides: DataFrame | None = None,
+    repair: tuple[str, str] | None = DEFAULT_REPAIR,
     **publisher: str | None,
 ) -> None:
     """Write pairs, locations, timeline, day list and properties under the folder.
 
     Pairs and locations are stored and read back by the tables made from them.
     """
-    pairs = write_parquet(country_pairs(repair_country(daily)), f"{folder}/pairs.parquet")
-    places = write_parquet(locations(pairs, centroids), f"{folder}/locations.parquet")
+    pairs = write_parquet(_pairs(daily, repair), f"{folder}/pairs.parquet")
+    places = write_parquet(locations(pairs, centroids, extra, overrides), f"{folder}/locations.parquet")
     timeline = flow_timeline(pairs, places, threshold, ordered=False)
     write_locations(places, f"{folder}/locations")
     write_timeline(timeline, f"{folder}/flows")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -54,32 +52,3 @@ def in_utc(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
             conf.set("spark.sql.session.timeZone", before)
 
     return run
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors can read, taken from ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting gets a temporary folder of its own; on a
-    cluster a machine-local folder would be lost with the machine, so that is an error.
-    """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="odskein-"))
-    return context.getCheckpointDir()
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Store a frame that several later branches read, so its input is scanned once.
-
-    The rows go to a table in the shared folder, which outlives any executor and which each
-    branch reads only the columns of. The table stays until the folder is cleaned.
-    """
-    spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark).rstrip('/')}/{application}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
