@@ -18,7 +18,8 @@ nations AS (
 )"""
 
 
-def civil(wef: str, til: str) -> str:
+def civil(wef: str | None, til: str | None, blank: str = "") -> str:
+    period = f"o_orderdate >= TIMESTAMP '{wef}' AND o_orderdate < TIMESTAMP '{til}'" if wef else "true"
     return f"""{SHIPMENTS}, {NATIONS},
 civil AS (
   SELECT s.*, strftime(o_orderdate, '%Y') AS year,
@@ -27,16 +28,18 @@ civil AS (
   JOIN part ON p_partkey = l_partkey
   JOIN nations a ON a.n_nationkey = from_nation
   JOIN nations b ON b.n_nationkey = to_nation
-  WHERE o_orderdate >= TIMESTAMP '{wef}' AND o_orderdate < TIMESTAMP '{til}'
-    AND l_returnflag <> 'R' AND substr(p_type, 1, 1) <> 'E'
+  WHERE {period}
+    AND l_returnflag NOT IN ('R', '{blank}') AND substr(p_type, 1, 1) <> 'E'
 )"""
 
 
 ALL_TIME = ("1995-01-01", "2002-01-01")
 TWO_YEARS = ("1996-01-01", "1998-01-01")
+OPEN = (None, None)
 CIVIL = civil(*ALL_TIME)
+EVERY = civil(*OPEN)
 
-RAW = f"""{CIVIL},
+RAW = f"""{EVERY},
 raw AS (
   SELECT year, CAST(count(l_orderkey) AS BIGINT) AS nb_of_flight,
          adep AS dep_iso_country_code, ades AS des_iso_country_code
@@ -117,6 +120,35 @@ def matrix(source: str, threshold: int) -> str:
     return f"SELECT {PAIR}, {cells} FROM {source} WHERE flights > {threshold} GROUP BY ALL"
 
 
+CLEANED = f"""{RECODED},
+scheme AS (
+  SELECT n_name AS code, 'Land ' || n_nationkey AS name, r_name AS region,
+         r_name || CASE WHEN n_nationkey < 13 THEN ' north' ELSE ' south' END AS part
+  FROM nations WHERE n_name <> 'NATION_12'
+),
+cleaned AS (
+  SELECT year, CAST(sum(nb_of_flight) AS BIGINT) AS flights,
+         dep_iso_country_code AS origin_iso, des_iso_country_code AS destination_iso
+  FROM recoded
+  WHERE dep_iso_country_code IS NOT NULL AND des_iso_country_code IS NOT NULL
+  GROUP BY year, dep_iso_country_code, des_iso_country_code
+)"""
+
+INTRA_PARTS = f"""{CLASSIFIED},
+intra AS (
+  SELECT c.* REPLACE (o.part AS origin_region_name, d.part AS destination_region_name)
+  FROM classified c JOIN scheme o ON o.code = origin_iso JOIN scheme d ON d.code = destination_iso
+  WHERE {INTRA}
+)"""
+
+GRID = """
+grid AS (
+  SELECT n_name AS icao, CAST(n_nationkey * 10 - 120 AS DOUBLE) AS lon,
+         CAST(n_nationkey * 3 - 35 AS DOUBLE) AS lat
+  FROM nation WHERE n_name <> 'NATION_24'
+    AND n_nationkey IN (SELECT c_nationkey FROM customer)
+)"""
+
 FLOW_NAME = """CASE WHEN origin_region_name < destination_region_name
        THEN origin_region_name || '-' || destination_region_name
        WHEN origin_region_name >= destination_region_name
@@ -144,7 +176,13 @@ latest AS (
 )"""
 
 
-def daily(wef: str, til: str, nameless: str = "") -> str:
+def daily(wef: str | None, til: str | None, nameless: str = "") -> str:
+    period = (
+        f"o_orderdate >= TIMESTAMP '{wef}' - INTERVAL 1 DAY AND o_orderdate < TIMESTAMP '{til}'"
+        f" AND l_shipdate >= TIMESTAMP '{wef}' AND l_shipdate < TIMESTAMP '{til}'"
+        if wef
+        else "true"
+    )
     return f"""{SHIPMENTS}, {VERSIONS},
 counted AS (
   SELECT CAST(l_shipdate AS DATE) AS entry_day, nullif(a.n_name, '{nameless}') AS adep,
@@ -152,8 +190,7 @@ counted AS (
   FROM shipments
   JOIN nations a ON a.n_nationkey = from_nation
   JOIN nations b ON b.n_nationkey = to_nation
-  WHERE o_orderdate >= TIMESTAMP '{wef}' - INTERVAL 1 DAY AND o_orderdate < TIMESTAMP '{til}'
-    AND l_shipdate >= TIMESTAMP '{wef}' AND l_shipdate < TIMESTAMP '{til}'
+  WHERE {period}
     AND o_orderstatus IN ('F', 'O')
   GROUP BY 1, 2, 3
 ),
@@ -174,7 +211,7 @@ daily AS (
 )"""
 
 
-REPAIRED = f"""{daily(*ALL_TIME)},
+REPAIRED = f"""{daily(*OPEN)},
 repaired AS (
   SELECT * REPLACE (
     CASE adep WHEN 'NATION_7' THEN 'C09' ELSE adep_country_iso_code END AS adep_country_iso_code,
@@ -215,7 +252,7 @@ moved(code, name, lat, lon) AS (
   VALUES ('C05', 'Moved place', 1.25, 2.5), ('C06', NULL, -3.5, 4.0)
 ),
 places AS (
-  SELECT CAST(row_number() OVER (ORDER BY codes.code) AS INTEGER) AS id,
+  SELECT CAST(row_number() OVER (ORDER BY codes.code) AS BIGINT) AS id,
          coalesce(m.name, c.name) AS name, codes.code AS iso_a2,
          CAST(coalesce(m.lat, c.lat) AS DOUBLE) AS lat,
          CAST(coalesce(m.lon, c.lon) AS DOUBLE) AS lon
@@ -223,9 +260,9 @@ places AS (
   LEFT JOIN moved m ON m.code = codes.code
 )"""
 
-YEARLY = f"""{CIVIL},
+YEARLY = f"""{EVERY},
 yearly AS (
-  SELECT year, CAST(count(l_orderkey) AS INTEGER) AS n, adep,
+  SELECT year, CAST(count(l_orderkey) AS BIGINT) AS n, adep,
          dep_region AS dep_iso_country_code, ades, des_region AS des_iso_country_code
   FROM civil GROUP BY ALL
 )"""
@@ -237,7 +274,7 @@ edges AS (
   FROM raw WHERE year = '1998' AND nb_of_flight > 7
 ),
 nodes AS (
-  SELECT CAST(row_number() OVER (ORDER BY name) - 1 AS INTEGER) AS id, name
+  SELECT CAST(row_number() OVER (ORDER BY name) - 1 AS BIGINT) AS id, name
   FROM (SELECT a AS name FROM edges UNION SELECT b FROM edges)
 )"""
 
@@ -273,12 +310,12 @@ FROM civil WHERE adep <> 'NATION_11' AND ades <> 'NATION_11'
 GROUP BY year, dep_region, des_region""",
     "airport_flows_instant": f"""
 WITH {CIVIL}
-SELECT year, CAST(count(l_orderkey) AS INTEGER) AS nb_of_flight, adep,
+SELECT year, CAST(count(l_orderkey) AS BIGINT) AS nb_of_flight, adep,
        dep_region AS dep_iso_country_code, ades, des_region AS des_iso_country_code
 FROM civil GROUP BY year, o_orderdate, adep, dep_region, ades, des_region""",
     "airport_flows_year": f"""
 WITH {TWO_YEAR_CIVIL}
-SELECT year, CAST(count(l_orderkey) AS INTEGER) AS nb_of_flight, adep,
+SELECT year, CAST(count(l_orderkey) AS BIGINT) AS nb_of_flight, adep,
        CASE adep WHEN 'NATION_11' THEN '##' ELSE dep_region END AS dep_iso_country_code, ades,
        CASE ades WHEN 'NATION_11' THEN '##' ELSE des_region END AS des_iso_country_code
 FROM civil GROUP BY ALL""",
@@ -464,7 +501,83 @@ SELECT dep_iso_country_code AS origin_iso, """
         f"(des_iso_country_code = 'NATION_{n}'), 0) AS BIGINT) AS \"NATION_{n}\""
         for n in range(25)
     )
+    + ", CAST(coalesce(sum(nb_of_flight) FILTER (des_iso_country_code IS NULL), 0) AS BIGINT) AS missing"
     + " FROM raw GROUP BY 1",
+    "od_matrix_gappy": f"""
+WITH {GAPPY}
+SELECT dep_iso_country_code AS origin_iso, """
+    + ", ".join(
+        "CAST(coalesce(sum(nb_of_flight) FILTER "
+        f"(des_iso_country_code = 'NATION_{n}'), 0) AS BIGINT) AS \"NATION_{n}\""
+        for n in range(25)
+    )
+    + ", CAST(coalesce(sum(nb_of_flight) FILTER (des_iso_country_code IS NULL), 0) AS BIGINT) AS missing"
+    + " FROM gappy GROUP BY 1",
+    "chart_matrix": f"""
+WITH {CLEANED},
+charted AS (
+  SELECT * REPLACE ({widened('origin')} AS origin_region_name,
+                    {widened('destination')} AS destination_region_name)
+  FROM (SELECT * REPLACE (
+    CASE WHEN origin_iso IN ('NATION_7', 'NATION_9') THEN 'SOUTH' WHEN origin_iso = 'NATION_8' THEN 'EAST'
+         ELSE origin_region_name END AS origin_region_name,
+    CASE WHEN destination_iso IN ('NATION_7', 'NATION_9') THEN 'SOUTH' WHEN destination_iso = 'NATION_8' THEN 'EAST'
+         ELSE destination_region_name END AS destination_region_name,
+    CASE WHEN origin_iso = 'NATION_7' THEN 'Antilles' ELSE origin_name END AS origin_name,
+    CASE WHEN destination_iso = 'NATION_7' THEN 'Antilles' ELSE destination_name END AS destination_name)
+    FROM (SELECT cleaned.*, o.name AS origin_name, o.region AS origin_region_name,
+                 d.name AS destination_name, d.region AS destination_region_name
+          FROM cleaned LEFT JOIN scheme o ON o.code = origin_iso LEFT JOIN scheme d ON d.code = destination_iso))
+  WHERE {EXTRA}
+)
+{matrix('charted', 12)}""",
+    "un_regions": f"""
+WITH {CLEANED}
+SELECT year, flights, origin_iso, o.name AS origin_name,
+       CASE WHEN origin_iso IN ('NATION_7', 'NATION_9') THEN 'SOUTH' WHEN origin_iso = 'NATION_8' THEN 'EAST'
+            ELSE o.part END AS origin_region_name,
+       destination_iso, d.name AS destination_name,
+       CASE WHEN destination_iso IN ('NATION_7', 'NATION_9') THEN 'SOUTH' WHEN destination_iso = 'NATION_8' THEN 'EAST'
+            ELSE d.part END AS destination_region_name
+FROM cleaned LEFT JOIN scheme o ON o.code = origin_iso LEFT JOIN scheme d ON d.code = destination_iso""",
+    "intra_countries": f"""
+WITH {INTRA_PARTS}
+SELECT iso, name, 1 AS show FROM (
+  SELECT destination_iso AS iso, destination_name AS name FROM intra
+  UNION SELECT origin_iso, origin_name FROM intra)""",
+    "intra_regions": f"""
+WITH {INTRA_PARTS}
+SELECT destination_region_name AS name FROM intra UNION SELECT origin_region_name FROM intra""",
+    "intra_contributors": f"""
+WITH {INTRA_PARTS}
+SELECT origin_name AS flow, CAST(sum(CASE WHEN year = '1998' THEN flights ELSE 0 END) AS BIGINT) AS total
+FROM intra GROUP BY origin_name ORDER BY total DESC, flow LIMIT 2""",
+    "yearly_map_lines": f"""
+WITH {YEARLY}, {GRID}
+SELECT yearly.*, CAST(sum(n) OVER (PARTITION BY adep) AS BIGINT) AS total,
+       p.lon AS adep_longitude, p.lat AS adep_latitude, q.lon AS ades_longitude, q.lat AS ades_latitude
+FROM yearly LEFT JOIN grid p ON p.icao = adep LEFT JOIN grid q ON q.icao = ades
+WHERE adep <> ades QUALIFY p.icao IS NOT NULL AND q.icao IS NOT NULL""",
+    "airports_valid_codes": f"""
+WITH {POINTS},
+spans AS (
+  SELECT o_custkey, min(o_orderdate) AS valid_from, max(o_orderdate) AS valid_to
+  FROM orders GROUP BY o_custkey
+)
+SELECT icao, name, iata_code, iata_name, longitude, latitude, iso_code, iso_ct_name,
+       valid_from, valid_to
+FROM points JOIN spans ON o_custkey = c_custkey
+WHERE valid_from <= TIMESTAMP '1996-01-01' AND valid_to > TIMESTAMP '1998-01-01'
+  AND icao IN ('Customer#000000000', 'Customer#000000004', 'nowhere')""",
+    "country_flows_blank": f"""
+WITH {civil(*OPEN, blank='A')}
+SELECT year, CAST(count(l_orderkey) AS BIGINT) AS nb_of_flight,
+       dep_region AS dep_iso_country_code, des_region AS des_iso_country_code
+FROM civil WHERE dep_region <> 'ASIA' AND des_region <> 'ASIA' GROUP BY year, dep_region, des_region""",
+    "csv_round_trip": """
+SELECT c_custkey AS code, '  "' || c_name || '", of "' || c_mktsegment || '" ' AS label,
+       nullif(c_mktsegment, 'BUILDING') AS segment
+FROM customer""",
     "bound_sql": """
 SELECT o_orderstatus AS flt_state, CAST(count(o_orderkey) AS BIGINT) AS flights
 FROM orders

@@ -21,11 +21,13 @@ from odskein.operators import (
 from odskein.plans.daily_map import map_timeline
 from odskein.schemas import CENTROIDS, OVERRIDES
 from odskein.shipping import roles
+from odskein.sources import delimited
 from odskein.sources.literals import inline_rows
 from odskein.sources.tables import bound_query
 
 # Thresholds in flights a year, as the operators take them: per day.
 MATRIX_FPD = 7 / 365
+CHART_FPD = 12 / 365
 GRAPH_YEAR = 1998
 
 # Places of the trade map that have no centroid, or another one.
@@ -190,14 +192,14 @@ def _wide_extra(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def year_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return matrices.year_matrix(_wide_extra(spark, folder), roles.YEARS, MATRIX_FPD)
+    return matrices.year_matrix(_wide_extra(spark, folder), roles.years(spark, folder), MATRIX_FPD)
 
 
 def _intra_matrix(spark: SparkSession, folder: str) -> DataFrame:
     intra = regions.with_region(
         _split(spark, folder).intra, roles.classification(spark, folder), "sub_region"
     )
-    return matrices.year_matrix(intra, roles.YEARS)
+    return matrices.year_matrix(intra, roles.years(spark, folder))
 
 
 @query
@@ -207,7 +209,7 @@ def intra_year_matrix(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def pair_totals_by_year(spark: SparkSession, folder: str) -> DataFrame:
-    return matrices.pair_totals_by_year(_wide_extra(spark, folder), roles.YEARS)
+    return matrices.pair_totals_by_year(_wide_extra(spark, folder), roles.years(spark, folder))
 
 
 @query
@@ -232,7 +234,7 @@ def visible_years(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def top_contributors(spark: SparkSession, folder: str) -> DataFrame:
-    matrix = matrices.year_matrix(_wide_extra(spark, folder), roles.YEARS)
+    matrix = matrices.year_matrix(_wide_extra(spark, folder), roles.years(spark, folder))
     return lists.top_contributors(matrix, "countryflow_1998", roles.HOME, n=30)
 
 
@@ -267,7 +269,7 @@ def od_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _map_flows(spark: SparkSession, folder: str) -> DataFrame:
-    daily = _daily(spark, folder, roles.ALL_TIME)
+    daily = _daily(spark, folder, roles.OPEN)
     return flowmap.repair_country(daily, "NATION_7", "C09")
 
 
@@ -301,6 +303,7 @@ def flow_timeline(spark: SparkSession, folder: str) -> DataFrame:
         inline_rows(spark, CENTROIDS, EXTRA_PLACES),
         inline_rows(spark, OVERRIDES, MOVED_PLACES),
         threshold=2,
+        repair=None,
     )
 
 
@@ -312,7 +315,7 @@ def day_list(spark: SparkSession, folder: str) -> DataFrame:
 def _yearly_flows(spark: SparkSession, folder: str) -> DataFrame:
     return extracts.airport_flows(
         *_star(spark, folder),
-        *roles.ALL_TIME,
+        *roles.OPEN,
         grain="year",
         ordered=False,
         **roles.EXCLUSIONS,
@@ -348,7 +351,94 @@ def pair_points(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def od_matrix(spark: SparkSession, folder: str) -> DataFrame:
     flows = recode.prepare_columns(roles.raw_flows(spark, folder))
-    return matrices.od_matrix(flows, [f"NATION_{n}" for n in range(25)])
+    return matrices.od_matrix(flows, roles.nation_names(spark, folder))
+
+
+@query
+def od_matrix_gappy(spark: SparkSession, folder: str) -> DataFrame:
+    flows = recode.prepare_columns(roles.gappy_flows(spark, folder))
+    return matrices.od_matrix(flows, roles.nation_names(spark, folder))
+
+
+def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes repaired, rows without one dropped, keys that became equal added up."""
+    raw = lists.drop_missing_codes(
+        recode.recode_country(roles.gappy_flows(spark, folder), roles.RETIRED_CODES)
+    )
+    return recode.merge_flows(recode.prepare_columns(raw), "flights")
+
+
+@query
+def chart_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    flows = recode.fix_home_region(
+        regions.with_region(_cleaned(spark, folder), roles.classification(spark, folder), "home_region"),
+        roles.LATE_REGIONS,
+        roles.LATE_NAMES,
+    )
+    extra = recode.collapse_regions(regions.split_intra_extra(flows, roles.HOME).extra, roles.WIDE_REGIONS)
+    return matrices.year_matrix(extra, roles.years(spark, folder), CHART_FPD)
+
+
+@query
+def un_regions(spark: SparkSession, folder: str) -> DataFrame:
+    flows = regions.with_region(
+        _cleaned(spark, folder), roles.classification(spark, folder), "sub_region"
+    )
+    return recode.fix_region(flows, roles.LATE_REGIONS)
+
+
+@query
+def intra_countries(spark: SparkSession, folder: str) -> DataFrame:
+    return lists.visible_countries(_intra_matrix(spark, folder), show=1)
+
+
+@query
+def intra_regions(spark: SparkSession, folder: str) -> DataFrame:
+    return lists.visible_regions(_intra_matrix(spark, folder))
+
+
+@query
+def intra_contributors(spark: SparkSession, folder: str) -> DataFrame:
+    return lists.top_contributors(_intra_matrix(spark, folder), "countryflow_1998", roles.HOME, n=2)
+
+
+@query
+def yearly_map_lines(spark: SparkSession, folder: str) -> DataFrame:
+    points = versions.current_airports(roles.airport_versions(spark, folder)).select(
+        F.col("cfmu_ap_code").alias("icao"), "longitude", "latitude"
+    )
+    return yearly.pair_points(yearly.departure_share(_yearly_flows(spark, folder)), points.distinct())
+
+
+@query
+def airports_valid_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return extracts.airports_valid(
+        roles.dated_customer_airports(spark, folder), *roles.TWO_YEARS, codes=roles.SOME_AIRPORTS
+    )
+
+
+@query
+def country_flows_blank(spark: SparkSession, folder: str) -> DataFrame:
+    """Flights whose type is blank, and airports whose country is."""
+    flights = roles.flights(spark, folder).replace({"A": ""}, subset=["icao_flt_type"])
+    airports = roles.airports(spark, folder).replace({"ASIA": ""}, subset=["ec_iso_ct_code"])
+    return extracts.country_flows(
+        flights, airports, roles.aircraft_types(spark, folder), *roles.OPEN, **roles.EXCLUSIONS
+    )
+
+
+@query
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows written as CSV text and read back, with the form that files have."""
+    rows = roles.table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("code"),
+        F.concat(F.lit('  "'), "c_name", F.lit('", of "'), "c_mktsegment", F.lit('" ')).alias("label"),
+        F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("segment"),
+    )
+    schema = "code string, label string, segment string"
+    text = F.to_csv(F.struct(*rows.columns), delimited.CSV_FORM)
+    back = rows.select(F.from_csv(text, F.lit(schema), delimited.CSV_FORM).alias("row"))
+    return back.select("row.*").select(delimited.whole_number("code").alias("code"), "label", "segment")
 
 
 @query

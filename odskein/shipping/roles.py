@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odskein.operators.checks import sorted_values
 from odskein.operators.extracts import country_flows
 from odskein.operators.recode import prepare_columns
 from odskein.operators.regions import with_region
@@ -22,10 +23,12 @@ EXCLUSIONS = {"excluded_flight_type": "R", "excluded_aircraft": "E"}
 STATES = ("F", "O")
 HOME = "EUROPE"
 
-# All order dates lie in this period.
+# The periods of the queries that are about one, and no bounds for all others.
 ALL_TIME = ("1995", "2002")
 TWO_YEARS = ("1996-01-01", "1998-01-01")
-YEARS = list(range(1995, 2002))
+OPEN = (None, None)
+
+SOME_AIRPORTS = ["Customer#000000000", "Customer#000000004", "nowhere"]
 
 # Nations that take part in a rule.
 RETIRED_CODES = {"NATION_3": "NATION_4", "NATION_17": "NATION_18"}
@@ -252,11 +255,23 @@ def raw_flows(spark: SparkSession, folder: str) -> DataFrame:
         flights(spark, folder),
         national_airports(spark, folder),
         aircraft_types(spark, folder),
-        *ALL_TIME,
+        *OPEN,
         **EXCLUSIONS,
     )
 
 
+def years(spark: SparkSession, folder: str) -> list[int]:
+    """The years that orders can fall in, from the first to the last of the table."""
+    date = F.col("o_orderdate")
+    first, last = table(spark, folder, "orders").agg(F.year(F.min(date)), F.year(F.max(date))).first()
+    return [] if first is None else list(range(first, last + 1))
+
+
+def nation_names(spark: SparkSession, folder: str) -> list[str]:
+    """The names that become columns, from their dimension."""
+    return sorted_values(table(spark, folder, "nation"), "n_name")
+
+
 def gappy_flows(spark: SparkSession, folder: str) -> DataFrame:
     """Raw flows on which one departure and one destination code are missing."""
     return raw_flows(spark, folder).withColumns(

@@ -34,10 +34,20 @@ def test_query_matches_sql(spark, db, name):
     assert rows
     # The fact is scanned once, nothing is crossed, and no Python runs in a task.
     shown = plan(frame).split("== Initial Plan ==")[0]
-    assert len(re.findall(r"FileScan .*lineitem\.parquet", shown)) <= 1
+    scans = len(re.findall(r"FileScan .*lineitem\.parquet", shown))
+    assert scans == ("JOIN orders ON o_orderkey = l_orderkey" in ORACLE[name])
     assert "CartesianProduct" not in shown and "BroadcastNestedLoopJoin" not in shown
     assert "Python" not in shown
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_building_the_timeline_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("timeline", "building only")
+    QUERIES["flow_timeline"](spark, FOLDER)
+    jobs = list(tracker.getJobIdsForGroup("timeline"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
