@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -60,6 +61,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def return_memory() -> None:
+    """Give what a Python worker has freed back to the system.
+
+    The allocator keeps freed arrays of some megabytes for itself, and workers live on from task to
+    task, so without this two workers hold the peak of everything they ever did.
+    """
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def carried(docs: DataFrame) -> list[Column]:
     """All columns under names of our own (c0, c1, ...), so that they clash with nothing."""
     return [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(docs.columns)]

@@ -31,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from odskein.llm.shared import carried, given_back, new_path, stored
+from odskein.llm.shared import carried, given_back, new_path, return_memory, stored
 from odskein.llm.suffix_runs import LEAST, Run, differences, front_code, merge, pack, spread, stretches, unpack
 
-RUN_BYTES = 16 << 20
-BUCKET_BYTES = 24 << 20
+# Text in a file, and text whose stretches share a bucket: what one task holds at a time, with about
+# thirty bytes of arrays for each byte. Larger values suit larger executors and mean fewer packets.
+RUN_BYTES = 8 << 20
+BUCKET_BYTES = 12 << 20
 SAMPLE = 32
 LAST_ID = np.iinfo(np.int64).max
 PACKET = "run string, state string, bucket int, packet binary"
@@ -140,6 +142,8 @@ def _send_classes(buckets: int):
                 for b in range(buckets):
                     part = slice(bounds[b], bounds[b + 1])
                     yield _packet(path, "", b, pack(differences(own.gram[part]), own.whole[part], own.least[part], own.several[part]))
+                del own
+                return_memory()
 
     return run
 
@@ -173,6 +177,8 @@ def _join_classes(batches):
             part = slice(at, at + size)
             yield _packet(path, "", bucket, pack(kind[part], first[part][kind[part] > 0]))
             at += size
+        del runs, gram, whole, least, several, order, g, w, d, new_gram, new_class, kind, first
+        return_memory()
 
 
 def _send_strings(splitters: list[bytes]):
@@ -215,6 +221,8 @@ def _send_strings(splitters: list[bytes]):
                 if end > at:
                     yield _packet(path, state, bucket, pack(*front_code(strings[at:end]), least[at:end]))
                 at = end
+            del strings, least, which
+            return_memory()
 
     return run
 
@@ -277,6 +285,8 @@ def _digest(batches):
             out.append((doc_id, end - begin, int(np.count_nonzero(gone)), spans, hashlib.sha256(text[begin:end][~gone].tobytes()).hexdigest()))
             begin = end
         columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(),) * 4 + (pa.string(),))]
+        del table, text, ends, goes
+        return_memory()
         yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in DIGESTS.split(", ")])
 
 
