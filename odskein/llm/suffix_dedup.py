@@ -37,7 +37,7 @@ from odskein.llm.suffix_runs import LEAST, Run, differences, front_code, merge,
 # Text in a file, and text whose stretches share a bucket: what one task holds at a time, with about
 # thirty bytes of arrays for each byte. Larger values suit larger executors and mean fewer packets.
 RUN_BYTES = 8 << 20
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 4 << 20
 SAMPLE = 32
 LAST_ID = np.iinfo(np.int64).max
 PACKET = "run string, state string, bucket int, packet binary"

@@ -16,7 +16,7 @@ from odskein.llm.wordhash import mixed, powers, prefix_sums
 
 LEAST = 50
 GRAM = 20
-SLICE = 1 << 20
+SLICE = 1 << 19
 _PLACE = np.uint64(SLICE * 2 - 1)
 
 
