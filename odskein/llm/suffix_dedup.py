@@ -317,7 +317,9 @@ def _groups(batches, key: str):
     """Runs of rows with an equal key, of batches sorted by it."""
     current, rows = None, []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("run", "state", "bucket", "packet"))):
+        packets = batch.column("packet")
+        for i, names in enumerate(zip(*(batch.column(c).to_pylist() for c in ("run", "state", "bucket")))):
+            row = (*names, packets[i].as_py())
             value = row[0] if key == "run" else row[2]
             if rows and value != current:
                 yield current, rows
