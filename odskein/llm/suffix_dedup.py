@@ -6,13 +6,14 @@ there; what travels are sorted, packed runs, one for each file and bucket.
 1. Each file's stretches (see ``suffix_runs``) go out as sorted runs of hashes with the smallest
    doc_id in the file: one entry for each different stretch, however often it occurs. Their merge
    tells each file which stretches occur elsewhere, and the smallest doc_id that has them.
-2. Where an anchor stands in different stretches, single strings decide. The first holder of each
-   such stretch sends its strings as sorted, front-coded runs, dealt out by ranges of the sorted
-   order. Loser trees that never compare a known prefix again merge the runs and find the smallest
-   doc_id of each string.
+2. Where an anchor stands in different stretches of different first holders, single strings decide.
+   Each first holder sends its stretch as the suffix from the anchor on, with the bytes before it, in
+   sorted, front-coded runs, dealt out by ranges of the sorted order. Loser trees that never compare
+   a known prefix again merge the runs; suffixes with the same anchor come out side by side, and
+   their stretches' strings are compared byte by byte.
 3. Each file marks the bytes that earlier documents have.
 
-Nothing grows with a group of copies: a file sends a string once, and a group has at most one entry
+Nothing grows with a group of copies: a file sends a stretch once, and a group has at most one entry
 for each file. All exchanges are bounded by the text, and a task holds one file or one bucket.
 
 Defined results: a null text is empty; texts below 50 bytes stay whole; a null doc_id counts as
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from odskein.llm.shared import carried, given_back, new_path, return_memory, stored
-from odskein.llm.suffix_runs import LEAST, Run, differences, front_code, merge, pack, spread, stretches, unpack
+from odskein.llm.suffix_runs import GRAM, LEAST, Run, differences, front_code, merge, pack, spread, stretches, unpack
 
 # Text in a file, and text whose stretches share a bucket: what one task holds at a time, with about
 # thirty bytes of arrays for each byte. Larger values suit larger executors and mean fewer packets.
@@ -181,88 +183,111 @@ def _join_classes(batches):
         return_memory()
 
 
-def _send_strings(splitters: list[bytes]):
-    edges = np.array(splitters, f"S{LEAST}")
-
+def _send_suffixes(splitters: list[bytes]):
     def run(batches):
         for path, rows in _groups(batches, "run"):
             own = _Classes(_read_run(path))
             kind, first = (np.concatenate(x) for x in zip(*(unpack(blob) for _, _, _, blob in rows)))
             smallest = np.full(len(kind), LAST_ID)
             smallest[kind > 0] = first
-            of = own.of
+            of, found = own.of, own.found
             gone = (kind[of] > 0) & (own.doc > smallest[of])
-            # strings of the classes whose first holder is here, taken from one of their stretches
+            # classes whose first holder is here, each by one of its stretches
             asks = np.flatnonzero((kind[of] == 2) & (own.doc == smallest[of]))
             classes, one = np.unique(of[asks], return_index=True)
             one = asks[one]
-            sizes = own.found.last[one] - own.found.first[one] + 1
-            starts = spread(own.found.first[one], sizes)
             text = own.text.tobytes()
-            known: dict[bytes, int] = {}
-            which = np.fromiter((known.setdefault(text[i : i + LEAST], len(known)) for i in starts.tolist()), np.int64, len(starts))
-            strings = sorted(known)
-            rank = np.empty(len(strings), np.int64)
-            rank[np.fromiter((known[s] for s in strings), np.int64, len(strings))] = np.arange(len(strings))
-            which = rank[which]
-            least = np.full(len(strings), LAST_ID)
-            np.minimum.at(least, which, np.repeat(smallest[classes], sizes))
+            suffixes = [text[a:b] for a, b in zip(found.anchor[one].tolist(), (found.last[one] + LEAST).tolist())]
+            order = sorted(range(len(suffixes)), key=suffixes.__getitem__)
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            suffixes = [suffixes[i] for i in order]
+            one, holders = one[order], smallest[classes][order]
+            lefts = [text[a:b] for a, b in zip(found.first[one].tolist(), found.anchor[one].tolist())]
             state = f"{path}.{uuid.uuid4().hex}"
             filesystem, inner = _file(state)
-            number = np.searchsorted(classes, of[asks])
+            number = rank[np.searchsorted(classes, of[asks])]
+            sizes = found.last[one] - found.first[one] + 1
             with filesystem.open_output_stream(inner, compression=None) as sink:
-                sink.write(pack(own.found.first[gone], own.found.last[gone], smallest[classes], sizes, which, own.found.first[asks], number))
-            del own, known, text
-            # the file's own entry, so that files without strings come through too
+                sink.write(pack(found.first[gone], found.last[gone], sizes, found.first[asks], number))
+            del own, found, text
+            # the file's own entry, so that files without suffixes come through too
             yield _packet(path, state, -1, b"")
             at = 0
-            places = np.searchsorted(np.array(strings, f"S{LEAST}"), edges, "left").tolist() if strings else [0] * len(edges)
-            for bucket, end in enumerate([*places, len(strings)]):
+            places = [bisect_left(suffixes, edge) for edge in splitters]
+            for bucket, end in enumerate([*places, len(suffixes)]):
                 if end > at:
-                    yield _packet(path, state, bucket, pack(*front_code(strings[at:end]), least[at:end]))
+                    left = lefts[at:end]
+                    left_sizes = np.fromiter(map(len, left), np.uint8, len(left))
+                    left_bytes = np.frombuffer(b"".join(left), np.uint8)
+                    yield _packet(path, state, bucket, pack(*front_code(suffixes[at:end]), left_sizes, left_bytes, holders[at:end]))
                 at = end
-            del strings, least, which
+            del suffixes, lefts
             return_memory()
 
     return run
 
 
-def _merge_strings(batches):
+def _merge_suffixes(batches):
+    """Of each suffix, a bit for each string of its stretch that an earlier document has."""
     for bucket, rows in _groups(batches, "bucket"):
         if bucket < 0:
             for path, state, _, _ in rows:
                 yield _packet(path, state, -1, b"")
             continue
         parts = [unpack(blob) for _, _, _, blob in rows]
-        least = [p[2].tolist() for p in parts]
-        group, smallest = [], LAST_ID
-        for run, at, shared in merge([Run(p[0], p[1]) for p in parts]):
-            if shared < LEAST:
-                _settle(least, group, smallest)
-                group, smallest = [], LAST_ID
-            group.append((run, at))
-            smallest = min(smallest, least[run][at])
-        _settle(least, group, smallest)
-        for (path, state, _, _), found in zip(rows, least):
-            yield _packet(path, state, bucket, pack(np.array(found, np.int64)))
+        lefts = [_cut(p[4].tobytes(), p[3]) for p in parts]
+        holders = [p[5].tolist() for p in parts]
+        earlier = [[0] * len(h) for h in holders]
+        runs = [Run(*p[:3]) for p in parts]
+        group: list = []
+        for run, at, shared in merge(runs):
+            # suffixes with the same anchor share its bytes and follow one another
+            if shared < GRAM:
+                _compare(group, earlier)
+                group = []
+            group.append((run, at, lefts[run][at], runs[run].string, holders[run][at]))
+        _compare(group, earlier)
+        for (path, state, _, _), bits in zip(rows, earlier):
+            yield _packet(path, state, bucket, pack(np.array(bits, np.int64)))
+        del parts, lefts, holders, earlier, runs, group
+        return_memory()
+
 
+def _cut(data: bytes, sizes: np.ndarray) -> list[bytes]:
+    ends = np.cumsum(sizes, dtype=np.int64).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
 
-def _settle(least, group, smallest):
-    if len(group) > 1:
-        for run, at in group:
-            least[run][at] = smallest
+
+def _compare(group: list, earlier: list[list[int]]) -> None:
+    """Compare the strings of a group's stretches, by how much of them stands before the anchor."""
+    if len({holder for *_, holder in group}) < 2:
+        return
+    for before in range(LEAST - GRAM + 1):
+        after = LEAST - before
+        smallest: dict[bytes, int] = {}
+        there = []
+        for run, at, left, right, holder in group:
+            if len(left) >= before and len(right) >= after:
+                string = left[len(left) - before :] + right[:after]
+                there.append((run, at, len(left) - before, string, holder))
+                if smallest.setdefault(string, holder) > holder:
+                    smallest[string] = holder
+        for run, at, place, string, holder in there:
+            if smallest[string] < holder:
+                earlier[run][at] |= 1 << place
 
 
 def _mark(table: pa.Table, state: str, packets: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The file's bytes, where its documents end, and which bytes go."""
     filesystem, inner = _file(state)
     with filesystem.open_input_stream(inner, compression=None) as source:
-        first, last, holders, sizes, which, asking, number = unpack(source.read())
-    least = np.concatenate([np.empty(0, np.int64), *(unpack(blob)[0] for blob in packets)])
-    earlier = least[which] < np.repeat(holders, sizes)
+        first, last, sizes, asking, number = unpack(source.read())
+    bits = np.concatenate([np.empty(0, np.int64), *(unpack(blob)[0] for blob in packets)])
     # every stretch of an asking class has the strings of the one that was sent
-    starts = spread(asking, sizes[number])
-    gone = starts[earlier[spread((np.cumsum(sizes) - sizes)[number], sizes[number])]]
+    times = sizes[number]
+    place = spread(np.zeros(len(asking), np.int64), times)
+    gone = spread(asking, times)[(np.repeat(bits[number], times) >> place) & 1 == 1]
     text, ends = _text_of(table)
     depth = np.zeros(len(text) + 1, np.int32)
     np.add.at(depth, np.concatenate([first, gone]), 1)
@@ -337,9 +362,12 @@ def _dealt(packets: DataFrame, count: int, key: str) -> DataFrame:
 
 
 def _splitters(runs: DataFrame, buckets: int) -> list[bytes]:
-    """Strings that cut the sorted order into parts of like size, from a sample of at most 4096 files."""
+    """Beginnings that cut the sorted order into parts of like size, from a sample of at most 4096 files.
+
+    They are as long as an anchor, so suffixes with the same anchor stay together.
+    """
     rows = runs.select("sample").orderBy(F.xxhash64("run")).limit(4096).collect()
-    strings = sorted(bytes(s) for row in rows for s in row["sample"])
+    strings = sorted(bytes(s)[:GRAM] for row in rows for s in row["sample"])
     return sorted({strings[i * len(strings) // buckets] for i in range(1, buckets)}) if strings else []
 
 
@@ -355,9 +383,9 @@ def _marked(docs: DataFrame, run_bytes: int, bucket_bytes: int) -> DataFrame:
     splitters = _splitters(runs, buckets)
     classes = runs.select("run").repartition(files, "run").mapInArrow(_send_classes(buckets), PACKET)
     kinds = _dealt(classes, buckets, "bucket").mapInArrow(_join_classes, PACKET)
-    strings = _dealt(kinds, files, "run").mapInArrow(_send_strings(splitters), PACKET)
-    smallest = _dealt(strings, buckets, "bucket").mapInArrow(_merge_strings, PACKET)
-    return _dealt(smallest, files, "run")
+    suffixes = _dealt(kinds, files, "run").mapInArrow(_send_suffixes(splitters), PACKET)
+    earlier = _dealt(suffixes, buckets, "bucket").mapInArrow(_merge_suffixes, PACKET)
+    return _dealt(earlier, files, "run")
 
 
 def _plain(docs: DataFrame, *more) -> DataFrame:

@@ -22,10 +22,11 @@ _PLACE = np.uint64(SLICE * 2 - 1)
 
 @dataclass
 class Stretches:
-    """For each stretch: first and last start of its strings, the anchor's hash, the stretch's hash."""
+    """For each stretch: first and last start of its strings, its anchor, the hashes of anchor and stretch."""
 
     first: np.ndarray
     last: np.ndarray
+    anchor: np.ndarray
     gram: np.ndarray
     whole: np.ndarray
 
@@ -39,7 +40,7 @@ def stretches(text: np.ndarray, ends: np.ndarray) -> Stretches:
     parts = [_slice_stretches(text, ends, at) for at in range(0, max(0, len(text) - LEAST + 1), SLICE)]
     if not parts:
         none = np.empty(0, np.int64)
-        return Stretches(none, none, none.astype(np.uint64), none.astype(np.uint64))
+        return Stretches(none, none, none, none.astype(np.uint64), none.astype(np.uint64))
     return Stretches(*(np.concatenate(columns) for columns in zip(*parts)))
 
 
@@ -65,7 +66,7 @@ def _slice_stretches(text, ends, at):
     start = np.flatnonzero(inside)
     if not len(start):
         none = np.empty(0, np.int64)
-        return none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     own = anchor[start]
     turn = np.flatnonzero((np.diff(start) != 1) | (np.diff(own) != 0)) + 1
     first, last = start[np.concatenate([[0], turn])], start[np.concatenate([turn - 1, [len(start) - 1]])]
@@ -73,7 +74,7 @@ def _slice_stretches(text, ends, at):
     # the stretch's own hash, apart for each place that the anchor can have in it
     whole = (sums[last + LEAST] - sums[first]) * powers(len(data))[1][first]
     whole = mixed(whole ^ mixed((own - first + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-    return first + at, last + at, grams[own], whole
+    return first + at, last + at, own + at, grams[own], whole
 
 
 # ---------------------------------------------------------------- packed columns
@@ -116,32 +117,36 @@ def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(first - (ends - sizes), sizes)
 
 
-def front_code(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Shared prefix length with the string before, and the remaining bytes, of sorted strings."""
-    table = np.frombuffer(b"".join(strings), np.uint8).reshape(-1, LEAST)
-    shared = np.zeros(len(table), np.uint8)
+def front_code(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths (LEAST at most), prefix shared with the string before, and other bytes of sorted strings."""
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    table = np.frombuffer(b"".join(s.ljust(LEAST, b"\0") for s in strings), np.uint8).reshape(-1, LEAST)
+    shared = np.zeros(len(table), np.int64)
     if len(table) > 1:
         differs = table[1:] != table[:-1]
-        shared[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), LEAST)
-    return shared, table[np.arange(LEAST) >= shared[:, None]]
+        same = np.where(differs.any(axis=1), differs.argmax(axis=1), LEAST)
+        shared[1:] = np.minimum(same, np.minimum(sizes[1:], sizes[:-1]))
+    place = np.arange(LEAST)
+    rest = table[(place >= shared[:, None]) & (place < sizes[:, None])]
+    return sizes.astype(np.uint8), shared.astype(np.uint8), rest
 
 
 class Run:
     """A sorted run, decoded one string at a time."""
 
-    __slots__ = ("shared", "rest", "at", "place", "string", "size")
+    __slots__ = ("sizes", "shared", "rest", "at", "place", "string")
 
-    def __init__(self, shared: np.ndarray, rest: np.ndarray):
-        self.shared, self.rest, self.size = shared.tolist(), rest.tobytes(), len(shared)
+    def __init__(self, sizes: np.ndarray, shared: np.ndarray, rest: np.ndarray):
+        self.sizes, self.shared, self.rest = sizes.tolist(), shared.tolist(), rest.tobytes()
         self.at, self.place, self.string = -1, 0, b""
 
     def advance(self) -> int:
         """Go to the next string; the prefix it shares with the one before, or -1 at the end."""
         self.at += 1
-        if self.at >= self.size:
+        if self.at >= len(self.sizes):
             return -1
         shared = self.shared[self.at]
-        end = self.place + LEAST - shared
+        end = self.place + self.sizes[self.at] - shared
         self.string = self.string[:shared] + self.rest[self.place : end]
         self.place = end
         return shared
@@ -166,12 +171,11 @@ def merge(runs: list[Run]):
         if la < 0:
             return a, la, b, lb
         x, y = runs[a].string, runs[b].string
-        if x == y:
-            return (a, la, b, LEAST) if a < b else (b, lb, a, LEAST)
-        i = la
-        while x[i] == y[i]:
+        i, end = la, min(len(x), len(y))
+        while i < end and x[i] == y[i]:
             i += 1
-        return (a, la, b, i) if x[i] < y[i] else (b, lb, a, i)
+        first = (x[i] < y[i]) if i < end else (len(x), a) < (len(y), b)
+        return (a, la, b, i) if first else (b, lb, a, i)
 
     losers: list = [None] * size
     # Before the first output every known prefix is empty.

@@ -81,13 +81,15 @@ def test_empty_table(docs_of):
 @pytest.mark.parametrize("count", [1, 2, 3, 7])
 def test_merge_of_front_coded_runs(count):
     rng = random.Random(count)
-    runs = [sorted({bytes(rng.choices(b"ab", k=LEAST)) if rng.random() < 0.5 else b"a" * (LEAST - 3) + bytes(rng.choices(b"abc", k=3)) for _ in range(rng.randint(0, 60))}) for _ in range(count)]
-    coded = [suffix_runs.Run(*suffix_runs.front_code(r)) if r else suffix_runs.Run(*(suffix_runs.front_code([b"a" * LEAST])[i][:0] for i in (0, 1))) for r in runs]
+    draw = lambda: bytes(rng.choices(b"ab\0", k=rng.randint(1, LEAST))) if rng.random() < 0.5 else b"a" * rng.randint(30, LEAST - 3) + bytes(rng.choices(b"abc", k=3))
+    runs = [sorted({draw() for _ in range(rng.randint(0, 60))}) for _ in range(count)]
+    coded = [suffix_runs.Run(*suffix_runs.front_code(r)) for r in runs]
     merged, before = [], None
     for run, at, shared in suffix_runs.merge(coded):
         string = runs[run][at]
         if before is not None:
-            same = next((i for i in range(LEAST) if string[i] != before[i]), LEAST)
+            end = min(len(string), len(before))
+            same = next((i for i in range(end) if string[i] != before[i]), end)
             assert shared == same
         merged.append(string)
         before = string
