@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 from bisect import bisect_left
 
 import numpy as np
@@ -212,7 +213,7 @@ def _send_suffixes(splitters: list[bytes]):
                 sink.write(pack(found.first[gone], found.last[gone], sizes, found.first[asks], number))
             del own, found, text
             # the file's own entry, so that files without suffixes come through too
-            yield _packet(path, state, -1, b"")
+            yield _packet(path, state, -1 - zlib.crc32(path.encode()) % (len(splitters) + 1), b"")
             at = 0
             places = [bisect_left(suffixes, edge) for edge in splitters]
             for bucket, end in enumerate([*places, len(suffixes)]):
@@ -233,7 +234,7 @@ def _merge_suffixes(batches):
     for bucket, rows in _groups(batches, "bucket"):
         if bucket < 0:
             for path, state, _, _ in rows:
-                yield _packet(path, state, -1, b"")
+                yield _packet(path, state, bucket, b"")
             continue
         parts = [unpack(blob) for _, _, _, blob in rows]
         lefts = [_cut(p[4].tobytes(), p[3]) for p in parts]

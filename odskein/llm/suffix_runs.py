@@ -74,7 +74,8 @@ def _slice_stretches(text, ends, at):
     # the stretch's own hash, apart for each place that the anchor can have in it
     whole = (sums[last + LEAST] - sums[first]) * powers(len(data))[1][first]
     whole = mixed(whole ^ mixed((own - first + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-    return first + at, last + at, own + at, grams[own], whole
+    # anchors have small hashes; mixed anew they fill the buckets evenly
+    return first + at, last + at, own + at, mixed(grams[own]), whole
 
 
 # ---------------------------------------------------------------- packed columns
