@@ -1,20 +1,23 @@
-"""License scan: which text blocks of a document hold (most of) a license notice.
+"""License scan: which stretches of a document's words hold (most of) a license notice.
 
-A block is a line of the text, a notice a template of a few words; both are sets of words. A block
-matches where it holds at least ``threshold`` of a template's words. Words are ordered by how many
-blocks of the whole corpus hold them, rarest first, and three filters come before any count:
+A notice is a template of a few words. It is looked for in windows of the document's whole word
+sequence, line breaks and punctuation ignored: as many words as the template has, and one more for
+each SLACK of them (for comment signs and words put in). A window matches where it holds at least
+``threshold`` of the template's different words. Words are ordered by how many documents of the
+whole corpus hold them, rarest first, and three filters come before any window is counted:
 
 - prefix: a match must hold one of the template's rarest words, as many as may be missing and one;
-- length: a block with fewer words than the match needs is no candidate;
-- position: from the first shared word on, the template must have enough words left.
+- length: a document, and the reach around a prefix word, must hold as many words as the match needs;
+- position: a window is counted at its rarest word, so only words that come after it in the order count.
 
-Candidates are the (block, template) pairs that share a prefix word; each is counted exactly. All
-of it is DataFrame expressions: one scan for the words' frequencies, whose result is one row for
-each template word, and one scan for the match, without a shuffle of texts.
+Each window around a place that passes is counted exactly. All of it is DataFrame expressions: one
+scan for the words' frequencies, whose result is one row for each template word, and one scan for
+the match, without a shuffle of texts.
 
 Templates are a parameter of the job, so their vocabulary is bounded by the caller and stands in
-the plan as literals. Defined results: null and empty texts have no words and no label; repeated
-rows are scanned one by one; an empty table gives no rows; other columns are not looked at.
+the plan as literals. Defined results: null and empty texts have no words and no label; a text that
+is shorter than a window is one window; repeated rows are scanned one by one; an empty table gives
+no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 
 from odskein.llm.native import let, lower_az, plain_words, whole_text
 
+# A window has one word more than its template for each so many words of it.
+SLACK = 5
 # Phrases whose words, one after the other, name a license: words and label.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 # Notices: label and text, in the wording that the licenses ask for.
@@ -47,39 +52,30 @@ class Notice:
     label: str
     words: tuple[str, ...]
     needed: int
+    width: int
 
     @property
     def prefix(self) -> tuple[str, ...]:
         return self.words[: len(self.words) - self.needed + 1]
 
 
-def blocks_of(text: Column) -> Column:
-    """The word lists of a text's lines."""
-    return F.transform(F.split(text, "\n"), plain_words)
-
-
 def word_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
-    """In how many blocks of the corpus each word of the templates occurs (at most that many rows)."""
-    held = F.filter(F.array_distinct(F.col("block")), lambda w: w.isin(vocabulary))
-    rows = (
-        docs.select(F.explode(blocks_of(lower_az(whole_text()))).alias("block"))
-        .select(F.explode(held).alias("word"))
-        .groupBy("word")
-        .count()
-        .collect()
-    )
+    """How many documents hold each word of the templates (at most that many rows)."""
+    held = F.array_distinct(F.filter(plain_words(lower_az(whole_text())), lambda w: w.isin(vocabulary)))
+    rows = docs.select(F.explode(held).alias("word")).groupBy("word").count().collect()
     return {row["word"]: row["count"] for row in rows}
 
 
 def ordered_notices(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> list[Notice]:
     """Templates with their words in the global order and the overlap that a match needs."""
-    sets = [(label, set(text.split())) for label, text in templates]
-    vocabulary = sorted(set().union(*[words for _, words in sets]))
+    said = [(label, text.split()) for label, text in templates]
+    vocabulary = sorted(set().union(*[words for _, words in said]))
     counts = word_frequencies(docs, vocabulary)
     notices = []
-    for label, words in sets:
-        ranked = sorted(words, key=lambda w: (counts.get(w, 0), w))
-        notices.append(Notice(label, tuple(ranked), math.ceil(threshold * len(ranked) - 1e-9)))
+    for label, words in said:
+        ranked = sorted(set(words), key=lambda w: (counts.get(w, 0), w))
+        needed = math.ceil(threshold * len(ranked) - 1e-9)
+        notices.append(Notice(label, tuple(ranked), needed, len(words) + len(words) // SLACK))
     return notices
 
 
@@ -97,7 +93,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
             named = named | text.contains(word)
     suspect = F.size(F.filter("words", lambda w: w.isin(prefix))) > 0
     places = F.when(named, _places(F.col("words"), phrases))
-    matches = F.when(suspect, _matches(text, notices))
+    matches = F.when(suspect, _matches(F.col("words"), notices))
     return (
         read.select("doc_id", F.size("words").cast("long").alias("n_words"), places.alias("places"), matches.alias("matches"))
         .withColumn("places", F.coalesce("places", F.array().cast("array<struct<at:bigint,label:string>>")))
@@ -137,27 +133,40 @@ def _places(words: Column, phrases) -> Column:
     return F.filter(F.transform(words, label_at), lambda place: place["label"].isNotNull())
 
 
-def _matches(text: Column, notices: list[Notice]) -> Column:
-    """Label and containment of each (block, template) pair that reaches the threshold."""
-    least = min(notice.needed for notice in notices)
-    prefix = sorted({word for notice in notices for word in notice.prefix})
+def _matches(words: Column, notices: list[Notice]) -> Column:
+    """Label and containment of each template for each place where a window reaches the threshold."""
     vocabulary = sorted({word for notice in notices for word in notice.words})
+    held = F.array_distinct(F.filter(words, lambda w: w.isin(vocabulary)))
+    return let(held, lambda h: F.flatten(F.array(*[_found(words, h, notice) for notice in notices])))
+
+
+def _found(words: Column, held: Column, notice: Notice) -> Column:
+    """The matches of one template; none where the document lacks a prefix word or too many others."""
+    listed = F.array(*map(F.lit, notice.words))
+    prefix = F.array(*map(F.lit, notice.prefix))
+    possible = F.arrays_overlap(held, prefix) & (F.size(F.array_intersect(held, listed)) >= notice.needed)
+    places = F.filter(
+        F.transform(words, lambda w, i: F.struct(i.alias("at"), F.array_position(prefix, w).cast("int").alias("rank"))),
+        lambda place: place["rank"] > 0,
+    )
+    scores = F.filter(F.transform(places, lambda place: _best(words, place, listed, notice)), lambda m: m.isNotNull())
+    return F.when(possible, scores).otherwise(F.array().cast("array<struct<score:double,label:string>>"))
 
-    def candidate(block: Column) -> Column:
-        return (F.size(block) >= least) & F.exists(block, lambda w: w.isin(prefix))
 
-    def of(block: Column) -> Column:
-        return F.filter(F.array(*[_match(block, notice) for notice in notices]), lambda m: m.isNotNull())
+def _best(words: Column, place: Column, listed: Column, notice: Notice) -> Column:
+    """The best window whose rarest word stands at the place, or null where none reaches the threshold."""
+    at, width = place["at"], notice.width
+    first = F.greatest(at - (width - 1), F.lit(0))
+    # words before the place's in the order are another place's to count
+    later = F.slice(listed, place["rank"], F.lit(len(notice.words)))
 
-    known = F.transform(blocks_of(text), lambda b: F.array_distinct(F.filter(b, lambda w: w.isin(vocabulary))))
-    return F.flatten(F.transform(F.filter(known, candidate), of))
+    def shared(begin: Column, size: Column, counted: Column) -> Column:
+        return F.size(F.array_intersect(F.slice(words, begin + 1, size), counted))
 
+    def of(counted: Column) -> Column:
+        windows = F.transform(F.sequence(first, at), lambda begin: shared(begin, F.lit(width), counted))
+        best = F.when(shared(first, at - first + width, counted) >= notice.needed, F.array_max(windows))
+        pair = lambda n: F.struct((n / F.lit(len(notice.words))).alias("score"), F.lit(notice.label).alias("label"))
+        return let(best, lambda n: F.when(n >= notice.needed, pair(n)))
 
-def _match(block: Column, notice: Notice) -> Column:
-    """The pair's label and containment, or null where a filter or the count rules it out."""
-    words = notice.words
-    first = F.coalesce(*[F.when(F.array_contains(block, word), F.lit(i)) for i, word in enumerate(notice.prefix)])
-    reachable = (F.size(block) >= notice.needed) & first.isNotNull() & (len(words) - first >= notice.needed)
-    shared = F.size(F.array_intersect(block, F.array(*map(F.lit, words))))
-    pair = F.struct((shared / F.lit(len(words))).alias("score"), F.lit(notice.label).alias("label"))
-    return F.when(F.when(reachable, shared >= notice.needed).otherwise(False), pair)
+    return let(later, of)

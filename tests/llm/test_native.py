@@ -57,6 +57,20 @@ def test_license_labels(docs_of):
     assert rows[3]["n_base"] == 1 and rows[3]["first_word"] == rows[3]["last_word"] == 1
 
 
+WRAPPED = {
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
+    "gpl": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the\n * licence named below",
+    "mit": "# Permission is hereby granted, free of charge, to any\n# person obtaining a copy\n# of this software and associated files",
+}
+
+
+@pytest.mark.parametrize("around", ["", "lines of other words\n" * 30])
+def test_wrapped_notices_are_found_whole(docs_of, around):
+    rows = [(i, around + text + "\n" + around) for i, text in enumerate(WRAPPED.values())]
+    found = {r["doc_id"]: (r["labels"], r["score"], r["n_base"]) for r in license_scan.scan(docs_of(rows)).collect()}
+    assert found == {i: (label, 1.0, 0) for i, label in enumerate(WRAPPED)}
+
+
 def test_repeated_rows_are_judged_one_by_one(docs_of):
     frame = quality_rules.judged(docs_of(odd_rows()))
     assert frame.count() == len(odd_rows())
