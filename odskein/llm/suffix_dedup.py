@@ -11,10 +11,17 @@ there; what travels are sorted, packed runs, one for each file and bucket.
    sorted, front-coded runs, dealt out by ranges of the sorted order. Loser trees that never compare
    a known prefix again merge the runs; suffixes with the same anchor come out side by side, and
    their stretches' strings are compared byte by byte.
-3. Each file marks the bytes that earlier documents have.
-
-Nothing grows with a group of copies: a file sends a stretch once, and a group has at most one entry
-for each file. All exchanges are bounded by the text, and a task holds one file or one bucket.
+3. Around an anchor with very many different stretches (more than CROWD in one file, or more than
+   CROWD_ALL in all) no stretches are compared. A string is decided by its own bytes, so each file
+   sends each of its different strings there once, with the smallest doc_id, dealt out by the
+   string's own hash; equal strings meet and nothing else of the anchor has to.
+4. Each file marks the bytes that earlier documents have.
+
+Nothing grows with a group of copies: a file sends a stretch or string once, and a group of equal
+ones has at most one entry for each file. Nothing grows with the surroundings of an anchor: a file
+sends at most CROWD of an anchor's stretches to one bucket, and at most CROWD_ALL suffixes of an
+anchor are merged in one task. A task holds one file or one bucket. Exchanges are bounded by the
+text, those of crowded anchors' strings by LEAST times the text around such anchors.
 
 Defined results: a null text is empty; texts below 50 bytes stay whole; a null doc_id counts as
 larger than all others; rows that share a doc_id do not remove each other's text; repeated rows
@@ -35,13 +42,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from odskein.llm.shared import carried, given_back, new_path, return_memory, stored
-from odskein.llm.suffix_runs import GRAM, LEAST, Run, differences, front_code, merge, pack, spread, stretches, unpack
+from odskein.llm.suffix_runs import GRAM, LEAST, Run, differences, front_code, merge, pack, spread, stretches, string_keys, unpack, windows
 
 # Text in a file, and text whose stretches share a bucket: what one task holds at a time, with about
 # thirty bytes of arrays for each byte. Larger values suit larger executors and mean fewer packets.
 RUN_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
+SLICE = 1 << 16
 SAMPLE = 32
+# Different stretches of one anchor, in a file and in all, beyond which its strings go out one by one.
+CROWD = 32
+CROWD_ALL = 1 << 16
 LAST_ID = np.iinfo(np.int64).max
 PACKET = "run string, state string, bucket int, packet binary"
 
@@ -126,11 +137,17 @@ class _Classes:
         self.gram, self.whole, self.least = gram[head], whole[head], doc[head]
         tail = np.concatenate([head[1:] - 1, [len(order) - 1]]) if len(head) else head
         self.several = doc[tail] != doc[head]  # more than one doc_id in this file
+        turn = np.ones(len(head), bool)
+        turn[1:] = self.gram[1:] != self.gram[:-1]
+        many = np.diff(np.append(np.flatnonzero(turn), len(head)))
+        self.crowded = np.repeat(many > CROWD, many)
+        self.sent = ~self.crowded | turn  # of a crowded anchor's classes only the first goes out
+
 
-    def bounds(self, buckets: int) -> np.ndarray:
-        """Where each bucket's classes begin and end."""
-        edges = [np.uint64((i << 64) // buckets) for i in range(1, buckets)]
-        return np.concatenate([[0], np.searchsorted(self.gram, np.array(edges, np.uint64), "left"), [len(self.gram)]])
+def _bounds(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's part of the sorted hashes begins and ends."""
+    edges = [np.uint64((i << 64) // buckets) for i in range(1, buckets)]
+    return np.concatenate([[0], np.searchsorted(hashes, np.array(edges, np.uint64), "left"), [len(hashes)]])
 
 
 # ---------------------------------------------------------------- the four kinds of task
@@ -141,11 +158,13 @@ def _send_classes(buckets: int):
         for batch in batches:
             for path in batch.column("run").to_pylist():
                 own = _Classes(_read_run(path))
-                bounds = own.bounds(buckets)
+                flags = own.several.astype(np.uint8) | own.crowded.astype(np.uint8) << 1
+                gram, whole, least, flags = (a[own.sent] for a in (own.gram, own.whole, own.least, flags))
+                bounds = _bounds(gram, buckets)
                 for b in range(buckets):
                     part = slice(bounds[b], bounds[b + 1])
-                    yield _packet(path, "", b, pack(differences(own.gram[part]), own.whole[part], own.least[part], own.several[part]))
-                del own
+                    yield _packet(path, "", b, pack(differences(gram[part]), whole[part], least[part], flags[part]))
+                del own, gram, whole, least, flags
                 return_memory()
 
     return run
@@ -153,12 +172,12 @@ def _send_classes(buckets: int):
 
 def _join_classes(batches):
     """Of each class in a bucket: 0 nowhere else, 1 elsewhere too, 2 with an anchor that different
-    first holders have in different stretches."""
+    first holders have in different stretches, 3 with a crowded anchor."""
     for bucket, rows in _groups(batches, "bucket"):
         runs = [unpack(blob) for _, _, _, blob in rows]
         sizes = np.array([len(r[0]) for r in runs], np.int64)
         gram = np.concatenate([np.cumsum(r[0], dtype=np.uint64) for r in runs])
-        whole, least, several = (np.concatenate([r[i] for r in runs]) for i in (1, 2, 3))
+        whole, least, flags = (np.concatenate([r[i] for r in runs]) for i in (1, 2, 3))
         order = np.lexsort((whole, gram))
         g, w, d = gram[order], whole[order], least[order]
         new_gram, new_class = np.ones(len(g), bool), np.ones(len(g), bool)
@@ -169,30 +188,38 @@ def _join_classes(batches):
             heads = np.flatnonzero(new_class)
             number = np.cumsum(new_class) - 1
             smallest = np.minimum.reduceat(d, heads)
-            shared = (np.maximum.reduceat(d, heads) != smallest) | np.logical_or.reduceat(several[order], heads)
+            shared = (np.maximum.reduceat(d, heads) != smallest) | np.bitwise_or.reduceat(flags[order] & 1, heads).astype(bool)
             of_gram = np.cumsum(new_gram[heads]) - 1
             grams = np.flatnonzero(new_gram[heads])
             apart = np.minimum.reduceat(smallest, grams) != np.maximum.reduceat(smallest, grams)
-            kind[order] = np.where(apart[of_gram], 2, shared)[number]
+            crowded = np.bitwise_or.reduceat(flags[order], np.flatnonzero(new_gram)) > 1
+            crowded |= np.diff(np.append(grams, len(heads))) > CROWD_ALL
+            kind[order] = np.where(crowded[of_gram], 3, np.where(apart[of_gram], 2, shared))[number]
             first[order] = smallest[number]
         at = 0
         for (path, *_), size in zip(rows, sizes.tolist()):
             part = slice(at, at + size)
-            yield _packet(path, "", bucket, pack(kind[part], first[part][kind[part] > 0]))
+            yield _packet(path, "", bucket, pack(kind[part], first[part][np.isin(kind[part], (1, 2))]))
             at += size
-        del runs, gram, whole, least, several, order, g, w, d, new_gram, new_class, kind, first
+        del runs, gram, whole, least, flags, order, g, w, d, new_gram, new_class, kind, first
         return_memory()
 
 
-def _send_suffixes(splitters: list[bytes]):
+def _send_suffixes(splitters: list[bytes], buckets: int):
+    strings_from = len(splitters) + 1  # buckets of strings come after those of suffixes
+
     def run(batches):
         for path, rows in _groups(batches, "run"):
             own = _Classes(_read_run(path))
-            kind, first = (np.concatenate(x) for x in zip(*(unpack(blob) for _, _, _, blob in rows)))
+            told, first = (np.concatenate(x) for x in zip(*(unpack(blob) for _, _, _, blob in rows)))
+            kind = np.full(len(own.gram), 3, np.uint8)
+            kind[own.sent] = told
+            known = np.isin(kind, (1, 2))
             smallest = np.full(len(kind), LAST_ID)
-            smallest[kind > 0] = first
+            smallest[known] = first
             of, found = own.of, own.found
-            gone = (kind[of] > 0) & (own.doc > smallest[of])
+            gone = known[of] & (own.doc > smallest[of])
+            crowd = _Strings(own, np.flatnonzero(kind[of] == 3))
             # classes whose first holder is here, each by one of its stretches
             asks = np.flatnonzero((kind[of] == 2) & (own.doc == smallest[of]))
             classes, one = np.unique(of[asks], return_index=True)
@@ -210,10 +237,11 @@ def _send_suffixes(splitters: list[bytes]):
             number = rank[np.searchsorted(classes, of[asks])]
             sizes = found.last[one] - found.first[one] + 1
             with filesystem.open_output_stream(inner, compression=None) as sink:
-                sink.write(pack(found.first[gone], found.last[gone], sizes, found.first[asks], number))
-            del own, found, text
+                begins, lasts = (np.concatenate([part[gone], crowd.gone]) for part in (found.first, found.last))
+                sink.write(pack(begins, lasts, sizes, found.first[asks], number, crowd.asking, crowd.number, np.array([strings_from])))
+            del found, text
             # the file's own entry, so that files without suffixes come through too
-            yield _packet(path, state, -1 - zlib.crc32(path.encode()) % (len(splitters) + 1), b"")
+            yield _packet(path, state, -1 - zlib.crc32(path.encode()) % strings_from, b"")
             at = 0
             places = [bisect_left(suffixes, edge) for edge in splitters]
             for bucket, end in enumerate([*places, len(suffixes)]):
@@ -223,36 +251,86 @@ def _send_suffixes(splitters: list[bytes]):
                     left_bytes = np.frombuffer(b"".join(left), np.uint8)
                     yield _packet(path, state, bucket, pack(*front_code(suffixes[at:end]), left_sizes, left_bytes, holders[at:end]))
                 at = end
-            del suffixes, lefts
+            bounds = _bounds(crowd.key, buckets)
+            for b in range(buckets):
+                part = slice(bounds[b], bounds[b + 1])
+                if part.stop > part.start:
+                    yield _packet(path, state, strings_from + b, pack(windows(own.text)[crowd.start[part]].ravel(), crowd.least[part]))
+            del own, suffixes, lefts, crowd
+            return_memory()
+
+    return run
+
+
+class _Strings:
+    """The different strings of some stretches, in the order of their hashes, with the smallest doc_id
+    of each. Equal hashes with different bytes stay apart (a string may then have several entries)."""
+
+    def __init__(self, own: _Classes, which: np.ndarray):
+        times = own.found.last[which] - own.found.first[which] + 1
+        start, doc = spread(own.found.first[which], times), np.repeat(own.doc[which], times)
+        key = string_keys(own.text, start)
+        order = np.lexsort((doc, key))
+        start, doc, key = start[order], doc[order], key[order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        again = np.flatnonzero(~fresh)
+        for at in range(0, len(again), SLICE):
+            some = again[at : at + SLICE]
+            texts = windows(own.text)
+            fresh[some] = (texts[start[some]] != texts[start[some - 1]]).any(axis=1)
+        head = np.flatnonzero(fresh)
+        number = np.cumsum(fresh) - 1
+        self.key, self.start, self.least = key[head], start[head], doc[head]
+        first = doc == self.least[number] if len(head) else fresh
+        self.gone = start[~first]
+        self.asking, self.number = start[first], number[first]
+
+
+def _merge(strings_from: int):
+    def run(batches):
+        for bucket, rows in _groups(batches, "bucket"):
+            if bucket < 0:
+                answers = [b""] * len(rows)
+            else:
+                answers = (_merge_suffixes if bucket < strings_from else _merge_strings)([unpack(blob) for *_, blob in rows])
+            for (path, state, _, _), answer in zip(rows, answers):
+                yield _packet(path, state, bucket, answer)
             return_memory()
 
     return run
 
 
-def _merge_suffixes(batches):
+def _merge_strings(parts: list) -> list[bytes]:
+    """Of each string, whether an earlier document has it."""
+    table = np.concatenate([p[0].reshape(-1, LEAST) for p in parts])
+    doc = np.concatenate([p[1] for p in parts])
+    order = np.argsort(table.view(f"S{LEAST}").ravel(), kind="stable")
+    fresh = np.ones(len(order), bool)
+    for at in range(1, len(order), SLICE):
+        here = order[at : at + SLICE]
+        fresh[at : at + SLICE] = (table[here] != table[order[at - 1 : at - 1 + len(here)]]).any(axis=1)
+    smallest = np.minimum.reduceat(doc[order], np.flatnonzero(fresh))
+    earlier = np.empty(len(order), np.uint8)
+    earlier[order] = smallest[np.cumsum(fresh) - 1] < doc[order]
+    return [pack(part) for part in np.split(earlier, np.cumsum([len(p[1]) for p in parts])[:-1])]
+
+
+def _merge_suffixes(parts: list) -> list[bytes]:
     """Of each suffix, a bit for each string of its stretch that an earlier document has."""
-    for bucket, rows in _groups(batches, "bucket"):
-        if bucket < 0:
-            for path, state, _, _ in rows:
-                yield _packet(path, state, bucket, b"")
-            continue
-        parts = [unpack(blob) for _, _, _, blob in rows]
-        lefts = [_cut(p[4].tobytes(), p[3]) for p in parts]
-        holders = [p[5].tolist() for p in parts]
-        earlier = [[0] * len(h) for h in holders]
-        runs = [Run(*p[:3]) for p in parts]
-        group: list = []
-        for run, at, shared in merge(runs):
-            # suffixes with the same anchor share its bytes and follow one another
-            if shared < GRAM:
-                _compare(group, earlier)
-                group = []
-            group.append((run, at, lefts[run][at], runs[run].string, holders[run][at]))
-        _compare(group, earlier)
-        for (path, state, _, _), bits in zip(rows, earlier):
-            yield _packet(path, state, bucket, pack(np.array(bits, np.int64)))
-        del parts, lefts, holders, earlier, runs, group
-        return_memory()
+    lefts = [_cut(p[4].tobytes(), p[3]) for p in parts]
+    holders = [p[5].tolist() for p in parts]
+    earlier = [[0] * len(h) for h in holders]
+    runs = [Run(*p[:3]) for p in parts]
+    group: list = []
+    for run, at, shared in merge(runs):
+        # suffixes with the same anchor share its bytes and follow one another
+        if shared < GRAM:
+            _compare(group, earlier)
+            group = []
+        group.append((run, at, lefts[run][at], runs[run].string, holders[run][at]))
+    _compare(group, earlier)
+    return [pack(np.array(bits, np.int64)) for bits in earlier]
 
 
 def _cut(data: bytes, sizes: np.ndarray) -> list[bytes]:
@@ -279,16 +357,18 @@ def _compare(group: list, earlier: list[list[int]]) -> None:
                 earlier[run][at] |= 1 << place
 
 
-def _mark(table: pa.Table, state: str, packets: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _mark(table: pa.Table, rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The file's bytes, where its documents end, and which bytes go."""
-    filesystem, inner = _file(state)
+    filesystem, inner = _file(rows[0][1])
     with filesystem.open_input_stream(inner, compression=None) as source:
-        first, last, sizes, asking, number = unpack(source.read())
-    bits = np.concatenate([np.empty(0, np.int64), *(unpack(blob)[0] for blob in packets)])
+        first, last, sizes, asking, number, strings, string_number, (strings_from,) = unpack(source.read())
+    bits = np.concatenate([np.empty(0, np.int64), *(unpack(blob)[0] for *_, b, blob in rows if 0 <= b < strings_from)])
+    earlier = np.concatenate([np.empty(0, np.uint8), *(unpack(blob)[0] for *_, b, blob in rows if b >= strings_from)])
     # every stretch of an asking class has the strings of the one that was sent
     times = sizes[number]
     place = spread(np.zeros(len(asking), np.int64), times)
     gone = spread(asking, times)[(np.repeat(bits[number], times) >> place) & 1 == 1]
+    gone = np.concatenate([gone, strings[earlier[string_number] == 1]])
     text, ends = _text_of(table)
     depth = np.zeros(len(text) + 1, np.int32)
     np.add.at(depth, np.concatenate([first, gone]), 1)
@@ -302,7 +382,7 @@ DIGESTS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 def _digest(batches):
     for path, rows in _groups(batches, "run"):
         table = _read_run(path)
-        text, ends, goes = _mark(table, rows[0][1], [blob for _, _, bucket, blob in rows if bucket >= 0])
+        text, ends, goes = _mark(table, rows)
         out = []
         begin = 0
         for doc_id, end in zip(table.column("doc_id").to_pylist(), ends.tolist()):
@@ -320,7 +400,7 @@ def _trim(names: list[str], text_at: int):
     def run(batches):
         for path, rows in _groups(batches, "run"):
             table = _read_run(path)
-            text, ends, goes = _mark(table, rows[0][1], [blob for _, _, bucket, blob in rows if bucket >= 0])
+            text, ends, goes = _mark(table, rows)
             begins = np.concatenate([[0], ends[:-1]])
             # a character that loses some of its bytes goes as a whole
             kept = [text[a:b][~goes[a:b]].tobytes().decode("utf-8", "ignore") for a, b in zip(begins.tolist(), ends.tolist())]
@@ -384,8 +464,8 @@ def _marked(docs: DataFrame, run_bytes: int, bucket_bytes: int) -> DataFrame:
     splitters = _splitters(runs, buckets)
     classes = runs.select("run").repartition(files, "run").mapInArrow(_send_classes(buckets), PACKET)
     kinds = _dealt(classes, buckets, "bucket").mapInArrow(_join_classes, PACKET)
-    suffixes = _dealt(kinds, files, "run").mapInArrow(_send_suffixes(splitters), PACKET)
-    earlier = _dealt(suffixes, buckets, "bucket").mapInArrow(_merge_suffixes, PACKET)
+    suffixes = _dealt(kinds, files, "run").mapInArrow(_send_suffixes(splitters, buckets), PACKET)
+    earlier = _dealt(suffixes, buckets, "bucket").mapInArrow(_merge(len(splitters) + 1), PACKET)
     return _dealt(earlier, files, "run")
 
 

@@ -78,6 +78,23 @@ def _slice_stretches(text, ends, at):
     return first + at, last + at, own + at, mixed(grams[own]), whole
 
 
+def windows(text: np.ndarray) -> np.ndarray:
+    """The string that starts at each place of a text, as rows of bytes (a view)."""
+    return np.lib.stride_tricks.sliding_window_view(text, LEAST) if len(text) >= LEAST else np.empty((0, LEAST), np.uint8)
+
+
+def string_keys(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A hash of the string at each start, a slice of them at a time."""
+    keys, texts = np.zeros(len(starts), np.uint64), windows(text)
+    for at in range(0, len(starts), SLICE // 8):
+        part = slice(at, at + SLICE // 8)
+        rows = np.zeros((len(starts[part]), -(-LEAST // 8) * 8), np.uint8)
+        rows[:, :LEAST] = texts[starts[part]]
+        for column in rows.view(np.uint64).T:
+            keys[part] = mixed(keys[part] * np.uint64(0x9E3779B97F4A7C15) + column)
+    return keys
+
+
 # ---------------------------------------------------------------- packed columns
 
 

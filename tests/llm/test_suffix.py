@@ -2,7 +2,10 @@
 
 import hashlib
 import random
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from odskein.llm import suffix_dedup, suffix_runs
@@ -73,6 +76,51 @@ def test_texts_without_repeats_keep_all_columns(docs_of):
     assert all(s[1] - 8 <= f[1] <= s[1] for f, s in zip(found, sorted(sizes)))
 
 
+def surrounded():
+    """One 30-byte phrase in many surroundings, some of which are shared by two documents."""
+    around = [" ".join(prose(12, 1000 + i).split()) for i in range(800)]
+    phrase = "see the footer of every page. "
+    texts = [f"{a[:60]} {phrase}{around[i * 7 % 400][:60]}" for i, a in enumerate(around)]
+    return [(i * 31 % 1000, text) for i, text in enumerate([*texts, *texts[:150]])]
+
+
+def test_crowded_anchor_matches_brute_force(docs_of):
+    rows = [*surrounded(), *varied()]
+    found = [tuple(r) for r in suffix_dedup.repeated_bytes(docs_of(rows), 20_000, 30_000).collect()]
+    assert sorted(found, key=repr) == sorted(slow(rows), key=repr)
+
+
+def test_crowded_anchor_is_spread(docs_of, tmp_path):
+    """No exchange gathers the surroundings of a phrase in one bucket."""
+    rows = [(1000 + i, f"{prose(25, 2000 + i)[:70]} see the footer of every page. {prose(25, 5000 + i)[:70]}") for i in range(2000)]
+    paths = [r["run"] for r in suffix_dedup.write_runs(suffix_dedup._plain(docs_of(rows)), f"file://{tmp_path}", 100_000).collect()]
+    buckets = 16
+
+    def dealt(packets, key, other):
+        return iter(sorted(packets, key=lambda b: (b.column(key)[0].as_py(), b.column(other)[0].as_py())))
+
+    classes = list(suffix_dedup._send_classes(buckets)(iter([pa.RecordBatch.from_pydict({"run": paths})])))
+    sent = Counter()
+    for batch in classes:
+        grams = np.cumsum(suffix_runs.unpack(batch.column("packet")[0].as_py())[0], dtype=np.uint64)
+        sent.update(grams.tolist())
+    assert max(sent.values()) <= suffix_dedup.CROWD * len(paths) and len(paths) < 10
+    groups = []
+    original, suffix_dedup._compare = suffix_dedup._compare, lambda group, earlier: groups.append(len(group))
+    try:
+        kinds = list(suffix_dedup._join_classes(dealt(classes, "bucket", "run")))
+        suffixes = list(suffix_dedup._send_suffixes([], buckets)(dealt(kinds, "run", "bucket")))
+        entries = Counter()
+        for batch in suffixes:
+            if batch.column("bucket")[0].as_py() > 0:
+                entries[batch.column("bucket")[0].as_py()] += len(suffix_runs.unpack(batch.column("packet")[0].as_py())[1])
+        list(suffix_dedup._merge(1)(dealt(suffixes, "bucket", "run")))
+    finally:
+        suffix_dedup._compare = original
+    assert max(groups, default=0) <= suffix_dedup.CROWD * len(paths)
+    assert len(entries) == buckets and max(entries.values()) < 2 * sum(entries.values()) / buckets
+
+
 def test_empty_table(docs_of):
     assert suffix_dedup.repeated_bytes(docs_of([])).count() == 0
     assert suffix_dedup.without_repeats(docs_of([])).count() == 0
