@@ -10,6 +10,9 @@ whole corpus hold them, rarest first, and three filters come before any window i
 - length: a document, and the reach around a prefix word, must hold as many words as the match needs;
 - position: a window is counted at its rarest word, so only words that come after it in the order count.
 
+Where a template has all words of another (cc-by-nc of cc-by), the more specific one wins: it needs
+the words that set it apart, and a window with these words is no match of the other.
+
 Each window around a place that passes is counted exactly. All of it is DataFrame expressions: one
 scan for the words' frequencies, whose result is one row for each template word, and one scan for
 the match, without a shuffle of texts.
@@ -43,6 +46,18 @@ TEMPLATES = (
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
 )
+# The long forms of the restricted Creative Commons licenses, each of which holds all words of cc-by's.
+LONG_FORMS = tuple(
+    (f"cc-by-{label}", f"licensed under a creative commons attribution {words} 4 0 international license")
+    for label, words in (
+        ("nc", "noncommercial"),
+        ("sa", "sharealike"),
+        ("nd", "noderivatives"),
+        ("nc-sa", "noncommercial sharealike"),
+        ("nc-nd", "noncommercial noderivatives"),
+    )
+)
+NOTICES = TEMPLATES + LONG_FORMS
 
 
 @dataclass(frozen=True)
@@ -53,6 +68,8 @@ class Notice:
     words: tuple[str, ...]
     needed: int
     width: int
+    own: tuple[str, ...] = ()  # words that set it apart from the templates it includes; all must be there
+    others: tuple[tuple[str, ...], ...] = ()  # words that make it a more specific template's match
 
     @property
     def prefix(self) -> tuple[str, ...]:
@@ -66,7 +83,7 @@ def word_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     return {row["word"]: row["count"] for row in rows}
 
 
-def ordered_notices(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> list[Notice]:
+def ordered_notices(docs: DataFrame, templates=NOTICES, threshold: float = 0.8) -> list[Notice]:
     """Templates with their words in the global order and the overlap that a match needs."""
     said = [(label, text.split()) for label, text in templates]
     vocabulary = sorted(set().union(*[words for _, words in said]))
@@ -75,11 +92,13 @@ def ordered_notices(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8
     for label, words in said:
         ranked = sorted(set(words), key=lambda w: (counts.get(w, 0), w))
         needed = math.ceil(threshold * len(ranked) - 1e-9)
-        notices.append(Notice(label, tuple(ranked), needed, len(words) + len(words) // SLACK))
+        own = set().union(*[set(words) - set(w) for _, w in said if set(w) < set(words)])
+        others = tuple(tuple(sorted(set(w) - set(words))) for _, w in said if set(words) < set(w))
+        notices.append(Notice(label, tuple(ranked), needed, len(words) + len(words) // SLACK, tuple(sorted(own)), others))
     return notices
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = 0.8) -> DataFrame:
+def scan(docs: DataFrame, templates=NOTICES, phrases=PHRASES, threshold: float = 0.8) -> DataFrame:
     """One row for each document: words, places of the phrases, labels and the best containment."""
     notices = ordered_notices(docs, templates, threshold)
     text = F.col("text")
@@ -163,8 +182,17 @@ def _best(words: Column, place: Column, listed: Column, notice: Notice) -> Colum
     def shared(begin: Column, size: Column, counted: Column) -> Column:
         return F.size(F.array_intersect(F.slice(words, begin + 1, size), counted))
 
+    def holds(begin: Column, some: tuple[str, ...]) -> Column:
+        return shared(begin, F.lit(width), F.array(*map(F.lit, some))) == len(some)
+
+    def window(begin: Column, counted: Column) -> Column:
+        found = shared(begin, F.lit(width), counted)
+        for some in notice.others:
+            found = F.when(~holds(begin, some), found)
+        return F.when(holds(begin, notice.own), found) if notice.own else found
+
     def of(counted: Column) -> Column:
-        windows = F.transform(F.sequence(first, at), lambda begin: shared(begin, F.lit(width), counted))
+        windows = F.transform(F.sequence(first, at), lambda begin: window(begin, counted))
         best = F.when(shared(first, at - first + width, counted) >= notice.needed, F.array_max(windows))
         pair = lambda n: F.struct((n / F.lit(len(notice.words))).alias("score"), F.lit(notice.label).alias("label"))
         return let(best, lambda n: F.when(n >= notice.needed, pair(n)))

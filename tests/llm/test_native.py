@@ -71,6 +71,15 @@ def test_wrapped_notices_are_found_whole(docs_of, around):
     assert found == {i: (label, 1.0, 0) for i, label in enumerate(WRAPPED)}
 
 
+def test_scattered_words_and_restricted_forms(docs_of):
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0\nInternational License."
+    ends = {"": "cc-by", "-NonCommercial": "cc-by-nc", "-ShareAlike": "cc-by-sa", "-NoDerivatives": "cc-by-nd", "-NonCommercial-ShareAlike": "cc-by-nc-sa", "-NonCommercial-NoDerivatives": "cc-by-nc-nd"}
+    clean = "You may be told that the old file is not in use this week, except with some luck in the end."
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan(docs_of(list(enumerate([*map(cc.format, ends), clean])))).collect()}
+    assert [found[i] for i in range(6)] == [(label, 1.0) for label in ends.values()]
+    assert found[6] == ("", 0.0)
+
+
 def test_repeated_rows_are_judged_one_by_one(docs_of):
     frame = quality_rules.judged(docs_of(odd_rows()))
     assert frame.count() == len(odd_rows())
