@@ -6,9 +6,10 @@ several threads. Words are encoded once for each worker: no piece reaches from o
 marker of the next (this is checked when the model is read; otherwise texts are encoded whole).
 
 Parity with the model's own library is part of the job. Each distinct word is encoded by both, and a
-word they disagree about keeps the ids of the model's own library. Besides, one text of
-``VERIFY_EVERY`` (by a checksum of the text) is encoded whole by it; a difference there puts its
-ids in place and shows in the column ``parity``.
+word they disagree about keeps the ids of the model's own library. Every text is normalised by both. A text that they normalise differently is encoded whole by
+the model's own library, as is every text if the model has user-defined pieces, and one of
+``VERIFY_EVERY`` (by a checksum of the text) in any case; a difference in the normalised text or the
+ids puts its ids in place and shows in the column ``parity``.
 
 Defined results: a null text is empty and has no ids; characters that no piece covers become byte
 pieces, or the unknown piece where the model has none; control pieces spelled in a text are plain
@@ -192,6 +193,8 @@ class Codec:
         self.rebuilt = Rebuilt(read_model(data))
         self.own = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.plain = sentencepiece.SentencePieceProcessor(model_proto=data + _AS_SPELLED)
+        # user-defined pieces are cut out before words are, so only whole texts tell
+        self.whole = any(kind == USER_DEFINED for _, _, kind in self.rebuilt.model.pieces)
         self.forget()
 
     def forget(self) -> None:
@@ -216,7 +219,9 @@ class Codec:
         """Ids of each text, words that took the other library's ids, and whether parity held."""
         if len(self.known) > CACHE_WORDS:
             self.forget()
-        cut = [self.rebuilt.words(self.rebuilt.normalise(text)) for text in texts]
+        normal = [self.rebuilt.normalise(text) for text in texts]
+        same = [a == b for a, b in zip(normal, self.own.normalize(texts))] if texts else []
+        cut = [self.rebuilt.words(text) for text in normal]
         counts = np.fromiter((len(c) for c in cut), np.int64, len(cut))
         number = self.known.__getitem__
         which = np.fromiter((number(w) for c in cut for w in c), np.int64, int(counts.sum()))
@@ -228,9 +233,9 @@ class Codec:
         lists = np.split(self.flat[ranges(self.starts[which], sizes)], np.cumsum(lengths)[:-1]) if texts else []
         parity = [True] * len(texts)
         for i, text in enumerate(texts):
-            if zlib.crc32(text.encode("utf-8", "replace")) % VERIFY_EVERY == 0:
+            if not same[i] or self.whole or zlib.crc32(text.encode("utf-8", "replace")) % VERIFY_EVERY == 0:
                 whole = np.array(self.own.encode(text), np.int32)
-                if not np.array_equal(whole, lists[i]):
+                if not same[i] or not np.array_equal(whole, lists[i]):
                     parity[i], lists[i] = False, whole
         return lists, replaced, parity
 

@@ -127,6 +127,16 @@ def test_parity_with_the_models_own_library(data):
     assert sum(replaced[i] for i in plain) <= len(plain)
 
 
+def test_parity_vouches_for_every_text(monkeypatch):
+    codec = piece_codec.Codec(open(PIECES, "rb").read())
+    normalise = codec.rebuilt.normalise
+    monkeypatch.setattr(codec.rebuilt, "normalise", lambda text: normalise(text).replace("ou", "uo"))
+    said = [f"you and house {i}" if i % 2 else f"the end {i}" for i in range(100)]
+    lists, _, parity = codec.encode(said)
+    assert parity == [i % 2 == 0 for i in range(100)]
+    assert [x.tolist() for x in lists] == [codec.own.encode(t) for t in said]
+
+
 def test_word_by_word_needs_little_help():
     codec = piece_codec.Codec(open(PIECES, "rb").read())
     _, replaced, _ = codec.encode([prose(500, i) for i in range(5)])
