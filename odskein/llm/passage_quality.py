@@ -181,8 +181,11 @@ def sample_bags(docs: DataFrame, labels: DataFrame, sample_docs: int, sample_cha
     )
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     short = plain.where(F.length(F.coalesce("text", F.lit(""))) <= sample_chars)
-    # at most sample_docs small rows, so their size is bounded whatever the corpus
-    rows = short.join(F.broadcast(chosen), "doc_id").select("text", "quality").limit(2 * sample_docs)
+    # one row for each chosen doc_id however often it is repeated, always the same one and in the same
+    # order: at most sample_docs small rows, so their size is bounded whatever the corpus
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+    rows = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(one)
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "quality")
     found = rows.mapInArrow(describe, "quality int, size int, counts binary").collect()
     bags = [np.frombuffer(zlib.decompress(r["counts"]), np.uint16).reshape(r["size"], FEATURES) for r in found]
     return bags, [r["quality"] for r in found]

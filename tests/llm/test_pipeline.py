@@ -71,6 +71,14 @@ def test_odd_rows_and_labels(spark, docs_of):
     assert quality.trained_scores(docs_of([]), labels).count() == 0
 
 
+def test_a_repeated_document_takes_one_place_in_the_sample(spark, docs_of):
+    rows = [(i, f"document number {i} " * 20) for i in range(10)] + [(3, f"another text {k}") for k in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
+    first, second = (quality.sample_bags(docs_of(part), labels, 10, 30_000) for part in (rows, rows[::-1]))
+    assert len(first[1]) == 10 and sum(first[1]) == 5 and first[1] == second[1]
+    assert all(np.array_equal(a, b) for a, b in zip(first[0], second[0]))
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
