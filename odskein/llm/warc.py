@@ -7,7 +7,10 @@ behind is in no manifest and is never read. A file is closed once it holds ``fil
 The reader goes from record to record. A record must begin with a version line, end where its
 length says, pass the member's checksum and match its digests. Where one fails, the reader
 searches for the next gzip header whose data begins with a version line (plain: for the next
-version line whose record passes), goes on there, and reports the bytes between as a gap.
+version line whose record passes), goes on there, and reports the bytes between as a gap. Inside a
+member with several records it goes on at the next version line whose record passes; the gap's reason
+gives the member's offset and the inner range. Of a member that does not unpack to its end, records
+before the damage are kept if their block digest vouches for them.
 
 Defined results: a null payload is an empty one; a null url is an empty one; a null page_id sorts
 last when the first of equal payloads is chosen; rows that share that smallest page_id are all
@@ -75,22 +78,25 @@ def member(data: bytes, level: int = 6) -> bytes:
 
 
 class Damaged(ValueError):
-    """A record that fails a check; ``end`` is where it ends, if that is known."""
+    """A record that fails a check; ``end`` is where it ends, if that is known.
 
-    def __init__(self, reason: str, end: int | None = None):
+    ``fields`` are the sound records of a member that has a bad one.
+    """
+
+    def __init__(self, reason: str, end: int | None = None, fields: list | None = None):
         super().__init__(reason)
-        self.end = end
+        self.end, self.fields = end, fields or []
 
 
-def parse_record(data: bytes) -> tuple[dict, bytes, int]:
-    """Headers (lower-case names), block and length of the record at the start of ``data``."""
-    if not re.match(rb"WARC/1\.[01]\r\n", data):
+def parse_record(data: bytes, at: int = 0) -> tuple[dict, bytes, int]:
+    """Headers (lower-case names), block and length of the record that starts at ``at``."""
+    if not re.compile(rb"WARC/1\.[01]\r\n").match(data, at):
         raise Damaged("no version line")
-    head_end = data.find(b"\r\n\r\n")
+    head_end = data.find(b"\r\n\r\n", at)
     if head_end < 0:
         raise Damaged("headers do not end")
     headers = {}
-    for line in data[:head_end].split(b"\r\n")[1:]:
+    for line in data[at:head_end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header without a colon")
@@ -102,7 +108,7 @@ def parse_record(data: bytes) -> tuple[dict, bytes, int]:
     end = begin + int(length)
     if data[end : end + 4] != b"\r\n\r\n":
         raise Damaged("record does not end where its length says")
-    return headers, data[begin:end], end + 4
+    return headers, data[begin:end], end + 4 - at
 
 
 def checked(headers: dict, block: bytes) -> dict:
@@ -169,6 +175,13 @@ def salvage(archive: Archive):
         try:
             end, fields = _member_at(archive, at) if archive.read(at, 3) == GZIP else _plain_at(archive, at)
         except Damaged as damage:
+            if damage.fields:
+                if bad:
+                    yield bad[0], at, bad[1]
+                    bad = None
+                # what the member still gave, at its start; its bytes are the gap's
+                for record in damage.fields:
+                    yield at, at, record
             bad = bad or (at, str(damage))
             # a member that unpacks to the end has no other members inside it
             at = damage.end if damage.end and damage.end > at else _next_sign(archive, at + 1)
@@ -199,30 +212,65 @@ def _next_sign(archive: Archive, begin: int) -> int:
 
 
 def _member_at(archive: Archive, begin: int) -> tuple[int, list[dict]]:
-    unpack, parts, at = zlib.decompressobj(31), [], begin
-    try:
-        while not unpack.eof:
-            piece = archive.read(at, BLOCK // 4)
-            if not piece:
-                raise Damaged("member is cut off")
+    unpack, parts, at, reason = zlib.decompressobj(31), [], begin, None
+    while not unpack.eof and not reason:
+        piece = archive.read(at, BLOCK // 4)
+        if not piece:
+            reason = "member is cut off"
+            break
+        before = unpack.copy()
+        try:
             parts.append(unpack.decompress(piece))
             at += len(piece)
-    except zlib.error as error:
-        raise Damaged(f"member does not unpack: {error}") from None
+        except zlib.error as error:
+            reason = f"member does not unpack: {error}"
+            parts.append(_unpacked(before, piece))
     end = at - len(unpack.unused_data)
-    data, fields = b"".join(parts), []
-    try:
-        while data:
-            headers, block, length = parse_record(data)
-            fields.append(checked(headers, block))
-            data = data[length:]
-    except Damaged as damage:
-        raise Damaged(str(damage), end) from None
-    if not fields:
-        raise Damaged("empty member", end)
+    fields, gaps = _records_in(b"".join(parts), vouched=bool(reason))
+    inner = "; ".join(f"{why} in member at {begin}, unpacked bytes {a} to {b}" for a, b, why in gaps)
+    if reason:
+        raise Damaged(f"{reason}; {inner}" if inner else reason, None, fields)
+    if gaps or not fields:
+        raise Damaged(inner or "empty member", end, fields)
     return end, fields
 
 
+def _unpacked(unpack, piece: bytes) -> bytes:
+    """What comes out of a piece before the byte that fails."""
+    out = []
+    try:
+        for i in range(len(piece)):
+            out.append(unpack.decompress(piece[i : i + 1]))
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
+def _records_in(data: bytes, vouched: bool) -> tuple[list[dict], list[tuple[int, int, str]]]:
+    """The sound records of unpacked data, and what lies between; ``vouched``: only with a block digest."""
+    fields, gaps, at, bad = [], [], 0, None
+    while at < len(data):
+        try:
+            headers, block, length = parse_record(data, at)
+            if vouched and not headers.get("warc-block-digest", "").startswith("sha256:"):
+                raise Damaged("no digest vouches for the record")
+            record = checked(headers, block)
+        except Damaged as damage:
+            bad = bad or (at, str(damage))
+            at = data.find(b"WARC/1.", at + 1)
+            if at < 0:
+                break
+            continue
+        if bad:
+            gaps.append((bad[0], at, bad[1]))
+            bad = None
+        fields.append(record)
+        at += length
+    if bad:
+        gaps.append((bad[0], len(data), bad[1]))
+    return fields, gaps
+
+
 def _plain_at(archive: Archive, begin: int) -> tuple[int, list[dict]]:
     head = archive.read(begin, 1 << 16)
     length = re.search(rb"\r\nContent-Length:\s*(\d+)\r\n", head.partition(b"\r\n\r\n")[0] + b"\r\n", re.I)

@@ -118,6 +118,30 @@ def test_cut_off_end_and_leading_junk(packed):
     assert ids == [0, 1, 2, 3, 4] and len(gaps) == 2
 
 
+def test_one_member_with_a_bad_record():
+    parts = archive(False)
+    parts[2] = parts[2].replace(b"<html>2", b"<html>X", 1)
+    data = warc.member(b"".join(parts))
+    ids, gaps = salvaged_inside(data)
+    assert ids == [0, 1, 3, 4, 5] and len(gaps) == 1
+    begin = len(parts[0]) + len(parts[1])
+    assert f"in member at 0, unpacked bytes {begin} to {begin + len(parts[2])}" in gaps[0]
+
+
+def test_one_member_cut_off_or_damaged_in_its_middle():
+    payloads = [random.Random(i).randbytes(3000) for i in range(6)]
+    data = warc.member(b"".join(record(i, p) for i, p in enumerate(payloads)))
+    middle = len(data) // 2
+    for broken in (data[:middle], data[:middle] + bytes(60) + data[middle + 60 :]):
+        ids, gaps = salvaged_inside(broken)
+        assert ids[:2] == [0, 1] and 2 <= len(ids) < 6 and len(gaps) == 1
+
+
+def salvaged_inside(data):
+    found = [f for *_, f in warc.salvage(warc.Archive(io.BytesIO(data), len(data)))]
+    return [f["page_id"] for f in found if isinstance(f, dict)], [f for f in found if isinstance(f, str)]
+
+
 def test_random_damage_never_crashes_or_forges():
     whole = b"".join(archive(True, 12))
     for seed in range(60):
