@@ -81,7 +81,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_pieces, op3_passage_quality, op4_chat, op5_decontamination, op6_warc, op7_suffix_dedup, op8_quality_rules, op9_license_scan, op10_token_files)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odskein.llm.periodic_runs import planted, run_digests, runs
+
+    return run_digests(runs(planted(table(spark, sf_dir, "documents"))))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_pieces, op3_passage_quality, op4_chat, op5_decontamination, op6_warc, op7_suffix_dedup, op8_quality_rules, op9_license_scan, op10_token_files, op11_periodic_runs)}
 ORACLE: dict[str, str] = {
     "op4_chat": oracle.CHAT,
     "op5_decontamination": oracle.DECONTAMINATION,
