@@ -140,3 +140,40 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) A
     CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(score, 0.0) END AS score
 FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN every USING (doc_id)
 """
+
+LINE_DEDUP = f"""
+WITH lines AS (
+    SELECT doc_id, pos, said[pos] AS line,
+        regexp_replace(regexp_replace(translate(said[pos], '{UPPER}', '{LOWER}'), '^{SPACES}', ''), '{SPACES}$', '') AS key
+    FROM (SELECT doc_id, said, unnest(generate_series(1, len(said))) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS said FROM documents))
+), common AS (
+    SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+    SELECT doc_id, pos, line, keeper IS NOT NULL AND doc_id <> keeper AS lost FROM lines LEFT JOIN common USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE lost) AS BIGINT) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+LEXICAL_SEARCH = f"""
+WITH docs AS (
+    SELECT doc_id, {_words(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')", BETWEEN)} AS words FROM documents
+), totals AS (
+    SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(words)) AS BIGINT) AS total FROM docs WHERE len(words) > 0
+), asked AS (
+    SELECT DISTINCT item_id, unnest({_words(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')", BETWEEN)}) AS term FROM benchmark
+), counts AS (
+    SELECT doc_id, n, term, count(*) AS tf
+    FROM (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM docs) SEMI JOIN asked USING (term) GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(totals.docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, totals GROUP BY term
+), scores AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * totals.docs) // totals.total)))) AS BIGINT) AS score
+    FROM asked JOIN counts USING (term) JOIN weights USING (term), totals GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""

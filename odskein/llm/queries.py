@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from odskein.llm import oracle
 from odskein.llm.shared import new_path, table
@@ -87,11 +88,26 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(runs(planted(table(spark, sf_dir, "documents"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_pieces, op3_passage_quality, op4_chat, op5_decontamination, op6_warc, op7_suffix_dedup, op8_quality_rules, op9_license_scan, op10_token_files, op11_periodic_runs)}
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odskein.llm.line_dedup import without_common_lines
+
+    kept = without_common_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odskein.llm.lexical_search import ranked_documents
+
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_pieces, op3_passage_quality, op4_chat, op5_decontamination, op6_warc, op7_suffix_dedup, op8_quality_rules, op9_license_scan, op10_token_files, op11_periodic_runs, op12_line_dedup, op13_lexical_search)}
 ORACLE: dict[str, str] = {
     "op4_chat": oracle.CHAT,
     "op5_decontamination": oracle.DECONTAMINATION,
     "op6_warc": oracle.WARC,
     "op8_quality_rules": oracle.QUALITY_RULES,
     "op9_license_scan": oracle.LICENSE_SCAN,
+    "op12_line_dedup": oracle.LINE_DEDUP,
+    "op13_lexical_search": oracle.LEXICAL_SEARCH,
 }

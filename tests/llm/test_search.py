@@ -1,0 +1,100 @@
+"""Lexical search against scoring every document for every query."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from odskein.llm import lexical_search
+from odskein.llm.lexical_search import exact_scores, plane_counts, ranked_documents, read_index, upper_bounds, write_index
+from odskein.llm.shared import new_path
+from tests.llm.samples import SHARED, odd_rows, prose
+
+ITEMS = "item_id long, text string, doc_id long, term string"
+
+
+def terms_of(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lowered)
+
+
+def brute(rows, items, k):
+    docs = [(i, Counter(terms_of(t))) for i, t in rows]
+    docs = [(i, c, sum(c.values())) for i, c in docs if c]
+    total = sum(n for *_, n in docs)
+    out = []
+    for item_id in {i for i, _ in items}:
+        asked = set().union(*(terms_of(t) for i, t in items if i == item_id))
+        dfs = {t: sum(t in c for _, c, _ in docs) for t in asked}
+        weights = {t: math.floor(1000 * math.log((2 * len(docs) + 2) / (2 * df + 1))) for t, df in dfs.items()}
+        scores = []
+        for doc_id, c, n in docs:
+            m = 100 - 90 + (90 * n * len(docs)) // total
+            score = sum(weights[t] * ((10**9 * c[t]) // (1000 * c[t] + 8 * m)) for t in asked if c[t])
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0))
+        for rank, (score, missing, doc_id) in enumerate(sorted(scores)[:k], 1):
+            out.append((item_id, rank, None if missing else doc_id, -score))
+    return sorted(out, key=repr)
+
+
+def corpus():
+    rng = random.Random(4)
+    rows = [*odd_rows(), *((100 + i, prose(int(4 ** rng.uniform(0, 5)), i)) for i in range(150))]
+    rows += [(300 + i, SHARED) for i in range(30)] + [(300, SHARED), (7, "zz " * 500)]
+    items = [(1, SHARED), (2, prose(12, 103)), (2, prose(5, 104)), (3, None), (4, "no such wörd"), (None, "MIT license the"), (5, "zz zz"), (6, prose(60, 1))]
+    return rows, items
+
+
+@pytest.fixture
+def items_of(spark):
+    return lambda items: spark.createDataFrame([(i, t, -1, "x") for i, t in items], ITEMS)
+
+
+@pytest.mark.parametrize("k, pairs", [(10, 100_000), (1, 20), (400, 100_000)])
+def test_against_brute_force(monkeypatch, docs_of, items_of, k, pairs):
+    monkeypatch.setattr(lexical_search, "PAIRS", pairs)  # several blocks of queries
+    rows, items = corpus()
+    docs = docs_of(rows).withColumnRenamed("lang", "item_id").withColumnRenamed("source", "block")
+    found = ranked_documents(docs, items_of(items), k).collect()
+    assert sorted(map(tuple, found), key=repr) == brute(rows, items, k)
+    assert {row["item_id"] for row in found} == {None, 1, 2, 5, 6}
+
+
+def test_small_blocks_and_planes(monkeypatch, docs_of, items_of):
+    """Crowded planes and many blocks loosen the bounds and leave the result as it is."""
+    for name, value in (("ROWS_PER_WORD", 1), ("MOST_ROWS", 64), ("BLOCK_DOCS", 5), ("VOCABULARY", 10), ("COLUMNS", 3), ("SALTS", 2)):
+        monkeypatch.setattr(lexical_search, name, value)
+    rows, items = corpus()
+    found = ranked_documents(docs_of(rows), items_of(items)).collect()
+    assert sorted(map(tuple, found), key=repr) == brute(rows, items, 10)
+
+
+def test_bounds_hold_and_leave_documents_out(spark, docs_of, items_of):
+    rows, items = corpus()
+    path = new_path(spark, "index")
+    write_index(docs_of(rows), path)
+    index = read_index(spark, path)
+    totals = index.selectExpr("sum(docs)", "sum(total)").first()
+    queries = lexical_search.numbered_queries(lexical_search.query_terms(items_of(items), index).collect(), *totals, 10)
+    number = {t: n for n, t in enumerate(queries.terms)}
+    crcs, close = lexical_search._checksums(queries), []
+    for row in index.where("block is not null").collect():
+        bounds = upper_bounds(queries, crcs, row["ns"], row["n_rows"], row["n_planes"], bytes(row["signature"]))
+        exact = np.stack([exact_scores(queries, number, n, bytes(w)) for n, w in zip(row["ns"], row["words"])], axis=1)
+        assert (bounds >= exact).all()
+        close.append((bounds == exact).mean())
+    assert np.mean(close) > 0.3
+
+
+def test_counts_of_planes():
+    assert plane_counts(1) == [1] and plane_counts(5) == [1, 2, 3, 4]
+    assert plane_counts(100) == [1, 2, 3, 4, 6, 8, 12, 16, 32, 64]
+
+
+def test_empty_tables(docs_of, items_of):
+    assert ranked_documents(docs_of([(1, "a")]).limit(0), items_of([(1, "a")])).collect() == []
+    assert ranked_documents(docs_of([(1, "a")]), items_of([(1, "a")]).limit(0)).collect() == []
