@@ -22,19 +22,24 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from odskein.llm.shared import return_memory
+from odskein.llm.wordhash import mixed, powers, prefix_sums
+
 IDS_SCHEMA = "doc_id long, n_tokens long, ids array<int>"
 # Text handled at once inside a task, in characters.
 SLICE_CHARS = 1_000_000
-# Distinct words a worker remembers; beyond that it forgets those it has met only once.
+# The same in bytes, for whole arrays.
+SLICE_BYTES = 1_000_000
+# Distinct pieces a worker remembers; beyond that it forgets those it has met only once.
+KNOWN_PIECES = 800_000
+# Distinct words of those who remember them in a dictionary.
 CACHE_WORDS = 500_000
-# Words of texts with runs of white space; a cut in front of such a run is a cut of the tokenizer's too.
-PIECES = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
+# A cut in front of a run of such white space is a cut of the tokenizer's too.
+_SPACE = np.isin(np.arange(256), list(b" \n\t\r"))
 OTHER_SPACE = re.compile(r"[^\S \n]")
-# In front of a key that spells a piece out. No other key has two line breaks.
-SPELLED = "\n\n"
 
 
 def worker_memo(key, make: Callable):
@@ -47,101 +52,205 @@ def worker_memo(key, make: Callable):
     return memo.kept[key]
 
 
+class KnownPieces:
+    """The pieces a worker remembers, as arrays: spelling, hash, ids, and how often they were met.
+
+    A hash finds a piece and its spelling decides. Pieces are looked up in two sorted lists of
+    hashes, a long one and a short one of those that came last, so that adding some is cheap.
+    """
+
+    def __init__(self):
+        self.spelled = np.empty(0, np.uint8)
+        self.flat = np.empty(0, np.int32)
+        self.begins, self.starts, self.sizes, self.uses = (np.empty(0, np.int64) for _ in range(4))
+        self.lengths = np.empty(0, np.int64)
+        self.whole = np.empty(0, bool)
+        self.lists = [(np.empty(0, np.uint64), np.empty(0, np.int64))] * 2
+
+    def __len__(self) -> int:
+        return len(self.begins)
+
+    def find(self, hashes: np.ndarray, data: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The number of each piece of ``data``; -1 if it is not known, -2 if another has its hash."""
+        numbers = np.full(len(hashes), -1)
+        for keys, values in self.lists:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                met = np.flatnonzero(keys[at] == hashes)
+                found = values[at[met]]
+                same = self.lengths[found] == lengths[met]
+                same[same] = same_bytes(data, begins[met[same]], self.spelled, self.begins[found[same]], lengths[met[same]])
+                numbers[met] = np.where(same, found, -2)
+        return numbers
+
+    def add(self, hashes: np.ndarray, spelled: np.ndarray, lengths: np.ndarray, flat: np.ndarray, sizes: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """Remember new pieces, no two of one hash; their numbers."""
+        numbers = np.arange(len(self), len(self) + len(hashes))
+        self.begins = np.concatenate([self.begins, len(self.spelled) + np.cumsum(lengths) - lengths])
+        self.spelled = np.concatenate([self.spelled, spelled])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.flat = np.concatenate([self.flat, flat])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.whole = np.concatenate([self.whole, whole])
+        self.uses = np.concatenate([self.uses, np.zeros(len(hashes), np.int64)])
+        long, short = self.lists
+        short = _merged(short, (hashes, numbers))
+        if len(short[0]) > max(100_000, len(long[0]) // 8):
+            long, short = _merged(long, short), (short[0][:0], short[1][:0])
+        self.lists = [long, short]
+        return numbers
+
+    def kept(self, most: int) -> "KnownPieces":
+        """Those met more than once, the ``most`` frequent of them, counted anew."""
+        chosen = np.flatnonzero(self.uses > 1)
+        if len(chosen) > most:
+            chosen = np.sort(chosen[np.argsort(-self.uses[chosen], kind="stable")[:most]])
+        hashes = np.empty(len(self), np.uint64)
+        for keys, values in self.lists:
+            hashes[values] = keys
+        lengths, sizes = self.lengths[chosen], self.sizes[chosen]
+        few = KnownPieces()
+        spelled = self.spelled[ranges(self.begins[chosen], lengths)]
+        few.add(hashes[chosen], spelled, lengths, self.flat[ranges(self.starts[chosen], sizes)], sizes, self.whole[chosen])
+        return few
+
+
+def _merged(*lists: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, values = (np.concatenate(columns) for columns in zip(*lists))
+    order = np.argsort(keys, kind="stable")
+    return keys[order], values[order]
+
+
+def same_bytes(a: np.ndarray, a_begins: np.ndarray, b: np.ndarray, b_begins: np.ndarray, lengths: np.ndarray, at_once: int = 1 << 19) -> np.ndarray:
+    """Whether stretches of the same length (at least one byte) in two arrays are equal."""
+    same = np.empty(len(lengths), bool)
+    sums = np.cumsum(lengths)
+    first = 0
+    while first < len(lengths):
+        last = max(first + 1, int(np.searchsorted(sums, (sums[first - 1] if first else 0) + at_once)))
+        sizes = lengths[first:last]
+        differ = a[ranges(a_begins[first:last], sizes)] != b[ranges(b_begins[first:last], sizes)]
+        same[first:last] = ~np.logical_or.reduceat(differ, np.cumsum(sizes) - sizes)
+        first = last
+    return same
+
+
 class WordEncoder:
     """Ids of texts from a byte-level tokenizer, which sees each distinct word once.
 
     Such a tokenizer never merges across the start of a run of white space that follows other
-    text, so a text's ids are those of its words, in order. Texts that hold an added token, or
-    words that begin or end in other white space, are encoded whole.
+    text, so a text's ids are those of its pieces, in order; a piece is a run of white space and the
+    word behind it. Texts that hold an added token, or words that begin or end in other white space,
+    are encoded whole.
 
-    Words are keys: ``word`` stands for a blank and the word, a line break and a word for
-    themselves, and what follows SPELLED for itself.
+    Pieces are found and told apart by whole arrays. Of pieces with one hash the last stands for
+    those that equal it byte by byte; where two different pieces have one hash, the text of the one
+    that is not remembered is encoded whole.
     """
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        added = [t.content.encode("utf-8") for t in tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, added)) or rb"(?!)")
         # every token spells as many bytes as its name has characters
         self.bytes_of = np.zeros(tokenizer.get_vocab_size(), np.int64)
         for token, i in tokenizer.get_vocab().items():
             self.bytes_of[i] = len(token)
-        self.known: dict[str, int] = {}
-        self.flat = np.empty(0, np.int32)
-        self.starts, self.sizes, self.uses = (np.empty(0, np.int64) for _ in range(3))
-        self.whole = np.empty(0, bool)
+        self.known = KnownPieces()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the number of ids of each text."""
-        if len(self.known) > CACHE_WORDS:
-            self._forget()
-        cut = [_keys(text) for text in texts]
-        words = np.fromiter(map(len, cut), np.int64, len(cut))
-        self._learn([key for key in set(chain.from_iterable(cut)) if key not in self.known])
-        which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(words.sum()))
-        self.uses += np.bincount(which, minlength=len(self.uses))
-        owner = np.repeat(np.arange(len(texts)), words)
-        sizes = self.sizes[which]
-        counts = np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)
-        ids = self.flat[ranges(self.starts[which], sizes)]
-        odd = {i for i, text in enumerate(texts) if self.added.search(text)}
-        odd.update(owner[self.whole[which]].tolist())
+        raw = [text.encode("utf-8") for text in texts]
+        return self.encode_bytes(b"".join(raw), np.cumsum([0, *map(len, raw)]))
+
+    def encode_bytes(self, raw: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts in UTF-8 that stand one after the other, with ``bounds`` between them."""
+        if len(self.known) > KNOWN_PIECES:
+            self.known = self.known.kept(KNOWN_PIECES // 2)
+        data = np.frombuffer(raw, np.uint8)
+        space = _SPACE[data]
+        first = np.zeros(len(data) + 1, bool)
+        first[1:-1] = space[1:] & ~space[:-1]
+        first[bounds] = True
+        first[-1] = False
+        begins = np.flatnonzero(first)
+        ends = np.append(begins[1:], len(data))[: len(begins)]
+        parts, last = [], 0
+        while last < len(begins):  # long texts are cut between pieces
+            upto = max(last + 1, int(np.searchsorted(begins, begins[last] + SLICE_BYTES)))
+            parts.append(self._numbers(raw, data, begins[last:upto], ends[last:upto]))
+            last = upto
+        which = np.concatenate(parts) if parts else np.empty(0, np.int64)
+        known = self.known
+        known.uses += np.bincount(which[which >= 0], minlength=len(known))
+        # a piece without a number makes its text odd, so its ids do not matter
+        strange, which = which < 0, np.maximum(which, 0)
+        sizes = known.sizes[which]
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        counts = np.diff(before[np.searchsorted(begins, bounds)])
+        ids = known.flat[ranges(known.starts[which], sizes)]
+        odd = {int(np.searchsorted(bounds, found.start(), "right")) - 1 for found in self.added.finditer(raw)}
+        odd.update((np.searchsorted(bounds, begins[strange | known.whole[which]], "right") - 1).tolist())
         if odd:
-            ends = np.cumsum(counts)
-            parts, last = [], 0
+            at, parts, last = np.cumsum(counts), [], 0
             for i in sorted(odd):
-                parts.append(ids[last : ends[i] - counts[i]])
-                whole = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int32)
+                parts.append(ids[last : at[i] - counts[i]])
+                text = raw[bounds[i] : bounds[i + 1]].decode("utf-8")
+                whole = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
                 parts.append(whole)
-                last = ends[i]
+                last = at[i]
                 counts[i] = len(whole)
             ids = np.concatenate([*parts, ids[last:]])
         return ids, counts
 
-    def _learn(self, fresh: list[str]) -> None:
-        # words that begin in white space keep their cuts side by side, so many are one text
-        joined = [key for key in fresh if not key.startswith(SPELLED)]
-        alone = [key for key in fresh if key.startswith(SPELLED)]
-        pieces = [key if key[0] == "\n" else f" {key}" for key in joined]
-        texts = ["".join(pieces[at : at + 512]) for at in range(0, len(pieces), 512)]
-        texts += [key[len(SPELLED) :] for key in alone]
+    def _numbers(self, raw: bytes, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each piece, -2 for one whose hash another piece has; new ones are learnt."""
+        sums = prefix_sums(data[begins[0] : ends[-1]])
+        at = begins - begins[0]
+        hashes = mixed((sums[ends - begins[0]] - sums[at]) * powers(len(sums))[1][at])
+        del sums
+        table = np.zeros(1 << 20, np.int32)
+        slot = (hashes >> np.uint64(44)).astype(np.int64)
+        place = np.arange(len(begins))
+        table[slot] = place  # the last piece of a slot stands for those that equal it
+        model = table[slot].astype(np.int64)
+        lengths = ends - begins
+        copies = np.flatnonzero((model != place) & (hashes == hashes[model]) & (lengths == lengths[model]))
+        copies = copies[same_bytes(data, begins[copies], data, begins[model[copies]], lengths[copies])]
+        alone = np.ones(len(begins), bool)
+        alone[copies] = False
+        model = np.where(alone, place, model)
+        own = np.flatnonzero(alone)
+        numbers = self.known.find(hashes[own], data, begins[own], lengths[own])
+        # of new pieces with one hash the first is learnt, the others are told apart by the next look
+        fresh = np.flatnonzero(numbers == -1)
+        _, firsts = np.unique(hashes[own[fresh]], return_index=True)
+        learnt = own[fresh[firsts]]
+        if len(learnt):
+            self._learn(raw, data, begins[learnt], ends[learnt], hashes[learnt])
+            again = own[fresh]
+            numbers[fresh] = self.known.find(hashes[again], data, begins[again], lengths[again])
+        every = np.empty(len(begins), np.int64)
+        every[own] = numbers
+        return every[model]
+
+    def _learn(self, raw: bytes, data: np.ndarray, begins: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
+        # pieces of white space and a word keep their cuts side by side, so many are one text
+        beside = _SPACE[data[begins]] & ~_SPACE[data[ends - 1]]
+        order = np.argsort(~beside, kind="stable")
+        begins, ends, hashes, many = begins[order], ends[order], hashes[order], int(beside.sum())
+        pieces = [raw[b:e] for b, e in zip(begins.tolist(), ends.tolist())]
+        texts = [b"".join(pieces[at : min(many, at + 256)]).decode("utf-8") for at in range(0, many, 256)]
+        texts += [piece.decode("utf-8") for piece in pieces[many:]]
         lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         flat = np.fromiter(chain.from_iterable(lists), np.int32, sum(map(len, lists)))
-        lengths = [len(piece.encode("utf-8")) for piece in pieces] + [len(text.encode("utf-8")) for text in texts[len(texts) - len(alone) :]]
-        ends = np.searchsorted(np.cumsum(self.bytes_of[flat]), np.cumsum(lengths), "left") + 1
-        starts = np.concatenate([[0], ends[:-1]])
-        odd = np.zeros(len(fresh), bool)
-        if OTHER_SPACE.search("".join(fresh)):
-            odd[:] = [_odd(key) for key in (*joined, *alone)]
-        self.known.update(zip(chain(joined, alone), range(len(self.known), len(self.known) + len(fresh))))
-        self.starts = np.concatenate([self.starts, len(self.flat) + starts])
-        self.sizes = np.concatenate([self.sizes, ends - starts])
-        self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
-        self.flat = np.concatenate([self.flat, flat])
-        self.whole = np.concatenate([self.whole, odd])
-
-    def _forget(self) -> None:
-        """Keep the words met more than once, if those are few enough, and count anew."""
-        kept = np.flatnonzero(self.uses > 1)
-        if len(kept) > CACHE_WORDS // 2:
-            kept = np.sort(kept[np.argsort(-self.uses[kept], kind="stable")[: CACHE_WORDS // 2]])
-        keys = list(self.known)
-        known = {keys[i]: n for n, i in enumerate(kept.tolist())}
-        flat = self.flat[ranges(self.starts[kept], self.sizes[kept])]
-        self.known, self.flat, self.sizes, self.whole = known, flat, self.sizes[kept], self.whole[kept]
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.uses = np.zeros(len(kept), np.int64)
-
-
-def _keys(text: str) -> list[str]:
-    """The words of a text as keys."""
-    if not text:
-        return []
-    parts = text.replace("\n", " \n").split(" ")
-    if "" not in parts and "\n" not in parts and parts[0][0] != "\n":
-        parts[0] = SPELLED + parts[0]
-        return parts
-    return [p[1:] if p[0] == " " and len(p) > 1 and p[1] not in " \n\t\r" else SPELLED + p for p in PIECES.findall(text)]
+        lengths = ends - begins
+        stops = np.searchsorted(np.cumsum(self.bytes_of[flat]), np.cumsum(lengths), "left") + 1
+        odd = np.zeros(len(pieces), bool)
+        if OTHER_SPACE.search("".join(texts)):
+            odd[:] = [_odd(piece.decode("utf-8")) for piece in pieces]
+        self.known.add(hashes, np.frombuffer(b"".join(pieces), np.uint8), lengths, flat, np.diff(stops, prepend=0), odd)
 
 
 def _odd(piece: str) -> bool:
@@ -190,9 +299,12 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFra
 
         encoder = worker_memo(("words", tokenizer_path), lambda: WordEncoder(Tokenizer.from_file(tokenizer_path)))
         for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            for first, last in slices([len(text) for text in texts]):
-                ids, counts = encoder.encode(texts[first:last])
+            texts = batch.column("text")
+            bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+            held = texts.buffers()[2]
+            for first, last in slices(np.diff(bounds).tolist(), SLICE_BYTES):
+                raw = held[int(bounds[first]) : int(bounds[last])].to_pybytes() if held else b""
+                ids, counts = encoder.encode_bytes(raw, bounds[first : last + 1] - bounds[first])
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id).astype(np.int32)
                 offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]).astype(np.int32)
@@ -200,9 +312,10 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFra
                     [batch.column("doc_id").slice(first, last - first), pa.array(counts + 1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))],
                     names=["doc_id", "n_tokens", "ids"],
                 )
+            return_memory()
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(encode, IDS_SCHEMA)
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).mapInArrow(encode, IDS_SCHEMA)
 
 
 def write_token_files(
@@ -226,6 +339,7 @@ def write_token_files(
     (
         encode_ids(ordered, tokenizer_path, end_id)
         .write.option("compression", "zstd")
+        .option("maxRecordsPerFile", "0")
         .option("parquet.block.size", str(row_group_bytes))
         .option("parquet.page.row.count.limit", str(page_rows))
         .option("parquet.enable.dictionary", str(not delta).lower())
@@ -246,28 +360,31 @@ def token_starts(spark: SparkSession, path: str) -> DataFrame:
     Rows are numbered inside each file and the files' totals are added up over one row for each
     file, so no task sees more rows than a file has.
     """
-    from pyspark.sql.window import Window
+    rows = read_token_files(spark, path).select("doc_id", "n_tokens", *_written_at())
+    return _with_starts(spark, path, rows).select("doc_id", "start", "n_tokens")
 
-    rows = read_token_files(spark, path).select(
-        "doc_id", "n_tokens", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
-    )
-    return _with_starts(rows, Window).select("doc_id", "start", "n_tokens")
 
+def _written_at() -> list[Column]:
+    """In which file a row stands, and where in it."""
+    return [F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")]
 
-def _with_starts(rows: DataFrame, window) -> DataFrame:
-    """``rows`` has file, row and n_tokens; files are named in the order they were written."""
-    written = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("held"))
-    before = window.orderBy(written).rowsBetween(window.unboundedPreceding, -1)
+
+def _with_starts(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """``rows`` has file, row and n_tokens; the files' totals come from their lengths alone.
+
+    A task's files are named by its number and, if it wrote several, by a count of their own.
+    """
+    written = [F.regexp_extract("file", pattern, 1).cast("long") for pattern in (r"part-(\d+)", r"-c(\d+)\.")]
+    lengths = read_token_files(spark, path).select("n_tokens", _written_at()[0])
+    files = lengths.groupBy("file").agg(F.sum("n_tokens").alias("held"))
+    before = Window.orderBy(*written).rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))
-    inside = window.partitionBy("file").orderBy("row").rowsBetween(window.unboundedPreceding, -1)
+    inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     return rows.join(files, "file").withColumn("start", F.col("base") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
 
 
 def id_digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and the checksum of the ids of every row of the files."""
-    from pyspark.sql.window import Window
-
     def digest(batches):
         for batch in batches:
             lists = batch.column("ids")
@@ -281,7 +398,7 @@ def id_digests(spark: SparkSession, path: str) -> DataFrame:
 
     rows = (
         read_token_files(spark, path)
-        .select("doc_id", "ids", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+        .select("doc_id", "ids", *_written_at())
         .mapInArrow(digest, "doc_id long, file string, row long, n_tokens long, ids_crc32 long")
     )
-    return _with_starts(rows, Window).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return _with_starts(spark, path, rows).select("doc_id", "start", "n_tokens", "ids_crc32")

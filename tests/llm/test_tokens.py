@@ -20,9 +20,9 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SPACES = ["a  b", "a \nb", "\n\nfoo", "foo\n\n\nbar baz\n", "tab\there \t x", "nb\xa0sp \xa0x y", "　x   y", " lead", "trail ", "x\r\ny", "don't we'll", "\n", " ", "\n ", "1 22 333", "a.b, c..\n.d"]
 
 
-@pytest.mark.parametrize("remembered", [5, 500_000])
+@pytest.mark.parametrize("remembered", [5, 800_000])
 def test_words_give_the_texts_ids(monkeypatch, remembered):
-    monkeypatch.setattr(token_files, "CACHE_WORDS", remembered)
+    monkeypatch.setattr(token_files, "KNOWN_PIECES", remembered)
     tokenizer = Tokenizer.from_file(BYTE_BPE)
     encoder = token_files.WordEncoder(tokenizer)
     rng = random.Random(1)
@@ -56,6 +56,46 @@ def test_files_in_order(spark, docs_of, delta):
     assert sorted((r["start"], r["n_tokens"]) for r in starts) == sorted((r["start"], r["n_tokens"]) for r in found)
 
 
+def test_starts_with_several_files_a_task(spark, docs_of, monkeypatch):
+    """Starts follow the files' order also where another writer's setting splits a task's rows."""
+    docs = docs_of([(i, prose(20, i)) for i in range(200)])
+    before = spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "20")
+    try:
+        whole, split = new_path(spark, "tokens"), new_path(spark, "tokens")
+        token_files.write_token_files(docs, whole, BYTE_BPE)
+        assert len(token_files.read_token_files(spark, whole).inputFiles()) < 10
+        token_files.read_token_files(spark, whole).orderBy("doc_id").coalesce(1).write.parquet(split)
+        assert len(token_files.read_token_files(spark, split).inputFiles()) == 10
+    finally:
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", before)
+    for path in (whole, split):
+        at = 0
+        for row in token_files.id_digests(spark, path).orderBy("doc_id").collect():
+            assert row["start"] == at
+            at += row["n_tokens"]
+
+
+def test_pieces_with_one_hash_are_told_apart(monkeypatch):
+    """With a hash of two values nearly all pieces meet another one's hash."""
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    monkeypatch.setattr(token_files, "mixed", lambda values: values & np.uint64(1))
+    encoder = token_files.WordEncoder(tokenizer)
+    for text in (prose(200, 1), prose(200, 2), "a b a c", ""):
+        ids, counts = encoder.encode([text, text])
+        assert ids.tolist() == 2 * tokenizer.encode(text, add_special_tokens=False).ids
+        assert counts[0] == counts[1]
+
+
+def test_long_texts_are_cut_between_pieces(monkeypatch):
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 50)
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    texts = [prose(300, 1), "x" * 400, prose(30, 2) + "\n" * 200 + "ü" * 90]
+    ids, counts = token_files.WordEncoder(tokenizer).encode(texts)
+    found = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    assert found == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_selective_reads(spark, docs_of):
     path = new_path(spark, "tokens")
     token_files.write_token_files(docs_of([(i, prose(200, i)) for i in range(100)]).coalesce(1), path, BYTE_BPE, row_group_bytes=20_000)
