@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,18 +21,40 @@ PAIR_KEYS = [
     "destination_region_name",
 ]
 DAYS_PER_YEAR = 365
+# A float stands for the nearest fraction with at most this denominator.
+FINEST = 1_000_000
+
+
+def yearly_limit(fpd: int | float | Fraction | Decimal | str) -> Fraction:
+    """Flights a day as exact flights a year.
+
+    In floats, 365 times 12/365 is less than 12, so a comparison with it would count a yearly total
+    of 12 as above the threshold. A float is taken as the fraction it was written as: 12/365, not
+    the binary number next to it.
+    """
+    exact = Fraction(fpd)
+    if isinstance(fpd, float):
+        exact = exact.limit_denominator(FINEST)
+    return DAYS_PER_YEAR * exact
+
+
+def above_limit(total: str, kind: str, limit: Fraction) -> Column:
+    """Whether a total is above the limit; exact for whole numbers of any size."""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.col(total) > F.lit(limit.numerator // limit.denominator)
+    return F.col(total) * F.lit(limit.denominator) > F.lit(limit.numerator)
 
 
 def year_matrix(
     flows: DataFrame,
     years: list[int],
-    fpd: float = 0,
+    fpd: int | float | Fraction | Decimal | str = 0,
     keys: list[str] = PAIR_KEYS,
     prefix: str = "countryflow_",
 ) -> DataFrame:
     """One row per pair and one column per year, keeping cells above ``fpd`` flights a day.
 
-    The comparison is strict. A cell at or below the threshold, or without flights, shows 0, and
+    The comparison is strict and exact, see ``yearly_limit``. A cell at or below the threshold, or without flights, shows 0, and
     a pair with no cell above it has no row. Repeated rows are added up before the comparison.
     A year outside ``years``, or none, has no column to go to and fails the query; filter the
     flows first where only some years are wanted.
@@ -40,25 +64,30 @@ def year_matrix(
     """
     if not years:
         return flows.select(*keys).limit(0)
-    threshold = F.lit(DAYS_PER_YEAR * fpd)
+    limit = yearly_limit(fpd)
     names = [f"{prefix}{year}" for year in years]
     totals = (
         _with_listed_year(flows, years)
         .groupBy(*keys)
         .agg(*[_year_total(y, "flights").alias(n) for y, n in zip(years, names)])
     )
-    kept = reduce(lambda a, b: a | b, [F.col(n) > threshold for n in names], F.lit(False))
+    above = {n: above_limit(n, totals.schema[n].dataType.simpleString(), limit) for n in names}
+    kept = reduce(lambda a, b: a | b, above.values(), F.lit(False))
     return totals.where(kept).select(
-        *keys, *[F.when(F.col(n) > threshold, F.col(n)).otherwise(0).alias(n) for n in names]
+        *keys, *[F.when(above[n], F.col(n)).otherwise(0).alias(n) for n in names]
     )
 
 
-def pair_totals_by_year(flows: DataFrame, years: list[int]) -> DataFrame:
+def pair_totals_by_year(
+    flows: DataFrame, years: list[int], collation: str | None = None
+) -> DataFrame:
     """Movements per year between two regions, both directions under one name.
 
+    The name has the smaller region first, in byte order or that of a collation.
+
     A year outside ``years``, or none, fails the query.
     """
-    label = sorted_label(F.col("origin_region_name"), F.col("destination_region_name"))
+    label = sorted_label(F.col("origin_region_name"), F.col("destination_region_name"), collation)
     if not years:
         return flows.select(label.alias("flow_name")).limit(0)
     return (
@@ -68,9 +97,9 @@ def pair_totals_by_year(flows: DataFrame, years: list[int]) -> DataFrame:
     )
 
 
-def region_pair_stats(flows: DataFrame) -> DataFrame:
+def region_pair_stats(flows: DataFrame, collation: str | None = None) -> DataFrame:
     """The long form of ``pair_totals_by_year``, largest movements first."""
-    label = sorted_label(F.col("origin_region_name"), F.col("destination_region_name"))
+    label = sorted_label(F.col("origin_region_name"), F.col("destination_region_name"), collation)
     return (
         flows.groupBy("year", label.alias("flow_name"))
         .agg(F.sum("flights").alias("movements"))

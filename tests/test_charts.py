@@ -1,3 +1,6 @@
+from decimal import Decimal
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +41,30 @@ def test_repeated_rows_are_added_before_the_threshold(spark):
     assert rows(matrices.year_matrix(flows, [2014], fpd=10), "countryflow_2014") == [(4000,)]
 
 
+@pytest.mark.parametrize("form", [float, Fraction])
+def test_limits_are_exact(form):
+    """The threshold of k flights a year, given per day, is k itself."""
+    for k in range(401):
+        assert matrices.yearly_limit(form(Fraction(k, 365))) == k
+    assert matrices.yearly_limit("0.2") == 73 == matrices.yearly_limit(Decimal("0.2"))
+    assert matrices.yearly_limit(0.1) == Fraction(73, 2) and matrices.yearly_limit(10) == 3650
+
+
+def test_cells_at_the_threshold_stay_out(spark):
+    """One pair for each k with k flights, and thresholds at k: only larger totals are above."""
+    flows = prepared(spark, [flow(2014, k, f"O{k}", "D") for k in range(1, 401)]).cache()
+    above = [
+        [F.count_if(matrices.above_limit("flights", kind, matrices.yearly_limit(k / 365))).alias(f"{kind}{k}") for k in range(1, 401)]
+        for kind in ("bigint", "double")
+    ]
+    for counts in above:
+        assert list(flows.agg(*counts).first()) == [400 - k for k in range(1, 401)]
+    wide = matrices.year_matrix(flows, [2014], fpd=12 / 365)
+    assert wide.agg(F.min("countryflow_2014")).first()[0] == 13
+    links = graph.od_graph(flows, 2014, fpd=12 / 365).links
+    assert links.agg(F.min("value")).first()[0] == 13
+
+
 def test_years_may_be_text(spark):
     flows = prepared(spark, [flow(2015, 1, "FR", "CN"), flow(2013, 1, "FR", "CN")])
     wide = matrices.year_matrix(flows, [2013, 2015])
