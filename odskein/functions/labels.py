@@ -25,9 +25,31 @@ def undirected_pair(a: Column, b: Column) -> Column:
     )
 
 
-def sorted_label(a: Column, b: Column) -> Column:
-    """``A-B`` in ascending order of the two names, NULL when they cannot be compared."""
-    return if_known(a < b, paste_text(a, F.lit("-"), b), paste_text(b, F.lit("-"), a))
+def collated(text: Column, collation: str | None) -> Column:
+    """The text under a collation for comparing and sorting; byte order without one.
+
+    ``UNICODE`` orders names as a reader expects: accented letters stand beside their plain ones and
+    capitals do not come first. ``UNICODE_CI_AI`` and the like also make them equal.
+    """
+    return text if collation is None else F.collate(text, collation)
+
+
+def sorted_label(a: Column, b: Column, collation: str | None = None) -> Column:
+    """``A-B`` in ascending order of the two names, NULL when they cannot be compared.
+
+    Names that a collation holds equal are told apart by their bytes, so both directions of a pair
+    have the same label.
+    """
+    first = collated(a, collation) < collated(b, collation)
+    if collation is not None:
+        first = first | ((collated(a, collation) == collated(b, collation)) & (a < b))
+    return if_known(first, paste_text(a, F.lit("-"), b), paste_text(b, F.lit("-"), a))
+
+
+def in_order(column: str, collation: str | None = None) -> list[Column]:
+    """Ascending order of a text column, missing values last; bytes settle what a collation ties."""
+    order = [F.asc_nulls_last(column)]
+    return order if collation is None else [collated(F.col(column), collation).asc_nulls_last(), *order]
 
 
 def title_case(text: Column) -> Column:

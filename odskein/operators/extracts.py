@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odskein.functions.labels import directed_pair, undirected_pair
+from odskein.functions.labels import directed_pair, in_order, undirected_pair
 from odskein.functions.nulls import blank_to_null
 from odskein.functions.period import Period
 from odskein.operators.versions import current_airports
@@ -158,9 +158,17 @@ def airport_flows(
 
 
 def airports_valid(
-    airports: DataFrame, wef, til, codes: list[str] | None = None, ordered: bool = True
+    airports: DataFrame,
+    wef,
+    til,
+    codes: list[str] | None = None,
+    ordered: bool = True,
+    collation: str | None = None,
 ) -> DataFrame:
-    """Airport versions in force from before the period until after its (excluded) end."""
+    """Airport versions in force from before the period until after its (excluded) end.
+
+    Sorted by code, in byte order or that of a collation.
+    """
     period = Period.of(wef, til)
     rows = airports.where(period.spans(airports, "valid_from", "valid_to"))
     if codes is not None:
@@ -177,7 +185,7 @@ def airports_valid(
         "valid_from",
         "valid_to",
     )
-    by_code = [F.asc_nulls_last("icao"), "valid_from", "valid_to"]
+    by_code = [*in_order("icao", collation), "valid_from", "valid_to"]
     return rows.orderBy(*by_code) if ordered else rows
 
 

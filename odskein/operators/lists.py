@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from odskein.functions.labels import in_order
 from odskein.functions.nulls import if_known
 from odskein.session import in_utc
 
 
-def visible_countries(flows: DataFrame, show: int) -> DataFrame:
+def visible_countries(flows: DataFrame, show: int, collation: str | None = None) -> DataFrame:
     """Countries at either end, with a flag that says whether a chart shows them at first.
 
-    Both ends come out of one pass over the flows.
+    Both ends come out of one pass over the flows. With a collation the list is in the order of names,
+    without one in that of codes.
     """
     ends = F.array(
         *[
@@ -23,17 +25,16 @@ def visible_countries(flows: DataFrame, show: int) -> DataFrame:
     return (
         flows.select(F.inline(ends))
         .distinct()
-        .orderBy(F.asc_nulls_last("iso"), F.asc_nulls_last("name"))
+        .orderBy(*([] if collation is None else in_order("name", collation)), *in_order("iso"), *in_order("name"))
         .withColumn("show", F.lit(show))
     )
 
 
-def visible_regions(flows: DataFrame) -> DataFrame:
-    """Regions at either end."""
+def visible_regions(flows: DataFrame, collation: str | None = None) -> DataFrame:
+    """Regions at either end, in byte order or that of a collation."""
     ends = F.array("destination_region_name", "origin_region_name")
-    return (
-        flows.select(F.explode(ends).alias("name")).distinct().orderBy(F.asc_nulls_last("name"))
-    )
+    names = flows.select(F.explode(ends).alias("name")).distinct()
+    return names.orderBy(*in_order("name", collation))
 
 
 def visible_years(flows: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odskein.functions.nulls import blank_to_null
+from odskein.operators.lookups import with_totals
 
 # Country names the source dimension gets wrong, by ICAO prefix or by full code.
 PREFIX_COUNTRY_NAMES = {"WI": "INDONESIA", "WR": "INDONESIA"}
@@ -16,12 +17,12 @@ def latest_version(dimension: DataFrame, key: str, version: str) -> DataFrame:
     """Rows that carry their key's highest version, all of them when several tie.
 
     Rows without a key or without a version drop out. The maximum is an aggregate that is
-    combined before the shuffle, and the semi join spreads one key's rows over its versions
-    (AQE splits what is still uneven); a window would sort all rows of a key in one task.
+    combined before the shuffle, and the semi join spreads one key's rows over its versions and
+    can be split where a version has many; a window would sort all rows of a key in one task.
     """
     keyed = dimension.where(F.col(key).isNotNull())
     newest = keyed.groupBy(key).agg(F.max(version).alias(version))
-    return keyed.join(newest, [key, version], "left_semi")
+    return with_totals(keyed, newest, [key, version], "left_semi")
 
 
 def current_airports(airports: DataFrame, prefix_repair: bool = False) -> DataFrame:

@@ -25,6 +25,7 @@ from odskein.operators.recode import (
 )
 from odskein.operators.regions import split_intra_extra, with_region
 from odskein.sinks.files import write_csv, write_parquet
+from odskein.sinks.manifests import new_name, publish
 
 EXTRA_FPD = 10
 INTRA_FPD = 0
@@ -85,6 +86,23 @@ def intra_tables(
     )
 
 
+def chart_package(
+    prepared: DataFrame, classification: DataFrame, home: str, years: list[int]
+) -> dict[str, DataFrame]:
+    """The tables of a chart by name, from stored prepared flows."""
+    sets = {
+        "intra": intra_tables(prepared, home, classification, years),
+        "extra": extra_tables(prepared, home, years),
+    }
+    package = {"flows": prepared}
+    for name, tables in sets.items():
+        package[f"{name}-flows"] = tables.matrix
+        package[f"{name}_countries"] = tables.countries
+        package[f"{name}_regions"] = tables.regions
+        package[f"{name}_years"] = tables.years
+    return package
+
+
 def write_chart(
     raw: DataFrame,
     classification: DataFrame,
@@ -95,18 +113,29 @@ def write_chart(
     """Write the prepared flows and both sets of tables under the folder.
 
     The prepared flows are stored first and read back, so that the tables made from them do not
-    repeat the extract behind ``raw``.
+    repeat the extract behind ``raw``. Each output replaces the former one by itself; a reader who
+    must not see two runs mixed reads what ``publish_chart`` wrote.
     """
     prepared = write_parquet(
         with_home_region(clean_flows(raw), classification), f"{folder}/flows.parquet"
     )
-    write_csv(prepared, f"{folder}/flows")
-    sets = {
-        "intra": intra_tables(prepared, home, classification, years),
-        "extra": extra_tables(prepared, home, years),
-    }
-    for name, tables in sets.items():
-        write_csv(tables.matrix, f"{folder}/{name}-flows")
-        write_csv(tables.countries, f"{folder}/{name}_countries")
-        write_csv(tables.regions, f"{folder}/{name}_regions")
-        write_csv(tables.years, f"{folder}/{name}_years")
+    for name, table in chart_package(prepared, classification, home, years).items():
+        write_csv(table, f"{folder}/{name}")
+
+
+def publish_chart(
+    raw: DataFrame,
+    classification: DataFrame,
+    home: str,
+    folder: str,
+    years: list[int],
+) -> int:
+    """The same tables as one package, which appears as a whole; returns its number.
+
+    ``published(spark, folder, name)`` reads a table of the last package, whatever a later run that
+    is under way or has broken off left behind.
+    """
+    prepared = write_parquet(
+        with_home_region(clean_flows(raw), classification), f"{folder}/{new_name('flows')}"
+    )
+    return publish(raw.sparkSession, folder, chart_package(prepared, classification, home, years))

@@ -21,6 +21,7 @@ from odskein.sinks.files import (
     write_parquet,
     write_timeline,
 )
+from odskein.sinks.manifests import new_name, publish
 
 # The airport the source places in the wrong country.
 DEFAULT_REPAIR = (MISPLACED_AIRPORT, ITS_COUNTRY)
@@ -72,3 +73,30 @@ def write_map(
         write_days(timeline, f"{folder}/days")
     write_csv(day_list(timeline, "time"), f"{folder}/day_list")
     write_csv(map_properties(daily.sparkSession, **publisher), f"{folder}/properties")
+
+
+def publish_map(
+    daily: DataFrame,
+    centroids: DataFrame,
+    folder: str,
+    threshold: int = 1,
+    extra: DataFrame | None = None,
+    overrides: DataFrame | None = None,
+    repair: tuple[str, str] | None = DEFAULT_REPAIR,
+    **publisher: str | None,
+) -> int:
+    """The same tables as one package, which appears as a whole; returns its number.
+
+    The timeline carries its day, so a reader of single days filters it.
+    """
+    run = f"{folder}/{new_name('pairs')}"
+    pairs = write_parquet(_pairs(daily, repair), f"{run}/pairs")
+    places = write_parquet(locations(pairs, centroids, extra, overrides), f"{run}/locations")
+    timeline = write_parquet(flow_timeline(pairs, places, threshold), f"{run}/flows")
+    package = {
+        "locations": places.drop("iso_a2"),
+        "flows": timeline,
+        "day_list": day_list(timeline, "time"),
+        "properties": map_properties(daily.sparkSession, **publisher),
+    }
+    return publish(daily.sparkSession, folder, package)

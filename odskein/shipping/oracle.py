@@ -289,6 +289,30 @@ points AS (
   FROM customer
 )"""
 
+FOR_EVER = "TIMESTAMP '9999-12-31'"
+
+SWEPT = """
+steps AS (SELECT code, moment, sum(step) AS step FROM ends GROUP BY code, moment HAVING sum(step) <> 0),
+swept AS (
+  SELECT code, moment, lead(moment) OVER (PARTITION BY code ORDER BY moment) AS following,
+         CAST(sum(step) OVER (PARTITION BY code ORDER BY moment) AS BIGINT) AS n_versions
+  FROM steps
+)"""
+
+GAPPY_INTRA = f"""{GAPPY},
+scheme AS (
+  SELECT n_name AS code, 'Land ' || n_nationkey AS name, r_name AS region,
+         r_name || CASE WHEN n_nationkey < 13 THEN ' north' ELSE ' south' END AS part
+  FROM nations WHERE n_name <> 'NATION_12'
+),
+intra AS (
+  SELECT year, nb_of_flight AS flights, dep_iso_country_code AS origin_iso, o.name AS origin_name,
+         o.part AS origin_region_name, des_iso_country_code AS destination_iso,
+         d.name AS destination_name, d.part AS destination_region_name
+  FROM gappy JOIN scheme o ON o.code = dep_iso_country_code JOIN scheme d ON d.code = des_iso_country_code
+  WHERE o.region = 'EUROPE' AND d.region = 'EUROPE'
+)"""
+
 TWO_YEAR_CIVIL = civil(*TWO_YEARS)
 
 ORACLE = {
@@ -583,4 +607,85 @@ SELECT o_orderstatus AS flt_state, CAST(count(o_orderkey) AS BIGINT) AS flights
 FROM orders
 WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '2002-01-01'
 GROUP BY 1""",
+    "version_faults": f"""
+WITH ends AS (
+  SELECT o_custkey AS code, o_orderdate AS moment, 1 AS step FROM orders
+  UNION ALL
+  SELECT o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + INTERVAL 30 DAY ELSE {FOR_EVER} END, -1
+  FROM orders
+), {SWEPT}
+SELECT code, moment AS since, nullif(following, {FOR_EVER}) AS until, n_versions
+FROM swept WHERE following IS NOT NULL AND n_versions <> 1""",
+    "versions_in_force": f"""
+WITH {POINTS},
+spans AS (
+  SELECT o_custkey, min(o_orderdate) AS valid_from, max(o_orderdate) AS valid_to FROM orders GROUP BY o_custkey
+),
+ends AS (
+  SELECT iso_code AS code, unnest([valid_from, valid_to]) AS moment, unnest([1, -1]) AS step
+  FROM points JOIN spans ON o_custkey = c_custkey WHERE valid_from < valid_to
+), {SWEPT}
+SELECT code AS iso_ct_code, moment AS since, following AS until, n_versions
+FROM swept WHERE following IS NOT NULL""",
+    "clipped_map_lines": f"""
+WITH {YEARLY}, {GRID},
+drawn AS (
+  SELECT yearly.*, CAST(sum(n) OVER (PARTITION BY adep) AS BIGINT) AS total,
+         p.lon AS x, p.lat AS y, q.lon - p.lon AS dx, q.lat - p.lat AS dy, q.lon AS x1, q.lat AS y1
+  FROM yearly LEFT JOIN grid p ON p.icao = adep LEFT JOIN grid q ON q.icao = ades
+  WHERE adep <> ades QUALIFY p.icao IS NOT NULL AND q.icao IS NOT NULL
+),
+cut AS (
+  SELECT *,
+         greatest(0.0::DOUBLE, CASE WHEN dx > 0 THEN (x - -45.0::DOUBLE) / -dx WHEN dx < 0 THEN (62.5::DOUBLE - x) / dx END,
+                  CASE WHEN dy > 0 THEN (y - -12.5::DOUBLE) / -dy WHEN dy < 0 THEN (14.0::DOUBLE - y) / dy END) AS t0,
+         least(1.0::DOUBLE, CASE WHEN dx < 0 THEN (x - -45.0::DOUBLE) / -dx WHEN dx > 0 THEN (62.5::DOUBLE - x) / dx END,
+               CASE WHEN dy < 0 THEN (y - -12.5::DOUBLE) / -dy WHEN dy > 0 THEN (14.0::DOUBLE - y) / dy END) AS t1
+  FROM drawn
+  WHERE NOT (dx = 0 AND x NOT BETWEEN -45 AND 62.5) AND NOT (dy = 0 AND y NOT BETWEEN -12.5 AND 14)
+)
+SELECT * EXCLUDE (x, y, dx, dy, x1, y1, t0, t1),
+       CASE WHEN t0 = 0 THEN x ELSE x + t0 * dx END AS adep_longitude,
+       CASE WHEN t0 = 0 THEN y ELSE y + t0 * dy END AS adep_latitude,
+       CASE WHEN t1 = 1 THEN x1 ELSE x + t1 * dx END AS ades_longitude,
+       CASE WHEN t1 = 1 THEN y1 ELSE y + t1 * dy END AS ades_latitude
+FROM cut WHERE t0 <= t1""",
+    "od_tile_totals": f"""
+WITH {GAPPY}
+SELECT code, CAST(sum(leaving) AS BIGINT) AS leaving, CAST(sum(arriving) AS BIGINT) AS arriving
+FROM (SELECT dep_iso_country_code AS code, nb_of_flight AS leaving, 0 AS arriving FROM gappy
+      UNION ALL SELECT des_iso_country_code, 0, nb_of_flight FROM gappy)
+GROUP BY code""",
+    "od_tile_cells": f"""
+WITH {GAPPY}
+SELECT dep_iso_country_code AS origin_iso, des_iso_country_code AS destination_iso,
+       CAST(sum(nb_of_flight) AS BIGINT) AS flights
+FROM gappy GROUP BY ALL""",
+    "followed_event_days": """
+SELECT CAST(ts AS DATE) AS entry_day, event_type, count(DISTINCT event_id) AS n_events
+FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
+    "closed_event_days": """
+SELECT CAST(ts AS DATE) AS entry_day, event_type, count(DISTINCT event_id) AS n_events
+FROM events WHERE CAST(ts AS DATE) <= (SELECT CAST(max(ts) AS DATE) - 2 FROM events) GROUP BY ALL""",
+    "incremental_daily_flows": f"WITH {daily(*OPEN)} SELECT * FROM daily",
+    "checked_rows": """
+WITH lines AS (
+  SELECT c_custkey, c_mktsegment,
+         CASE WHEN c_custkey % 5 = 0 THEN 'code holds no whole number of 64 bits'
+              WHEN c_custkey % 7 = 0 THEN 'balance holds no decimal(12,2)' END AS reason
+  FROM customer
+)
+SELECT coalesce(reason, c_mktsegment) AS segment, count(*) AS n,
+       CAST(CASE WHEN reason IS NULL THEN sum(c_custkey * CASE WHEN c_custkey % 5 = 1 THEN 100 ELSE 1 END) END AS BIGINT) AS codes
+FROM lines GROUP BY c_mktsegment, reason HAVING reason IS NULL
+UNION ALL
+SELECT reason, count(*), NULL FROM lines WHERE reason IS NOT NULL GROUP BY reason""",
+    "published_chart": f"""
+WITH {GAPPY_INTRA}
+{matrix('intra', 0)}""",
+    "published_map": f"""
+WITH {PLACES}
+SELECT s.id AS origin, t.id AS dest, count, strftime(entry_day, '%Y-%m-%d') AS time
+FROM pairs JOIN places s ON s.iso_a2 = source_iso2c JOIN places t ON t.iso_a2 = target_iso2c
+WHERE count >= 2""",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from odskein.functions.period import Period
 from odskein.operators import (
@@ -11,21 +12,30 @@ from odskein.operators import (
     extracts,
     flowmap,
     graph,
+    intervals,
     lists,
     matrices,
     recode,
     regions,
+    tiles,
     versions,
     yearly,
 )
-from odskein.plans.daily_map import map_timeline
+from odskein.plans.circular import publish_chart
+from odskein.plans.daily_map import map_timeline, publish_map
+from odskein.plans.daily_table import daily_flows, update_daily_flows
 from odskein.schemas import CENTROIDS, OVERRIDES
 from odskein.shipping import roles
+from odskein.sinks.files import write_csv
+from odskein.sinks.manifests import published
+from odskein.sinks.scratch import scratch_folder
 from odskein.sources import delimited
 from odskein.sources.literals import inline_rows
+from odskein.sources.quarantine import read_checked
 from odskein.sources.tables import bound_query
+from odskein.streaming.daily import Events, FollowedDays, closing_days, follow_days
 
-# Thresholds in flights a year, as the operators take them: per day.
+# Thresholds of 7 and 12 flights a year, as the operators take them: per day.
 MATRIX_FPD = 7 / 365
 CHART_FPD = 12 / 365
 GRAPH_YEAR = 1998
@@ -34,6 +44,13 @@ GRAPH_YEAR = 1998
 EXTRA_PLACES = [("Far place", None, "C03", 44.5, -12.5), ("Unused place", None, "##", 0.0, 0.0)]
 MOVED_PLACES = [("C05", "Moved place", 1.25, 2.5), ("C06", None, -3.5, 4.0)]
 
+# The part of the trade map that is shown, and the squares its matrix is cut into.
+MAP_BOX = yearly.BoundingBox(-45, -12.5, 62.5, 14)
+TILE_SIDE = 8
+# Off-block days at which the deliveries of flights begin.
+DELIVERIES = ("1996-07-01", "1999-01-01")
+EVENTS = Events("event_id", "ts", ("event_type",))
+
 QUERIES = {}
 
 
@@ -453,3 +470,107 @@ def bound_sql(spark: SparkSession, folder: str) -> DataFrame:
     return bound_query(
         spark, text, Period.of(*roles.ALL_TIME), orders=roles.table(spark, folder, "orders")
     )
+
+
+@query
+def version_faults(spark: SparkSession, folder: str) -> DataFrame:
+    return intervals.version_faults(roles.order_versions(spark, folder), ["code"], "valid_from", "valid_to")
+
+
+@query
+def versions_in_force(spark: SparkSession, folder: str) -> DataFrame:
+    airports = roles.dated_customer_airports(spark, folder)
+    return intervals.versions_in_force(airports, ["iso_ct_code"], "valid_from", "valid_to")
+
+
+@query
+def clipped_map_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return yearly.clip_lines(yearly_map_lines(spark, folder), MAP_BOX)
+
+
+@query
+def od_tile_totals(spark: SparkSession, folder: str) -> DataFrame:
+    flows = recode.prepare_columns(roles.gappy_flows(spark, folder))
+    return tiles.tile_totals(tiles.od_tiles(flows, side=TILE_SIDE))
+
+
+@query
+def od_tile_cells(spark: SparkSession, folder: str) -> DataFrame:
+    flows = recode.prepare_columns(roles.gappy_flows(spark, folder))
+    return tiles.od_cells(tiles.od_tiles(flows, side=TILE_SIDE))
+
+
+@query
+def followed_event_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream of events counted per day and type, as the table holds it when all has arrived."""
+    place = scratch_folder(spark, "followed")
+    table = FollowedDays(spark, f"{place}/table", EVENTS, "event_type string")
+    follow_days(roles.event_stream(spark, folder), table, f"{place}/checkpoint")
+    return table.counts()
+
+
+@query
+def closed_event_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The days of the stream of events that have closed two days behind its last one."""
+    place = scratch_folder(spark, "closing")
+    counted = closing_days(roles.event_stream(spark, folder), EVENTS, "2 days")
+    files = counted.writeStream.format("parquet").option("path", f"{place}/days")
+    files.option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("entry_day date, event_type string, n_events bigint").parquet(f"{place}/days")
+
+
+@query
+def incremental_daily_flows(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily extract after three deliveries of flights, each of which touches days of the one before."""
+    place = scratch_folder(spark, "daily")
+    flights, airports = roles.operational_flights(spark, folder), roles.airport_versions(spark, folder)
+    periods = [Period.of(*bounds) for bounds in zip((None, *DELIVERIES), (*DELIVERIES, None))]
+    for period in periods:
+        known = flights.where(Period(None, period.til).holds(flights, "flt_lobt"))
+        new = flights.where(period.holds(flights, "flt_lobt"))
+        update_daily_flows(place, known, new, airports, states=roles.STATES, look_back=None, unit="month")
+    return daily_flows(spark, place, unit="month")
+
+
+@query
+def checked_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """A file with spoilt fields, by what became of its lines."""
+    place = scratch_folder(spark, "checked")
+    key = F.col("c_custkey")
+    number = F.when(key % 5 == 0, F.concat(key, F.lit("x"))).when(key % 5 == 1, F.concat(key, F.lit("e2")))
+    spoilt = roles.table(spark, folder, "customer").select(
+        F.coalesce(number, key.cast("string")).alias("code"),
+        F.when(key % 7 == 0, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("decimal(12, 2)").cast("string")).alias("balance"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+    write_csv(spoilt, f"{place}/rows")
+    checked = read_checked(spark, f"{place}/rows", StructType.fromDDL("code bigint, balance decimal(12, 2), segment string"))
+    good = checked.rows.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.sum("code").alias("codes"))
+    reason = F.regexp_extract("reason", "^(.*?)(?:: .*)?$", 1)
+    bad = checked.rejected.groupBy(reason.alias("segment")).agg(F.count(F.lit(1)).alias("n"))
+    return good.unionByName(bad.withColumn("codes", F.lit(None).cast("bigint")))
+
+
+@query
+def published_chart(spark: SparkSession, folder: str) -> DataFrame:
+    """The inner flows of a chart, from its published package."""
+    place = scratch_folder(spark, "chart")
+    raw, scheme = roles.gappy_flows(spark, folder), roles.classification(spark, folder)
+    publish_chart(raw, scheme, roles.HOME, place, roles.years(spark, folder))
+    return published(spark, place, "intra-flows")
+
+
+@query
+def published_map(spark: SparkSession, folder: str) -> DataFrame:
+    """The timeline of a map, from its published package."""
+    place = scratch_folder(spark, "map")
+    publish_map(
+        _map_flows(spark, folder),
+        roles.centroids(spark, folder),
+        place,
+        2,
+        inline_rows(spark, CENTROIDS, EXTRA_PLACES),
+        inline_rows(spark, OVERRIDES, MOVED_PLACES),
+        repair=None,
+    )
+    return published(spark, place, "flows")

@@ -51,6 +51,8 @@ _TABLES = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
     "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
     "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string",
 }
 
 
@@ -58,6 +60,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_files(spark, f"{folder}/{name}.parquet", schema_of(_TABLES[name]))
 
 
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as a stream of files: a pattern, as the table may be one file and no folder."""
+    return spark.readStream.schema(_TABLES["events"]).parquet(f"{folder}/events*.parquet")
+
+
+def order_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order as a version of its customer that holds for 30 days, a pending one for ever."""
+    orders = table(spark, folder, "orders")
+    until = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS"))
+    return orders.select(
+        F.col("o_custkey").alias("code"), F.col("o_orderdate").alias("valid_from"), until.alias("valid_to")
+    )
+
+
 def shipments(spark: SparkSession, folder: str, names: DataFrame | None = None) -> DataFrame:
     """Line items with the nation's key at both ends, and its name if ``names`` gives one per key.
 

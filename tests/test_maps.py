@@ -1,9 +1,13 @@
+import random
+from collections import Counter
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from odskein import schemas
-from odskein.operators import flowmap, yearly
+from odskein.functions.labels import sorted_label
+from odskein.operators import flowmap, lists, tiles, yearly
 from odskein.sources.literals import inline_rows
 from tests.frames import rows
 
@@ -187,3 +191,75 @@ def test_region_countries(spark):
         "name string, region string",
     )
     assert rows(yearly.region_countries(countries), "name") == [("France",)]
+
+
+def clipped(x0, y0, x1, y1, box):
+    """The part of a line inside the box, by trying every crossing."""
+    cuts = {0.0, 1.0}
+    for a, b, low, high in ((x0, x1, box.west, box.east), (y0, y1, box.south, box.north)):
+        if a != b:
+            cuts |= {t for t in ((low - a) / (b - a), (high - a) / (b - a)) if 0 <= t <= 1}
+    near = 1e-9
+
+    def inside(t):
+        x, y = x0 + t * (x1 - x0), y0 + t * (y1 - y0)
+        return box.west - near <= x <= box.east + near and box.south - near <= y <= box.north + near
+
+    held = [t for t in cuts if inside(t)]
+    return (min(held), max(held)) if held else None
+
+
+def test_lines_are_clipped_at_the_box(spark):
+    rng = random.Random(3)
+    box = yearly.EUROPE
+    ends = [tuple(rng.uniform(-60, 100) for _ in range(4)) for _ in range(400)]
+    ends += [(0, 50, 10, 50), (0, 0, 0, 90), (0, 10, 40, 10), (-25, 29, 45, 75), (-60, 40, -25, 40), (5, 40, 5, 40), (90, 40, 90, 40), (-25, 20, -25, 80)]
+    columns = "n int, adep_longitude double, adep_latitude double, ades_longitude double, ades_latitude double"
+    data = [(n, *map(float, line)) for n, line in enumerate(ends)] + [(-1, None, 40.0, 5.0, 40.0)]
+    found = {r[0]: tuple(r)[1:] for r in yearly.clip_lines(spark.createDataFrame(data, columns), box).collect()}
+    for n, (x0, y0, x1, y1) in enumerate(ends):
+        part = clipped(x0, y0, x1, y1, box)
+        assert (part is None) == (n not in found)
+        if part:
+            wanted = [c + t * (d - c) for t in part for c, d in ((x0, x1), (y0, y1))]
+            assert found[n] == pytest.approx(wanted)
+    assert found[400] == (0, 50, 10, 50) and -1 not in found
+
+
+def test_tiles_and_cells_are_inverse(spark):
+    rng = random.Random(5)
+    codes = [f"P{i}" for i in range(30)] + [None]
+    data = [(rng.choice(codes), rng.choice(codes), rng.randint(1, 9)) for _ in range(500)]
+    flows = spark.createDataFrame(data, "origin_iso string, destination_iso string, flights bigint")
+    totals, leaving, arriving = Counter(), Counter(), Counter()
+    for a, b, n in data:
+        totals[a, b] += n
+        leaving[a] += n
+        arriving[b] += n
+    for side in (1, 7, 512):
+        matrix = tiles.od_tiles(flows, side=side)
+        assert {(r[0], r[1]): r[2] for r in tiles.od_cells(matrix).collect()} == totals
+        assert {r[0]: (r[1], r[2]) for r in tiles.tile_totals(matrix).collect()} == {c: (leaving[c], arriving[c]) for c in codes}
+        for row in matrix.tiles.collect():
+            places = [(c["row"], c["column"]) for c in row["cells"]]
+            assert places == sorted(set(places)) and all(0 <= x < side for p in places for x in p)
+    assert tiles.od_tiles(flows.limit(0)).tiles.collect() == []
+
+
+def test_names_in_collated_order(spark):
+    names = ["Zypern", "Österreich", "oman", "Åland", "Albanien", "Ägypten", None, "Oman"]
+    flows = spark.createDataFrame([("a", n, "a", n) for n in names], "origin_iso string, origin_region_name string, destination_iso string, destination_region_name string")
+    plain = [r[0] for r in lists.visible_regions(flows).collect()]
+    assert plain == ["Albanien", "Oman", "Zypern", "oman", "Ägypten", "Åland", "Österreich", None]
+    ordered = [r[0] for r in lists.visible_regions(flows, "UNICODE").collect()]
+    assert ordered == ["Ägypten", "Åland", "Albanien", "oman", "Oman", "Österreich", "Zypern", None]
+    by_name = lists.visible_countries(flows.withColumns({"origin_name": F.col("origin_region_name"), "destination_name": F.col("origin_region_name")}), 0, "UNICODE")
+    assert [r["name"] for r in by_name.collect()] == ordered
+    pairs = spark.createDataFrame([("Zypern", "Österreich"), ("Österreich", "Zypern"), ("Oman", "oman"), ("oman", "Oman"), (None, "Oman")], "a string, b string")
+
+    def labels(collation):
+        return [r[0] for r in pairs.select(sorted_label(F.col("a"), F.col("b"), collation)).collect()]
+
+    assert labels(None) == ["Zypern-Österreich"] * 2 + ["Oman-oman"] * 2 + [None]
+    assert labels("UNICODE") == ["Österreich-Zypern"] * 2 + ["oman-Oman"] * 2 + [None]
+    assert labels("UNICODE_CI") == ["Österreich-Zypern"] * 2 + ["Oman-oman"] * 2 + [None]

@@ -164,6 +164,38 @@ def test_hot_keys_are_split_when_both_sides_are_large(spark):
         assert sum(r.nb_of_flight for r in found.collect()) == 60000
 
 
+SPLIT_SOON = dict(
+    spark__sql__autoBroadcastJoinThreshold="-1",
+    spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+    spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
+    spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    spark__sql__shuffle__partitions="16",
+)
+
+
+def test_rows_of_a_hot_airport_are_split_from_their_total(spark):
+    """The total is an aggregate on the join's own key; still the join has two shuffles of its own."""
+    with settings(spark, **SPLIT_SOON):
+        adep = F.when(F.col("id") % 3 > 0, F.lit("HOT")).otherwise(F.col("id").cast("string"))
+        data = spark.range(0, 60000, 1, 8).select(
+            adep.alias("adep"), F.lit("B").alias("ades"), F.col("id").alias("nb_of_flight")
+        )
+        found = departure_share(data)
+        assert "SortMergeJoin(skew=true)" in final_plan(found)
+        totals = {r.adep: r.total for r in found.collect()}
+        assert totals["HOT"] == sum(i for i in range(60000) if i % 3 > 0) and totals["3"] == 3
+        assert found.count() == 60000
+
+
+def test_rows_of_a_hot_version_are_split(spark):
+    with settings(spark, **SPLIT_SOON):
+        key = F.when(F.col("id") % 3 > 0, F.lit("HOT")).otherwise(F.col("id").cast("string"))
+        data = spark.range(0, 60000, 1, 8).select(key.alias("k"), F.lit(1).alias("v"), "id")
+        found = latest_version(data, "k", "v")
+        assert "SortMergeJoin(skew=true)" in final_plan(found)
+        assert found.count() == 60000
+
+
 def test_ids_sort_only_bounded_rows_in_one_task(spark):
     key = F.concat(F.lit("A_LONG_PREFIX_THAT_ALL_SHARE_"), F.col("id").cast("string"))
     frame = spark.range(200_000).select(key.alias("k"))

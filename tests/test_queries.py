@@ -11,6 +11,11 @@ from tests.compare import duck, plan, spark_rows, sql_rows
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = dict(registry.QUERIES)
+# These run a job of their own and read the table it stored.
+STORED = {
+    "checked_rows", "closed_event_days", "followed_event_days", "incremental_daily_flows",
+    "published_chart", "published_map",
+}
 ORACLE = dict(oracle.ORACLE)
 
 
@@ -35,7 +40,7 @@ def test_query_matches_sql(spark, db, name):
     # The fact is scanned once, nothing is crossed, and no Python runs in a task.
     shown = plan(frame).split("== Initial Plan ==")[0]
     scans = len(re.findall(r"FileScan .*lineitem\.parquet", shown))
-    assert scans == ("JOIN orders ON o_orderkey = l_orderkey" in ORACLE[name])
+    assert scans == (name not in STORED and "JOIN orders ON o_orderkey = l_orderkey" in ORACLE[name])
     assert "CartesianProduct" not in shown and "BroadcastNestedLoopJoin" not in shown
     assert "Python" not in shown
 

@@ -1,0 +1,115 @@
+"""Streams of files against the same counts from a table."""
+
+import os
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from odskein.sinks.manifests import current
+from odskein.streaming.daily import Events, FollowedDays, closing_days, count_days, follow_days
+
+SCHEMA = "id long, ts timestamp_ntz, kind string, other string"
+EVENTS = Events("id", "ts", ("kind",))
+
+
+def deliver(spark, folder, number, rows):
+    """One file of the stream; files are taken in the order of their times."""
+    data = [(i, datetime.fromisoformat(t) if t else None, k, "x") for i, t, k in rows]
+    path = f"{folder}/part{number}"
+    spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+    for name in os.listdir(path):
+        os.utime(f"{path}/{name}", (1_700_000_000 + 100 * number,) * 2)
+
+
+def stream(spark, folder):
+    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part*")
+
+
+def rows_of(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
+FILES = [
+    [(1, "2024-01-01T10:00", "a"), (2, "2024-01-01T23:59:59", "b"), (3, "2024-01-02T00:00", "a"), (None, "2024-01-02T01:00", "a")],
+    [(4, "2024-01-02T08:00", "a"), (1, "2024-01-01T10:00", "a"), (5, None, "a"), (6, "2024-01-02T09:00", None)],
+    [(7, "2024-01-09T08:00", "a"), (8, "2024-01-08T08:00", "b")],
+    [(10, "2024-01-09T09:00", "a"), (10, "2024-01-09T09:00", "a"), (12, "2024-01-09T10:00", None)],
+    [(9, "2024-01-01T11:00", "a"), (2, "2024-01-01T23:59:59", "b"), (3, "2024-01-02T00:00", "a"), (11, "2024-01-20T00:00", "c")],  # 9 is days late, 2 and 3 are repeats
+]
+
+
+@pytest.mark.parametrize("calls", [1, 3])
+def test_followed_days_are_exact(spark, tmp_path, calls):
+    table = FollowedDays(spark, f"{tmp_path}/table", EVENTS, "kind string")
+    assert table.counts().collect() == []
+    delivered = []
+    for call in range(calls):
+        for number in range(call * len(FILES) // calls, (call + 1) * len(FILES) // calls):
+            deliver(spark, f"{tmp_path}/in", number, FILES[number])
+            delivered += FILES[number]
+        follow_days(stream(spark, f"{tmp_path}/in"), table, f"{tmp_path}/checkpoint")
+        whole = spark.read.schema(SCHEMA).parquet(*[f"{tmp_path}/in/{name}" for name in os.listdir(f"{tmp_path}/in")])
+        assert rows_of(table.counts()) == rows_of(count_days(whole, EVENTS))
+    assert (date(2024, 1, 1), "a", 2) in rows_of(table.counts())
+    assert sum(row[2] for row in rows_of(table.counts())) == 11
+    assert table.late().collect() == []
+
+
+def test_a_batch_is_taken_in_once(spark, tmp_path):
+    """A batch that failed before its commit, or after it, is run again by Spark under its number."""
+    table = FollowedDays(spark, f"{tmp_path}/table", EVENTS, "kind string")
+    batch = spark.createDataFrame([(1, datetime(2024, 1, 1), "a", "x"), (2, datetime(2024, 1, 1), "a", "x")], SCHEMA)
+    table.add(batch, 0)
+    table.add(batch, 0)
+    assert rows_of(table.counts()) == [(date(2024, 1, 1), "a", 2)]
+    broken = batch.withColumn("kind", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        table.add(broken.withColumn("id", F.col("id") + 10), 1)
+    assert rows_of(table.counts()) == [(date(2024, 1, 1), "a", 2)]
+    table.add(batch.withColumn("id", F.col("id") + 1), 1)
+    assert rows_of(table.counts()) == [(date(2024, 1, 1), "a", 3)]
+
+
+def test_events_of_forgotten_days_are_set_aside(spark, tmp_path):
+    table = FollowedDays(spark, f"{tmp_path}/table", EVENTS, "kind string")
+    day = lambda n: datetime(2024, 1, n)
+    table.add(spark.createDataFrame([(1, day(1), "a", ""), (2, day(5), "a", "")], SCHEMA), 0)
+    table.forget_before(date(2024, 1, 3))
+    assert "events/2024-01-01" not in current(spark, f"{tmp_path}/table")[1]
+    table.add(spark.createDataFrame([(3, day(2), "a", ""), (3, day(2), "a", ""), (4, day(5), "a", "")], SCHEMA), 1)
+    table.add(spark.createDataFrame([(3, day(2), "a", ""), (4, day(5), "a", "")], SCHEMA), 2)
+    assert rows_of(table.counts()) == [(date(2024, 1, 1), "a", 1), (date(2024, 1, 5), "a", 2)]
+    assert rows_of(table.late()) == [("3", date(2024, 1, 2))]
+
+
+def test_closing_days_emit_each_day_once(spark, tmp_path):
+    for number, rows in enumerate(FILES):
+        deliver(spark, f"{tmp_path}/in", number, rows)
+    counted = closing_days(stream(spark, f"{tmp_path}/in"), EVENTS, "2 days")
+    query = (
+        counted.writeStream.outputMode("append").format("parquet").option("path", f"{tmp_path}/out")
+        .option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    found = rows_of(spark.read.schema("entry_day date, kind string, n_events long").parquet(f"{tmp_path}/out"))
+    # days up to two before the last one seen; event 9 came after its day had closed
+    assert found == [
+        (date(2024, 1, 1), "a", 1), (date(2024, 1, 1), "b", 1), (date(2024, 1, 2), "a", 2),
+        (date(2024, 1, 2), None, 1), (date(2024, 1, 8), "b", 1), (date(2024, 1, 9), "a", 2),
+        (date(2024, 1, 9), None, 1),
+    ]
+    dropped = [op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]]
+    assert sum(dropped) >= 1
+
+
+def test_days_do_not_follow_the_session_clock(spark):
+    rows = spark.createDataFrame([(1, datetime(2024, 1, 1, 23, 30), "a", "x")], SCHEMA)
+    instants = rows.withColumn("ts", F.timestamp_seconds(F.lit(1704151800)))  # 2024-01-01 23:30 UTC
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        for frame in (rows, instants):
+            assert rows_of(count_days(frame, EVENTS)) == [(date(2024, 1, 1), "a", 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
