@@ -3,25 +3,24 @@
 "Earlier" is a smaller doc_id. The texts are stored once, in files of about RUN_BYTES, and stay
 there; what travels are sorted, packed runs, one for each file and bucket.
 
-1. Each file's stretches (see ``suffix_runs``) go out as sorted runs of hashes with the smallest
-   doc_id in the file: one entry for each different stretch, however often it occurs. Their merge
-   tells each file which stretches occur elsewhere, and the smallest doc_id that has them.
-2. Where an anchor stands in different stretches of different first holders, single strings decide.
-   Each first holder sends its stretch as the suffix from the anchor on, with the bytes before it, in
-   sorted, front-coded runs, dealt out by ranges of the sorted order. Loser trees that never compare
-   a known prefix again merge the runs; suffixes with the same anchor come out side by side, and
-   their stretches' strings are compared byte by byte.
+1. Most anchors (see ``suffix_runs``) stand in one document only, and no string around them can be
+   found elsewhere. Each file sends its anchors and stretches as sorted runs of hashes; their merge
+   tells which anchors have others to be compared with. This decides nothing else.
+2. Around all other anchors each file sends each of its different stretches once, with the smallest
+   doc_id that has it there: as the suffix from the anchor on, with the bytes before it, in sorted,
+   front-coded runs, dealt out by ranges of the sorted order. Loser trees that never compare a known
+   prefix again merge the runs; suffixes with the same anchor come out side by side, equal ones as
+   one, and the strings of the different ones are compared byte by byte.
 3. Around an anchor with very many different stretches (more than CROWD in one file, or more than
    CROWD_ALL in all) no stretches are compared. A string is decided by its own bytes, so each file
    sends each of its different strings there once, with the smallest doc_id, dealt out by the
    string's own hash; equal strings meet and nothing else of the anchor has to.
 4. Each file marks the bytes that earlier documents have.
 
-Nothing grows with a group of copies: a file sends a stretch or string once, and a group of equal
-ones has at most one entry for each file. Nothing grows with the surroundings of an anchor: a file
-sends at most CROWD of an anchor's stretches to one bucket, and at most CROWD_ALL suffixes of an
-anchor are merged in one task. A task holds one file or one bucket. Exchanges are bounded by the
-text, those of crowded anchors' strings by LEAST times the text around such anchors.
+A hash only says what to compare: every byte that goes has been compared with that of an earlier
+document, inside a file too. A group of copies costs one entry for each file that holds one of
+them. A file sends at most CROWD of an anchor's stretches, and at most CROWD_ALL different ones of an
+anchor are merged in one task. A task holds one file or one bucket.
 
 Defined results: a null text is empty; texts below 50 bytes stay whole; a null doc_id counts as
 larger than all others; rows that share a doc_id do not remove each other's text; repeated rows
@@ -42,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from odskein.llm.shared import carried, given_back, new_path, return_memory, stored
+from odskein.llm.token_files import same_bytes
 from odskein.llm.suffix_runs import GRAM, LEAST, Run, differences, front_code, merge, pack, spread, stretches, string_keys, unpack, windows
 
 # Text in a file, and text whose stretches share a bucket: what one task holds at a time, with about
@@ -121,7 +121,10 @@ def _read_run(path: str) -> pa.Table:
 
 
 class _Classes:
-    """The different stretches of a file, in (gram, whole) order, with the smallest doc_id of each."""
+    """The different stretches of a file, in (gram, whole) order, with the smallest doc_id of each.
+
+    Stretches of one class are equal byte by byte.
+    """
 
     def __init__(self, table: pa.Table):
         self.text, self.ends = _text_of(table)
@@ -131,6 +134,11 @@ class _Classes:
         gram, whole, doc = self.found.gram[order], self.found.whole[order], self.doc[order]
         fresh = np.ones(len(order), bool)
         fresh[1:] = (gram[1:] != gram[:-1]) | (whole[1:] != whole[:-1])
+        first, size, before = (x[order] for x in (self.found.first, self.found.last - self.found.first + LEAST, self.found.anchor - self.found.first))
+        again = np.flatnonzero(~fresh)
+        alike = (size[again] == size[again - 1]) & (before[again] == before[again - 1])
+        alike[alike] = same_bytes(self.text, first[again[alike]], self.text, first[again[alike] - 1], size[again[alike]])
+        fresh[again[~alike]] = True
         head = np.flatnonzero(fresh)
         self.of = np.empty(len(order), np.int64)  # the class of each stretch
         self.of[order] = np.cumsum(fresh) - 1
@@ -161,7 +169,8 @@ def _send_classes(buckets: int):
                 flags = own.several.astype(np.uint8) | own.crowded.astype(np.uint8) << 1
                 gram, whole, least, flags = (a[own.sent] for a in (own.gram, own.whole, own.least, flags))
                 bounds = _bounds(gram, buckets)
-                for b in range(buckets):
+                filled = np.flatnonzero(np.diff(bounds)).tolist()
+                for b in filled or [0]:  # a file without any comes through too
                     part = slice(bounds[b], bounds[b + 1])
                     yield _packet(path, "", b, pack(differences(gram[part]), whole[part], least[part], flags[part]))
                 del own, gram, whole, least, flags
@@ -171,37 +180,31 @@ def _send_classes(buckets: int):
 
 
 def _join_classes(batches):
-    """Of each class in a bucket: 0 nowhere else, 1 elsewhere too, 2 with an anchor that different
-    first holders have in different stretches, 3 with a crowded anchor."""
+    """Of each class in a bucket: 0 if no other entry has its anchor and another document, 1 if one
+    has, 3 if the anchor is crowded."""
     for bucket, rows in _groups(batches, "bucket"):
         runs = [unpack(blob) for _, _, _, blob in rows]
         sizes = np.array([len(r[0]) for r in runs], np.int64)
         gram = np.concatenate([np.cumsum(r[0], dtype=np.uint64) for r in runs])
         whole, least, flags = (np.concatenate([r[i] for r in runs]) for i in (1, 2, 3))
         order = np.lexsort((whole, gram))
-        g, w, d = gram[order], whole[order], least[order]
-        new_gram, new_class = np.ones(len(g), bool), np.ones(len(g), bool)
-        new_gram[1:] = g[1:] != g[:-1]
-        new_class[1:] = new_gram[1:] | (w[1:] != w[:-1])
-        kind, first = np.zeros(len(g), np.uint8), np.empty(len(g), np.int64)
+        g, w, d, flags = gram[order], whole[order], least[order], flags[order]
+        kind = np.zeros(len(g), np.uint8)
         if len(g):
-            heads = np.flatnonzero(new_class)
-            number = np.cumsum(new_class) - 1
-            smallest = np.minimum.reduceat(d, heads)
-            shared = (np.maximum.reduceat(d, heads) != smallest) | np.bitwise_or.reduceat(flags[order] & 1, heads).astype(bool)
-            of_gram = np.cumsum(new_gram[heads]) - 1
-            grams = np.flatnonzero(new_gram[heads])
-            apart = np.minimum.reduceat(smallest, grams) != np.maximum.reduceat(smallest, grams)
-            crowded = np.bitwise_or.reduceat(flags[order], np.flatnonzero(new_gram)) > 1
-            crowded |= np.diff(np.append(grams, len(heads))) > CROWD_ALL
-            kind[order] = np.where(crowded[of_gram], 3, np.where(apart[of_gram], 2, shared))[number]
-            first[order] = smallest[number]
+            new_gram = np.ones(len(g), bool)
+            new_gram[1:] = g[1:] != g[:-1]
+            new_class = new_gram.copy()
+            new_class[1:] |= w[1:] != w[:-1]
+            heads = np.flatnonzero(new_gram)
+            several = np.diff(np.append(heads, len(g))) > 1
+            several &= (np.minimum.reduceat(d, heads) != np.maximum.reduceat(d, heads)) | (np.bitwise_or.reduceat(flags, heads) & 1 == 1)
+            crowded = (np.bitwise_or.reduceat(flags, heads) > 1) | (np.add.reduceat(new_class, heads, dtype=np.int64) > CROWD_ALL)
+            kind[order] = np.where(crowded, 3, several)[np.cumsum(new_gram) - 1]
         at = 0
         for (path, *_), size in zip(rows, sizes.tolist()):
-            part = slice(at, at + size)
-            yield _packet(path, "", bucket, pack(kind[part], first[part][np.isin(kind[part], (1, 2))]))
+            yield _packet(path, "", bucket, pack(kind[at : at + size]))
             at += size
-        del runs, gram, whole, least, flags, order, g, w, d, new_gram, new_class, kind, first
+        del runs, gram, whole, least, flags, order, g, w, d, kind
         return_memory()
 
 
@@ -211,17 +214,14 @@ def _send_suffixes(splitters: list[bytes], buckets: int):
     def run(batches):
         for path, rows in _groups(batches, "run"):
             own = _Classes(_read_run(path))
-            told, first = (np.concatenate(x) for x in zip(*(unpack(blob) for _, _, _, blob in rows)))
             kind = np.full(len(own.gram), 3, np.uint8)
-            kind[own.sent] = told
-            known = np.isin(kind, (1, 2))
-            smallest = np.full(len(kind), LAST_ID)
-            smallest[known] = first
+            kind[own.sent] = np.concatenate([unpack(blob)[0] for _, _, _, blob in rows])
             of, found = own.of, own.found
-            gone = known[of] & (own.doc > smallest[of])
+            # other documents of this file that have the very stretch
+            gone = (kind[of] != 3) & (own.doc > own.least[of])
             crowd = _Strings(own, np.flatnonzero(kind[of] == 3))
-            # classes whose first holder is here, each by one of its stretches
-            asks = np.flatnonzero((kind[of] == 2) & (own.doc == smallest[of]))
+            # each class that is to be compared, by one of its stretches
+            asks = np.flatnonzero((kind[of] == 1) & ~gone)
             classes, one = np.unique(of[asks], return_index=True)
             one = asks[one]
             text = own.text.tobytes()
@@ -230,7 +230,7 @@ def _send_suffixes(splitters: list[bytes], buckets: int):
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             suffixes = [suffixes[i] for i in order]
-            one, holders = one[order], smallest[classes][order]
+            one, holders = one[order], own.least[classes][order]
             lefts = [text[a:b] for a, b in zip(found.first[one].tolist(), found.anchor[one].tolist())]
             state = f"{path}.{uuid.uuid4().hex}"
             filesystem, inner = _file(state)
@@ -322,14 +322,16 @@ def _merge_suffixes(parts: list) -> list[bytes]:
     holders = [p[5].tolist() for p in parts]
     earlier = [[0] * len(h) for h in holders]
     runs = [Run(*p[:3]) for p in parts]
-    group: list = []
+    group: dict = {}
     for run, at, shared in merge(runs):
         # suffixes with the same anchor share its bytes and follow one another
         if shared < GRAM:
-            _compare(group, earlier)
-            group = []
-        group.append((run, at, lefts[run][at], runs[run].string, holders[run][at]))
-    _compare(group, earlier)
+            if group:
+                _compare(group, earlier)
+            group = {}
+        group.setdefault((lefts[run][at], runs[run].string), []).append((holders[run][at], run, at))
+    if group:
+        _compare(group, earlier)
     return [pack(np.array(bits, np.int64)) for bits in earlier]
 
 
@@ -338,23 +340,42 @@ def _cut(data: bytes, sizes: np.ndarray) -> list[bytes]:
     return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def _compare(group: list, earlier: list[list[int]]) -> None:
-    """Compare the strings of a group's stretches, by how much of them stands before the anchor."""
-    if len({holder for *_, holder in group}) < 2:
+def _compare(group: dict, earlier: list[list[int]]) -> None:
+    """Compare the strings of the stretches around one anchor.
+
+    ``group`` has (holder, run, position) of each suffix, by the stretch's bytes before and after the
+    anchor's start. Of equal stretches all but the first holder's go whole; of different ones
+    strings are compared, by how much of them stands before the anchor.
+    """
+    firsts = {}
+    for (left, right), members in group.items():
+        first = firsts[left, right] = min(members)[0]
+        if len(members) > 1:
+            whole = (1 << (len(left) + len(right) - LEAST + 1)) - 1
+            for holder, run, at in members:
+                if holder > first:
+                    earlier[run][at] = whole
+    if len(set(firsts.values())) < 2:
         return
+    bits = dict.fromkeys(firsts, 0)
     for before in range(LEAST - GRAM + 1):
         after = LEAST - before
         smallest: dict[bytes, int] = {}
         there = []
-        for run, at, left, right, holder in group:
+        for (left, right), holder in firsts.items():
             if len(left) >= before and len(right) >= after:
                 string = left[len(left) - before :] + right[:after]
-                there.append((run, at, len(left) - before, string, holder))
+                there.append((left, right, string, holder))
                 if smallest.setdefault(string, holder) > holder:
                     smallest[string] = holder
-        for run, at, place, string, holder in there:
+        for left, right, string, holder in there:
             if smallest[string] < holder:
-                earlier[run][at] |= 1 << place
+                bits[left, right] |= 1 << (len(left) - before)
+    for key, found in bits.items():
+        if found:
+            for holder, run, at in group[key]:
+                if holder == firsts[key]:
+                    earlier[run][at] = found
 
 
 def _mark(table: pa.Table, rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -57,6 +57,33 @@ def test_matches_brute_force(docs_of, run_bytes, bucket_bytes):
     assert sorted(found, key=repr) == sorted(slow(rows), key=repr)
 
 
+def test_hashes_decide_nothing(docs_of, monkeypatch):
+    """With one hash for all stretches of an anchor, and few hashes for anchors, the bytes still decide."""
+    found = suffix_runs.stretches
+
+    def blind(text, ends):
+        parts = found(text, ends)
+        parts.whole, parts.gram = parts.whole * np.uint64(0), parts.gram & np.uint64(0xFF << 56)
+        return parts
+
+    monkeypatch.setattr(suffix_dedup, "stretches", blind)
+    monkeypatch.setattr(suffix_dedup, "CROWD", 1 << 20)
+    rows = varied()
+    for run_bytes, bucket_bytes in ((1 << 24, 1 << 24), (4000, 9000)):
+        found_rows = [tuple(r) for r in suffix_dedup.repeated_bytes(docs_of(rows), run_bytes, bucket_bytes).collect()]
+        assert sorted(found_rows, key=repr) == sorted(slow(rows), key=repr)
+
+
+def test_packets_are_sent_for_what_there_is(docs_of, tmp_path):
+    """A file sends no empty packet, but for the one that carries it through if it has nothing."""
+    rows = [(i, prose(12, i)) for i in range(40)] + [(100, "short")]
+    paths = [r["run"] for r in suffix_dedup.write_runs(suffix_dedup._plain(docs_of(rows)), f"file://{tmp_path}", 200).collect()]
+    packets = list(suffix_dedup._send_classes(10_000)(iter([pa.RecordBatch.from_pydict({"run": paths})])))
+    held = [len(suffix_runs.unpack(b.column("packet")[0].as_py())[0]) for b in packets]
+    assert len(paths) > 10 and len(packets) <= sum(held) + len(paths)
+    assert {b.column("run")[0].as_py() for b in packets} == set(paths)
+
+
 def test_small_slices(docs_of, monkeypatch):
     monkeypatch.setattr(suffix_runs, "SLICE", 512)
     rows = varied()
