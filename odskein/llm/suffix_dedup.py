@@ -46,8 +46,8 @@ from odskein.llm.suffix_runs import GRAM, LEAST, Run, differences, front_code, m
 
 # Text in a file, and text whose stretches share a bucket: what one task holds at a time, with about
 # thirty bytes of arrays for each byte. Larger values suit larger executors and mean fewer packets.
-RUN_BYTES = 8 << 20
-BUCKET_BYTES = 4 << 20
+RUN_BYTES = 12 << 20
+BUCKET_BYTES = 6 << 20
 SLICE = 1 << 16
 SAMPLE = 32
 # Different stretches of one anchor, in a file and in all, beyond which its strings go out one by one.

@@ -190,8 +190,13 @@ def merge(runs: list[Run]):
             return a, la, b, lb
         x, y = runs[a].string, runs[b].string
         i, end = la, min(len(x), len(y))
-        while i < end and x[i] == y[i]:
-            i += 1
+        if x[i:end] == y[i:end]:
+            i = end
+        else:
+            while x[i : i + 8] == y[i : i + 8]:  # they differ before the end
+                i += 8
+            while x[i] == y[i]:
+                i += 1
         first = (x[i] < y[i]) if i < end else (len(x), a) < (len(y), b)
         return (a, la, b, i) if first else (b, lb, a, i)
 
