@@ -66,11 +66,17 @@ def country_flows(
     ``split_key`` also groups on the departure airport's second country code without showing it,
     so a year and country pair can occur on several rows.
     """
-    period = Period.of(wef, til)
-    counted = (
-        civil_flights(flights, aircraft_types, period, **exclusions)
-        .groupBy(F.year("lobt").alias("year"), "sk_adep_id", "sk_ades_id")
-        .agg(F.count("flt_uid").alias("n"))
+    civil = civil_flights(flights, aircraft_types, Period.of(wef, til), **exclusions)
+    return count_countries(civil, airports, split_key=split_key, drop_unknown=drop_unknown)
+
+
+@in_utc
+def count_countries(
+    civil: DataFrame, airports: DataFrame, *, split_key: bool = False, drop_unknown: bool = True
+) -> DataFrame:
+    """``country_flows`` of flights that ``civil_flights`` chose, stored or not."""
+    counted = civil.groupBy(F.year("lobt").alias("year"), "sk_adep_id", "sk_ades_id").agg(
+        F.count("flt_uid").alias("n")
     )
     known = airports
     if drop_unknown:

@@ -42,6 +42,8 @@ def with_ordered_id(df: DataFrame, key: str, name: str = "id", start: int = 1) -
         .groupBy("_key")
         .agg((F.sum("_before") + start).alias("_place"))
     )
+    if df.columns == [key]:  # nothing else to bring along
+        return places.select(F.col("_place").alias(name), F.col("_key").alias(key))
     return df.join(places, F.col(key).eqNullSafe(F.col("_key"))).select(
         F.col("_place").alias(name), *df.columns
     )

@@ -688,4 +688,9 @@ WITH {PLACES}
 SELECT s.id AS origin, t.id AS dest, count, strftime(entry_day, '%Y-%m-%d') AS time
 FROM pairs JOIN places s ON s.iso_a2 = source_iso2c JOIN places t ON t.iso_a2 = target_iso2c
 WHERE count >= 2""",
+    "bucketed_country_flows": f"""
+WITH {CIVIL}
+SELECT year, CAST(count(l_orderkey) AS BIGINT) AS nb_of_flight,
+       dep_region AS dep_iso_country_code, des_region AS des_iso_country_code
+FROM civil GROUP BY year, dep_region, des_region""",
 }

@@ -27,9 +27,10 @@ from odskein.plans.daily_table import daily_flows, update_daily_flows
 from odskein.schemas import CENTROIDS, OVERRIDES
 from odskein.shipping import roles
 from odskein.sinks.files import write_csv
-from odskein.sinks.manifests import published
+from odskein.sinks.manifests import new_name, published
 from odskein.sinks.scratch import scratch_folder
 from odskein.sources import delimited
+from odskein.sources.bucketed import write_star
 from odskein.sources.literals import inline_rows
 from odskein.sources.quarantine import read_checked
 from odskein.sources.tables import bound_query
@@ -47,6 +48,7 @@ MOVED_PLACES = [("C05", "Moved place", 1.25, 2.5), ("C06", None, -3.5, 4.0)]
 # The part of the trade map that is shown, and the squares its matrix is cut into.
 MAP_BOX = yearly.BoundingBox(-45, -12.5, 62.5, 14)
 TILE_SIDE = 8
+BUCKETS = 8
 # Off-block days at which the deliveries of flights begin.
 DELIVERIES = ("1996-07-01", "1999-01-01")
 EVENTS = Events("event_id", "ts", ("event_type",))
@@ -574,3 +576,13 @@ def published_map(spark: SparkSession, folder: str) -> DataFrame:
         repair=None,
     )
     return published(spark, place, "flows")
+
+
+@query
+def bucketed_country_flows(spark: SparkSession, folder: str) -> DataFrame:
+    """Yearly flows between countries from a star stored in buckets."""
+    flights, airports, types = _star(spark, folder)
+    civil = extracts.civil_flights(flights, types, Period.of(*roles.ALL_TIME), **roles.EXCLUSIONS)
+    name = new_name("star").replace("-", "_")
+    star = write_star(spark, civil, airports, name, scratch_folder(spark, "star"), BUCKETS)
+    return extracts.count_countries(star.flights, star.airports)

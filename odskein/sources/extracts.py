@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from odskein.functions.period import Period
+from odskein.sinks.manifests import current, publish, published
+
+EXTRACT = "extract"
 
 
 def period_path(template: str, period: Period) -> str:
@@ -16,24 +19,18 @@ def period_path(template: str, period: Period) -> str:
     )
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a finished write lies at the path: Spark adds ``_SUCCESS`` last."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
-
-
 def read_or_build(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], refresh: bool = False
 ) -> DataFrame:
     """The table stored at the path, extracted and stored first if there is none.
 
-    An extract that broke off midway has no marker and is built again. The result always reads
-    the stored files, so what follows never repeats the extract.
+    An extract that broke off midway was never committed and is built again; one that is refreshed
+    takes the place of the former at once. The result always reads stored files, so what follows
+    never repeats the extract.
     """
-    if refresh or not is_complete(spark, path):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if refresh or EXTRACT not in current(spark, path)[1]:
+        publish(spark, path, {EXTRACT: build()})
+    return published(spark, path, EXTRACT)
 
 
 def write_days(

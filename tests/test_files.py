@@ -137,9 +137,13 @@ def test_extract_is_built_once(spark, tmp_path):
     assert extracts.read_or_build(spark, path, build(2)).count() == 2
     assert extracts.read_or_build(spark, path, build(3)).count() == 2
     assert extracts.read_or_build(spark, path, build(4), refresh=True).count() == 4
-    os.remove(os.path.join(path, "_SUCCESS"))
-    assert extracts.read_or_build(spark, path, build(5)).count() == 5
-    assert calls == [2, 4, 5]
+    with pytest.raises(Exception, match="lost"):
+        extracts.read_or_build(spark, path, lambda: spark.range(9).select(F.raise_error(F.lit("lost"))), refresh=True)
+    assert extracts.read_or_build(spark, path, build(5)).count() == 4
+    with pytest.raises(Exception, match="lost"):
+        extracts.read_or_build(spark, f"{path}2", lambda: spark.range(9).select(F.raise_error(F.lit("lost"))))
+    assert extracts.read_or_build(spark, f"{path}2", build(6)).count() == 6
+    assert calls == [2, 4, 6]
 
 
 def test_days_are_replaced_and_pruned(spark, tmp_path):

@@ -7,7 +7,8 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from odskein.operators.extracts import country_flows, daily_airport_flows
+from odskein.functions.period import Period
+from odskein.operators.extracts import civil_flights, count_countries, country_flows, daily_airport_flows
 from odskein.operators.flowmap import country_pairs
 from odskein.operators.ids import with_ordered_id
 from odskein.operators.versions import latest_version
@@ -15,6 +16,7 @@ from odskein.operators.yearly import departure_share
 from odskein.shipping import roles
 from odskein.shipping.oracle import ORACLE
 from odskein.shipping.registry import QUERIES
+from odskein.sources.bucketed import write_star
 from tests.compare import duck, final_plan, plan, spark_rows, sql_rows
 from tests.frames import aircraft, airports, flights, operational, rows
 
@@ -196,6 +198,26 @@ def test_rows_of_a_hot_version_are_split(spark):
         assert found.count() == 60000
 
 
+def test_a_bucketed_star_meets_without_a_shuffle(spark, tmp_path):
+    """No exchange below the first join, and the rows are those of the plain extract."""
+    rng = random.Random(6)
+    data = [
+        (str(i), f"200{rng.randrange(2)}-06-01", rng.randrange(40), rng.randrange(40), "A1", "S")
+        for i in range(500)
+    ]
+    places = airports(spark, [{"ec_iso_ct_code": f"C{i % 7}", "iso_ct_code": f"D{i}"} for i in range(40)])
+    star = flights(spark, data), places, aircraft(spark)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        civil = civil_flights(star[0], star[2], Period.of("2000", "2002"))
+        stored = write_star(spark, civil, places, "star_of_test", str(tmp_path), 4)
+        found = count_countries(stored.flights, stored.airports)
+        shown = plan(found).splitlines()
+        assert rows(found) == rows(country_flows(*star, "2000", "2002"))
+    joins = [i for i, line in enumerate(shown) if "SortMergeJoin" in line]
+    inner = shown[joins[-1] :]
+    assert len(joins) == 2 and "[sk_adep_id" in inner[0] and not any("Exchange" in line for line in inner)
+
+
 def test_ids_sort_only_bounded_rows_in_one_task(spark):
     key = F.concat(F.lit("A_LONG_PREFIX_THAT_ALL_SHARE_"), F.col("id").cast("string"))
     frame = spark.range(200_000).select(key.alias("k"))

@@ -2,6 +2,8 @@
 
 import os
 import re
+import subprocess
+import sys
 
 import pytest
 
@@ -13,7 +15,7 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = dict(registry.QUERIES)
 # These run a job of their own and read the table it stored.
 STORED = {
-    "checked_rows", "closed_event_days", "followed_event_days", "incremental_daily_flows",
+    "bucketed_country_flows", "checked_rows", "closed_event_days", "followed_event_days", "incremental_daily_flows",
     "published_chart", "published_map",
 }
 ORACLE = dict(oracle.ORACLE)
@@ -56,3 +58,11 @@ def test_building_the_timeline_runs_no_job(spark):
     jobs = list(tracker.getJobIdsForGroup("timeline"))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert not jobs
+
+
+@pytest.mark.parametrize("missing", ["corpus_pipeline", "odskein.llm", "numpy", "zstandard", "pyarrow"])
+def test_the_rest_stands_without_the_text_part(missing):
+    """Without the text part, or a library that only it needs, the other queries are there."""
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.path.dirname(os.path.abspath(contract.__file__)))
+    assert done.stdout.split() == [str(len(QUERIES))] * 2, done.stderr
