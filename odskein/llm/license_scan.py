@@ -10,8 +10,8 @@ whole corpus hold them, rarest first, and three filters come before any window i
 - length: a document, and the reach around a prefix word, must hold as many words as the match needs;
 - position: a window is counted at its rarest word, so only words that come after it in the order count.
 
-Where a template has all words of another (cc-by-nc of cc-by), the more specific one wins: it needs
-the words that set it apart, and a window with these words is no match of the other.
+Where a template has all words of another label's (cc-by-nc of cc-by), the more specific one wins: it
+needs the words that set it apart, and a window with these words is no match of the other.
 
 Each window around a place that passes is counted exactly. All of it is DataFrame expressions: one
 scan for the words' frequencies, whose result is one row for each template word, and one scan for
@@ -57,7 +57,34 @@ LONG_FORMS = tuple(
         ("nc-nd", "noncommercial noderivatives"),
     )
 )
-NOTICES = TEMPLATES + LONG_FORMS
+# Paragraphs that files carry whole; fixed values.
+PARAGRAPHS = (
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction including without limitation "
+        "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+        "permit persons to whom the software is furnished to do so subject to the following conditions",
+    ),
+    (
+        "bsd",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the "
+        "following disclaimer redistributions in binary form must reproduce the above copyright notice this list of "
+        "conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    ),
+    (
+        "apache",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
+        "with the license you may obtain a copy of the license at",
+    ),
+    (
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+        "public license as published by the free software foundation either version 3 of the license or at your "
+        "option any later version",
+    ),
+)
+NOTICES = TEMPLATES + LONG_FORMS + PARAGRAPHS
 
 
 @dataclass(frozen=True)
@@ -92,8 +119,9 @@ def ordered_notices(docs: DataFrame, templates=NOTICES, threshold: float = 0.8)
     for label, words in said:
         ranked = sorted(set(words), key=lambda w: (counts.get(w, 0), w))
         needed = math.ceil(threshold * len(ranked) - 1e-9)
-        own = set().union(*[set(words) - set(w) for _, w in said if set(w) < set(words)])
-        others = tuple(tuple(sorted(set(w) - set(words))) for _, w in said if set(words) < set(w))
+        rest = [set(w) for other, w in said if other != label]
+        own = set().union(*[set(words) - w for w in rest if w < set(words)])
+        others = tuple(tuple(sorted(w - set(words))) for w in rest if set(words) < w)
         notices.append(Notice(label, tuple(ranked), needed, len(words) + len(words) // SLACK, tuple(sorted(own)), others))
     return notices
 

@@ -1,7 +1,7 @@
 """DuckDB twins of the queries that SQL can express."""
 
 from odskein.llm.chat import CONTROLS, DONE, SAYS, SIGN, TURN
-from odskein.llm.license_scan import PHRASES, TEMPLATES
+from odskein.llm.license_scan import NOTICES, PHRASES, SLACK
 from odskein.llm.quality_rules import STOP_WORDS, SYMBOLS
 
 SPACES = r"[ \t\n\x0B\f\r]+"
@@ -109,7 +109,21 @@ FROM measured
 """
 
 _PHRASE_ROWS = ", ".join(f"('{phrase}', '{label}')" for phrase, label in PHRASES)
-_TEMPLATE_ROWS = ", ".join(f"('{label}', list_distinct(string_split('{text}', ' ')))" for label, text in TEMPLATES)
+
+
+def _notice_row(label: str, text: str) -> str:
+    """Label, words, width of a window, words all of which must be in it, and sets none of which may be in it whole."""
+    words = set(text.split())
+    rest = [set(other.split()) for name, other in NOTICES if name != label]
+    own = set().union(*[words - other for other in rest if other < words])
+    others = [other - words for other in rest if words < other]
+    listed = lambda some: "[" + ", ".join(f"'{w}'" for w in sorted(some)) + "]::VARCHAR[]"
+    width = len(text.split()) + len(text.split()) // SLACK
+    sets = "[" + ", ".join(listed(o) for o in others) + "]::VARCHAR[][]"
+    return f"('{label}', {listed(words)}, {width}, {listed(own)}, {sets})"
+
+
+_NOTICE_ROWS = ", ".join(_notice_row(*notice) for notice in NOTICES)
 
 LICENSE_SCAN = f"""
 WITH docs AS (
@@ -124,12 +138,18 @@ WITH docs AS (
 ), base AS (
     SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
     FROM places GROUP BY doc_id
-), templates AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS t(label, needs)),
-blocks AS (
-    SELECT doc_id, {_words('line', BETWEEN)} AS block FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+), notices AS (
+    SELECT *, CAST(ceil(0.8 * len(needs) - 1e-9) AS INTEGER) AS needed
+    FROM (VALUES {_NOTICE_ROWS}) AS t(label, needs, width, own, others)
+), near AS (
+    SELECT doc_id, words, notices.* FROM docs, notices WHERE len(list_intersect(needs, words)) >= needed
+), windows AS (
+    SELECT doc_id, label, needs, needed, own, others, words[i : i + width - 1] AS held
+    FROM (SELECT *, unnest(generate_series(1, len(words))) AS i FROM near)
 ), matches AS (
-    SELECT doc_id, label, len(list_intersect(needs, block)) / len(needs) AS score FROM blocks, templates
-    WHERE len(list_intersect(needs, block)) >= ceil(0.8 * len(needs) - 1e-9)
+    SELECT doc_id, label, len(list_intersect(needs, held)) / len(needs) AS score FROM windows
+    WHERE len(list_intersect(needs, held)) >= needed AND list_has_all(held, own)
+        AND len(list_filter(others, lambda o: list_has_all(held, o))) = 0
 ), best AS (SELECT doc_id, max(score) AS score FROM matches GROUP BY doc_id),
 every AS (
     SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
@@ -141,6 +161,29 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) A
 FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN every USING (doc_id)
 """
 
+SUFFIX_DEDUP = """
+WITH docs AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS spelled FROM documents
+), places AS (
+    SELECT doc_id, p, substr(spelled, 2 * p - 1, 2) AS byte, CASE WHEN 2 * p + 98 <= length(spelled) THEN substr(spelled, 2 * p - 1, 100) END AS string
+    FROM (SELECT doc_id, spelled, unnest(generate_series(1, length(spelled) // 2)) AS p FROM docs)
+), repeated AS (
+    SELECT string, min(doc_id) AS first FROM places WHERE string IS NOT NULL GROUP BY string HAVING min(doc_id) <> max(doc_id)
+), marked AS (
+    SELECT doc_id, p, byte, coalesce(p - max(CASE WHEN first < doc_id THEN p END) OVER (PARTITION BY doc_id ORDER BY p) < 50, false) AS gone
+    FROM places LEFT JOIN repeated USING (string)
+), turned AS (
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS starts FROM marked
+), kept AS (
+    SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE starts) AS n_spans,
+        string_agg(byte, '' ORDER BY p) FILTER (WHERE NOT gone) AS rest
+    FROM turned GROUP BY doc_id
+)
+SELECT doc_id, CAST(length(spelled) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
 LINE_DEDUP = f"""
 WITH lines AS (
     SELECT doc_id, pos, said[pos] AS line,

@@ -6,7 +6,7 @@ user function.
 
 Defined results: a null or empty text has no words, so it fails the base rule and every ratio
 over its words is null, which no rule fails; repeated rows are judged one by one; an empty table
-gives no rows; columns of the input are kept under their own names only if asked for.
+gives no rows; columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations

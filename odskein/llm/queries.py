@@ -106,6 +106,7 @@ ORACLE: dict[str, str] = {
     "op4_chat": oracle.CHAT,
     "op5_decontamination": oracle.DECONTAMINATION,
     "op6_warc": oracle.WARC,
+    "op7_suffix_dedup": oracle.SUFFIX_DEDUP,
     "op8_quality_rules": oracle.QUALITY_RULES,
     "op9_license_scan": oracle.LICENSE_SCAN,
     "op12_line_dedup": oracle.LINE_DEDUP,

@@ -29,8 +29,33 @@ def run(sql, rows):
     return canonical([c[0] for c in found.description], found.fetchall())
 
 
+WRAPPED = {
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
+    "gpl": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the\n * licence named below",
+    "mit": "# Permission is hereby granted, free of charge, to any\n# person obtaining a copy\n# of this software and associated files",
+}
+
+
+CC = "This work is licensed under a Creative Commons Attribution{} 4.0\nInternational License."
+CC_ENDS = {"": "cc-by", "-NonCommercial": "cc-by-nc", "-ShareAlike": "cc-by-sa", "-NoDerivatives": "cc-by-nd", "-NonCommercial-ShareAlike": "cc-by-nc-sa", "-NonCommercial-NoDerivatives": "cc-by-nc-nd"}
+
+
+def wrapped(text, width, sign=""):
+    """A text in lines of some words, with a sign in front of each."""
+    words = text.split()
+    return "\n".join(f"{sign} {' '.join(words[at : at + width])}" for at in range(0, len(words), width))
+
+
+NOTICED = [
+    *WRAPPED.values(),
+    *map(CC.format, CC_ENDS),
+    *(wrapped(text, 7, "# ") for _, text in license_scan.PARAGRAPHS),
+    *(prose(30, 7) + wrapped(" ".join(text.split()[6:-3]), 5, "//") + prose(30, 8) for _, text in license_scan.PARAGRAPHS),
+    *(" ".join(prose(2, i) + " " + w for i, w in enumerate(text.split())) for _, text in license_scan.NOTICES),
+]
+
 # the twins know documents by doc_id, so each row gets its own here
-ROWS = [(i, text) for i, (_, text) in enumerate([*odd_rows(), *enumerate(TEXTS), (0, prose(300, 9) * 2)])]
+ROWS = [(i, text) for i, (_, text) in enumerate([*odd_rows(), *enumerate(TEXTS), (0, prose(300, 9) * 2), *enumerate(NOTICED)])]
 
 
 @pytest.mark.parametrize("rows", [ROWS, []], ids=["odd", "empty"])
@@ -57,13 +82,6 @@ def test_license_labels(docs_of):
     assert rows[3]["n_base"] == 1 and rows[3]["first_word"] == rows[3]["last_word"] == 1
 
 
-WRAPPED = {
-    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
-    "gpl": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the\n * licence named below",
-    "mit": "# Permission is hereby granted, free of charge, to any\n# person obtaining a copy\n# of this software and associated files",
-}
-
-
 @pytest.mark.parametrize("around", ["", "lines of other words\n" * 30])
 def test_wrapped_notices_are_found_whole(docs_of, around):
     rows = [(i, around + text + "\n" + around) for i, text in enumerate(WRAPPED.values())]
@@ -72,11 +90,9 @@ def test_wrapped_notices_are_found_whole(docs_of, around):
 
 
 def test_scattered_words_and_restricted_forms(docs_of):
-    cc = "This work is licensed under a Creative Commons Attribution{} 4.0\nInternational License."
-    ends = {"": "cc-by", "-NonCommercial": "cc-by-nc", "-ShareAlike": "cc-by-sa", "-NoDerivatives": "cc-by-nd", "-NonCommercial-ShareAlike": "cc-by-nc-sa", "-NonCommercial-NoDerivatives": "cc-by-nc-nd"}
     clean = "You may be told that the old file is not in use this week, except with some luck in the end."
-    found = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan(docs_of(list(enumerate([*map(cc.format, ends), clean])))).collect()}
-    assert [found[i] for i in range(6)] == [(label, 1.0) for label in ends.values()]
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan(docs_of(list(enumerate([*map(CC.format, CC_ENDS), clean])))).collect()}
+    assert [found[i] for i in range(6)] == [(label, 1.0) for label in CC_ENDS.values()]
     assert found[6] == ("", 0.0)
 
 
@@ -91,3 +107,10 @@ def test_junk_is_rejected_and_prose_kept(docs_of):
     junk = " ".join(f"{w}###" for w in clean.split())
     kept = {r["doc_id"]: r["kept"] for r in quality_rules.judged(docs_of([(1, clean), (2, junk), (3, clean.upper())])).collect()}
     assert kept == {1: True, 2: False, 3: False}
+
+
+def test_paragraphs_are_found_without_their_first_words(docs_of):
+    """A notice whose opening sentence was lost is still found by the rest of its paragraph."""
+    texts = [wrapped(" ".join(text.split()[7:]), 9, " *") for _, text in license_scan.PARAGRAPHS]
+    found = {r["doc_id"]: (r["labels"], r["score"] >= 0.8) for r in license_scan.scan(docs_of(list(enumerate(texts)))).collect()}
+    assert found[0] == ("mit", True) and found[1] == ("bsd", True) and found[3] == ("gpl", True)
