@@ -10,7 +10,8 @@ searches for the next gzip header whose data begins with a version line (plain:
 version line whose record passes), goes on there, and reports the bytes between as a gap. Inside a
 member with several records it goes on at the next version line whose record passes; the gap's reason
 gives the member's offset and the inner range. Of a member that does not unpack to its end, records
-before the damage are kept if their block digest vouches for them.
+before the damage are kept if their block digest vouches for them. Headers may have any length, and a
+member is unpacked piece by piece, so a task holds one record at a time and not a whole archive.
 
 Defined results: a null payload is an empty one; a null url is an empty one; a null page_id sorts
 last when the first of equal payloads is chosen; rows that share that smallest page_id are all
@@ -30,8 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odskein.llm.shared import new_path, stored
+from odskein.operators.lookups import with_totals
 
 VERSION = b"WARC/1.1"
+VERSIONS = (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
 GZIP = b"\x1f\x8b\x08"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BLOCK = 1 << 20
@@ -78,14 +81,7 @@ def member(data: bytes, level: int = 6) -> bytes:
 
 
 class Damaged(ValueError):
-    """A record that fails a check; ``end`` is where it ends, if that is known.
-
-    ``fields`` are the sound records of a member that has a bad one.
-    """
-
-    def __init__(self, reason: str, end: int | None = None, fields: list | None = None):
-        super().__init__(reason)
-        self.end, self.fields = end, fields or []
+    """A record that fails a check."""
 
 
 def parse_record(data: bytes, at: int = 0) -> tuple[dict, bytes, int]:
@@ -172,26 +168,41 @@ def salvage(archive: Archive):
     """(begin, end, fields) of every sound record and (begin, end, reason) of every gap, in order."""
     at, bad = 0, None
     while at < archive.size:
+        packed = archive.read(at, 3) == GZIP
         try:
-            end, fields = _member_at(archive, at) if archive.read(at, 3) == GZIP else _plain_at(archive, at)
+            found = Member(archive, at) if packed else None
+            end, fields = (found.end, None) if packed else _plain_at(archive, at)
         except Damaged as damage:
-            if damage.fields:
-                if bad:
-                    yield bad[0], at, bad[1]
-                    bad = None
-                # what the member still gave, at its start; its bytes are the gap's
-                for record in damage.fields:
-                    yield at, at, record
-            bad = bad or (at, str(damage))
-            # a member that unpacks to the end has no other members inside it
-            at = damage.end if damage.end and damage.end > at else _next_sign(archive, at + 1)
+            bad, at = bad or (at, str(damage)), _next_sign(archive, at + 1)
+            continue
+        if not packed:
+            if bad:
+                yield bad[0], at, bad[1]
+                bad = None
+            yield at, end, fields
+            at = end
             continue
-        if bad:
-            yield bad[0], at, bad[1]
-            bad = None
-        for record in fields:
-            yield at, end, record
-        at = end
+        # a member that unpacks to its end has no other members inside it
+        sound, inner, last = 0, [found.reason] if found.reason else [], end or at
+        for record in found.records():
+            if isinstance(record, str):
+                inner.append(record)
+                continue
+            if bad:
+                yield bad[0], at, bad[1]
+                bad = None
+            sound += 1
+            yield at, last, record
+        if not inner and not sound:
+            inner = ["empty member"]
+        if inner:
+            bad = bad or (at, "; ".join(inner))
+            at = end if end else _next_sign(archive, at + 1)
+        else:
+            if bad:
+                yield bad[0], at, bad[1]
+                bad = None
+            at = end
     if bad:
         yield bad[0], archive.size, bad[1]
 
@@ -201,38 +212,116 @@ def _next_sign(archive: Archive, begin: int) -> int:
     plain = archive.find(b"WARC/1.", begin)
     at = archive.find(GZIP, begin)
     while at < plain:
-        try:
-            start = zlib.decompressobj(31).decompress(archive.read(at, 4096), 16)
-        except zlib.error:
-            start = b""
-        if start.startswith(b"WARC/1."):
+        if _first_bytes(archive, at, 7) == b"WARC/1.":
             return at
         at = archive.find(GZIP, at + 1)
     return plain
 
 
-def _member_at(archive: Archive, begin: int) -> tuple[int, list[dict]]:
-    unpack, parts, at, reason = zlib.decompressobj(31), [], begin, None
-    while not unpack.eof and not reason:
-        piece = archive.read(at, BLOCK // 4)
-        if not piece:
-            reason = "member is cut off"
-            break
-        before = unpack.copy()
-        try:
-            parts.append(unpack.decompress(piece))
+def _first_bytes(archive: Archive, at: int, count: int) -> bytes:
+    """What a gzip member's data begins with, however long its own header is; less if it does not unpack."""
+    unpack, out = zlib.decompressobj(31), b""
+    try:
+        while len(out) < count and not unpack.eof and (piece := archive.read(at, 4096)):
+            out += unpack.decompress(piece, count - len(out))
             at += len(piece)
-        except zlib.error as error:
-            reason = f"member does not unpack: {error}"
-            parts.append(_unpacked(before, piece))
-    end = at - len(unpack.unused_data)
-    fields, gaps = _records_in(b"".join(parts), vouched=bool(reason))
-    inner = "; ".join(f"{why} in member at {begin}, unpacked bytes {a} to {b}" for a, b, why in gaps)
-    if reason:
-        raise Damaged(f"{reason}; {inner}" if inner else reason, None, fields)
-    if gaps or not fields:
-        raise Damaged(inner or "empty member", end, fields)
-    return end, fields
+    except zlib.error:
+        pass
+    return out
+
+
+class Member:
+    """A gzip member of any size: unpacked once to see where and how it ends, then record by record.
+
+    ``end`` is None if it does not unpack to its end, ``reason`` then says why. A member of up to
+    ``HELD`` bytes is kept from the first time; a larger one is unpacked again for its records.
+    """
+
+    HELD = 4 << 20
+
+    def __init__(self, archive: Archive, begin: int):
+        self.archive, self.begin, self.end, self.reason = archive, begin, None, None
+        held, self.size = [], 0
+        for part in self._parts():
+            self.size += len(part)
+            if held is not None:
+                held.append(part)
+                held = held if self.size <= self.HELD else None
+        self.held = held
+
+    def _parts(self):
+        """The unpacked data in bounded pieces."""
+        unpack, at, waiting = zlib.decompressobj(31), self.begin, b""
+        while not unpack.eof:
+            if not waiting:
+                waiting = self.archive.read(at, BLOCK // 4)
+                at += len(waiting)
+                if not waiting:
+                    self.reason = "member is cut off"
+                    return
+            before, part = unpack.copy(), None
+            try:
+                part = unpack.decompress(waiting, BLOCK)
+            except zlib.error as error:
+                self.reason = f"member does not unpack: {error}"
+                yield _unpacked(before, waiting)
+                return
+            yield part
+            waiting = unpack.unconsumed_tail
+            while len(part) == BLOCK and not waiting and not unpack.eof:
+                part = unpack.decompress(b"", BLOCK)  # what the limit held back
+                yield part
+        self.end = at - len(unpack.unused_data)
+
+    def records(self):
+        """The fields of its sound records, and a reason for each inner gap.
+
+        In a member that does not unpack to its end, a record counts if its block digest vouches for it.
+        """
+        parts = iter(self.held) if self.held is not None else self._parts()
+        data, base, at, bad = bytearray(), 0, 0, None
+
+        def more() -> bool:
+            part = next(parts, None)
+            if part is None:
+                return False
+            data.extend(part)
+            return True
+
+        def gap(until: int) -> str:
+            return f"{bad[1]} in member at {self.begin}, unpacked bytes {bad[0]} to {until}"
+
+        while True:
+            while at >= len(data):
+                if not more():
+                    return
+            if at > BLOCK:  # let go of what is done
+                del data[:at]
+                base, at = base + at, 0
+            try:
+                length = _record_length(data, at, more, self.size - base - at)
+                headers, block, _ = parse_record(bytes(data[at : at + length]))
+                if self.reason and not headers.get("warc-block-digest", "").startswith("sha256:"):
+                    raise Damaged("no digest vouches for the record")
+                record = checked(headers, block)
+            except Damaged as damage:
+                bad = bad or (base + at, str(damage))
+                at += 1
+                while (found := data.find(b"WARC/1.", at)) < 0:
+                    at = max(at, len(data) - 6)
+                    if at > BLOCK:
+                        del data[:at]
+                        base, at = base + at, 0
+                    if not more():
+                        yield gap(base + len(data))
+                        return
+                at = found
+                continue
+            if bad:
+                yield gap(base + at)
+                bad = None
+            yield record
+            at += length
 
 
 def _unpacked(unpack, piece: bytes) -> bytes:
@@ -246,38 +335,45 @@ def _unpacked(unpack, piece: bytes) -> bytes:
     return b"".join(out)
 
 
-def _records_in(data: bytes, vouched: bool) -> tuple[list[dict], list[tuple[int, int, str]]]:
-    """The sound records of unpacked data, and what lies between; ``vouched``: only with a block digest."""
-    fields, gaps, at, bad = [], [], 0, None
-    while at < len(data):
-        try:
-            headers, block, length = parse_record(data, at)
-            if vouched and not headers.get("warc-block-digest", "").startswith("sha256:"):
-                raise Damaged("no digest vouches for the record")
-            record = checked(headers, block)
-        except Damaged as damage:
-            bad = bad or (at, str(damage))
-            at = data.find(b"WARC/1.", at + 1)
-            if at < 0:
-                break
-            continue
-        if bad:
-            gaps.append((bad[0], at, bad[1]))
-            bad = None
-        fields.append(record)
-        at += length
-    if bad:
-        gaps.append((bad[0], len(data), bad[1]))
-    return fields, gaps
+_LENGTH = re.compile(rb"\r\nContent-Length:\s*(\d+)\s*\r\n", re.I)
 
 
-def _plain_at(archive: Archive, begin: int) -> tuple[int, list[dict]]:
-    head = archive.read(begin, 1 << 16)
-    length = re.search(rb"\r\nContent-Length:\s*(\d+)\r\n", head.partition(b"\r\n\r\n")[0] + b"\r\n", re.I)
+def _record_length(data: bytearray, at: int, more, left: int) -> int:
+    """How long the record at a place says it is; reads on until it is there whole."""
+    while len(data) - at < 10 and more():
+        pass
+    if not data.startswith(VERSIONS, at):
+        raise Damaged("no version line")
+    looked = at
+    while (head := data.find(b"\r\n\r\n", looked)) < 0:
+        looked = max(at, len(data) - 3)
+        if not more():
+            raise Damaged("headers do not end")
+    length = _LENGTH.search(data, at, head + 2)
     if not length:
-        raise Damaged("no record here")
-    headers, block, size = parse_record(archive.read(begin, head.find(b"\r\n\r\n") + 8 + int(length[1])))
-    return begin + size, [checked(headers, block)]
+        raise Damaged("no content length")
+    size = head + 8 - at + int(length[1])
+    if size > left:
+        raise Damaged("record does not end where its length says")
+    while len(data) - at < size and more():
+        pass
+    return size
+
+
+def _plain_at(archive: Archive, begin: int) -> tuple[int, dict]:
+    """The end and the fields of the plain record at a place, whose headers may have any length."""
+    data, at = bytearray(), begin
+
+    def more() -> bool:
+        nonlocal at
+        part = archive.read(at, 1 << 16)
+        at += len(part)
+        data.extend(part)
+        return bool(part)
+
+    size = _record_length(data, 0, more, archive.size - begin)
+    headers, block, _ = parse_record(bytes(data[:size]))
+    return begin + size, checked(headers, block)
 
 
 # ---------------------------------------------------------------- Spark
@@ -295,15 +391,18 @@ def first_pages(pages: DataFrame, least_bytes: int) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), payload.alias("payload")
     ).withColumn("digest", F.sha2("payload", 256))
+    # short payloads never are revisits: they get keys of their own, which no first has and which spread them
+    short = F.concat(F.lit("short "), F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 20)))
+    keyed = rows.withColumn("key", F.when(F.octet_length("payload") >= least_bytes, F.col("digest")).otherwise(short))
     firsts = (
         rows.where(F.octet_length("payload") >= least_bytes)
-        .groupBy("digest")
+        .groupBy(F.col("digest").alias("key"))
         .agg(F.min("page_id").alias("first"), F.count("*").alias("copies"))
         .where("copies > 1")
-        .select("digest", "first")
+        .select("key", "first")
     )
     later = F.col("first").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") > F.col("first")))
-    return rows.join(firsts, "digest", "left").withColumn("later", later)
+    return with_totals(keyed, firsts, ["key"], "left").drop("key").withColumn("later", later)
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 100, file_bytes: int = 32 << 20, date: str = "2024-01-01T00:00:00Z") -> DataFrame:

@@ -3,6 +3,8 @@
 import hashlib
 import io
 import random
+import tracemalloc
+import zlib
 
 import pytest
 
@@ -152,3 +154,72 @@ def test_random_damage_never_crashes_or_forges():
             data[at : at + rng.randint(0, 40)] = rng.randbytes(rng.randint(0, 40))
         ids, _ = salvaged(bytes(data))
         assert ids == sorted(set(ids)) and set(ids) <= set(range(12)) and len(ids) >= 4
+
+
+def long_headed(i, payload, size):
+    """A record with a header line of some size."""
+    return record(i, payload).replace(b"Content-Type: application", b"X-Long: " + b"y" * size + b"\r\nContent-Type: application", 1)
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_headers_of_any_length(packed):
+    parts = [long_headed(i, b"<html>%d</html>" % i, 200_000 * i) for i in range(4)]
+    parts = [warc.member(p) if packed else p for p in parts]
+    assert salvaged(b"".join(parts)) == ([0, 1, 2, 3], [])
+    assert salvaged(b"junk" + b"".join(parts)) == ([0, 1, 2, 3], [(0, 4)])
+
+
+def test_long_gzip_headers_are_found():
+    def named(data, size):
+        whole = warc.member(data)
+        return whole[:3] + bytes([8]) + whole[4:10] + b"n" * size + b"\0" + whole[10:]
+
+    parts = [named(record(i, b"<html>%d</html>" % i), 20_000 * i) for i in range(4)]
+    assert salvaged(b"".join(parts)) == ([0, 1, 2, 3], [])
+    assert salvaged(b"junk" + b"".join(parts)) == ([0, 1, 2, 3], [(0, 4)])
+
+
+@pytest.mark.parametrize("held", [4 << 20, 0])
+def test_members_unpacked_twice(monkeypatch, held):
+    """A member too large to be kept gives what it would give if it were kept."""
+    monkeypatch.setattr(warc.Member, "HELD", held)
+    test_one_member_with_a_bad_record()
+    test_one_member_cut_off_or_damaged_in_its_middle()
+    test_random_damage_never_crashes_or_forges()
+    for damage in ("flip", "cut", "zero", "junk"):
+        test_damage_costs_one_record(True, damage)
+
+
+def test_a_large_member_takes_little_memory():
+    """An archive of 200 MB compressed as one member."""
+    payload = random.Random(1).randbytes(1000) * 1000
+    packer = zlib.compressobj(1, zlib.DEFLATED, 31)
+    data = b"".join(packer.compress(record(i, payload)) for i in range(200)) + packer.flush()
+    tracemalloc.start()
+    ids = [f["page_id"] for *_, f in warc.salvage(warc.Archive(io.BytesIO(data), len(data)))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids == list(range(200)) and peak < 40 << 20
+
+
+def test_copies_of_a_hot_page_are_split(spark):
+    html = "<html>" + "the one page that a third of the table holds " * 20
+    pages = [(i, f"http://x/{i}", html if i % 3 else f"{i} {html}") for i in range(6000)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(8)
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        found = warc.first_pages(frame, 100)
+        assert sum(row["later"] for row in found.collect()) == 3999
+        assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
