@@ -164,9 +164,12 @@ FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN
 SUFFIX_DEDUP = """
 WITH docs AS (
     SELECT doc_id, hex(encode(coalesce(text, ''))) AS spelled FROM documents
+), parts AS ( -- 512 bytes and the 49 behind them, so that no string is cut out of a long one
+    SELECT doc_id, c, length(spelled) // 2 AS n, substr(spelled, 1024 * c + 1, 1122) AS part
+    FROM (SELECT doc_id, spelled, unnest(generate_series(0, (length(spelled) // 2 - 1) // 512)) AS c FROM docs WHERE length(spelled) > 0)
 ), places AS (
-    SELECT doc_id, p, substr(spelled, 2 * p - 1, 2) AS byte, CASE WHEN 2 * p + 98 <= length(spelled) THEN substr(spelled, 2 * p - 1, 100) END AS string
-    FROM (SELECT doc_id, spelled, unnest(generate_series(1, length(spelled) // 2)) AS p FROM docs)
+    SELECT doc_id, 512 * c + i AS p, substr(part, 2 * i - 1, 2) AS byte, CASE WHEN 512 * c + i + 49 <= n THEN substr(part, 2 * i - 1, 100) END AS string
+    FROM (SELECT *, unnest(generate_series(1, least(512, n - 512 * c))) AS i FROM parts)
 ), repeated AS (
     SELECT string, min(doc_id) AS first FROM places WHERE string IS NOT NULL GROUP BY string HAVING min(doc_id) <> max(doc_id)
 ), marked AS (
