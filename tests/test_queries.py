@@ -60,7 +60,7 @@ def test_building_the_timeline_runs_no_job(spark):
     assert not jobs
 
 
-@pytest.mark.parametrize("missing", ["corpus_pipeline", "odskein.llm", "numpy", "zstandard", "pyarrow"])
+@pytest.mark.parametrize("missing", ["corpus_pipeline", "odskein.llm", "numpy", "zstandard"])
 def test_the_rest_stands_without_the_text_part(missing):
     """Without the text part, or a library that only it needs, the other queries are there."""
     code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
