@@ -1,9 +1,9 @@
 """Connected components of an undirected graph, by alternating star operations.
 
 Each round hangs the larger neighbours of every node, then the smaller ones, onto the smallest
-neighbour known. Groupings are minima with partial sums, joins have one row for each node on one
-side, so a node with very many neighbours is split by AQE. Every round is written to the shared
-folder, which keeps lineage short and survives lost executors.
+neighbour known. Groupings are minima with partial sums; joins have one row for each node on one
+side and shuffle both, so AQE can split a node with very many neighbours (see ``with_totals``). Every
+round is written to the shared folder, which keeps lineage short and survives lost executors.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odskein.llm.shared import drop_paths, reopened, stored_path
+from odskein.operators.lookups import with_totals
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -47,14 +48,14 @@ def _oriented(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("b", "a"))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    hung = both.where("b > a").join(least, "a")
+    hung = with_totals(both.where("b > a"), least, ["a"])
     return hung.select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     oriented = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = oriented.groupBy("a").agg(F.min("b").alias("least"))
-    hung = oriented.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    hung = with_totals(oriented, least, ["a"]).where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return hung.union(least.select("a", F.col("least").alias("b"))).distinct()
 
 

@@ -30,6 +30,7 @@ from pyspark.sql.types import StructType
 
 from odskein.llm.components import components
 from odskein.llm.shared import carried, given_back, stored
+from odskein.operators.lookups import with_totals
 
 SEED = 42
 BITS = 64
@@ -210,7 +211,7 @@ def groups(rows: DataFrame, radius: int) -> DataFrame:
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
     )
     heads = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    return stored(labelled.join(heads, "root").select("fingerprint", "root", "component_id"), "groups")
+    return stored(with_totals(labelled, heads, ["root"]).select("fingerprint", "root", "component_id"), "groups")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import pytest
 import xxhash
 
+from odskein.llm import components as stars
 from odskein.llm import simhash
 from odskein.llm.components import components
 from tests.llm.samples import odd_rows, prose
@@ -108,3 +109,27 @@ def test_components_of_a_chain_a_star_and_loops(spark):
     found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert found == {**{i: 0 for i in range(31)}, **{100 + i: 100 for i in range(60)}, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("step, edge", [(stars._large_star, "id AS a, hot AS b"), (stars._small_star, "hot AS a, id AS b")])
+def test_a_node_with_many_neighbours_is_split(spark, step, edge):
+    """The joins of a round have two shuffles of their own, which AQE can split."""
+    hot = {stars._large_star: "0", stars._small_star: "1000000"}[step]
+    edges = spark.range(1, 40001, 1, 8).selectExpr("id", f"IF(id % 3 > 0, {hot}, {hot} + id) AS hot").selectExpr(*edge.split(", "))
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        hung = step(edges)
+        hung.collect()
+        assert "SortMergeJoin(skew=true)" in hung._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
