@@ -7,7 +7,9 @@ score. Only document labels are learned from.
 
 Training is bounded: at most ``sample_docs`` labelled documents of at most ``sample_chars``
 characters, chosen by a hash of their id, are described by Spark and fitted on the driver. Scoring
-goes over every document, a slice of its text at a time.
+goes over every document whole. A text longer than ``SLICE`` bytes is described a slice at a time,
+cut between passages; its attention is summed up as the slices come (largest exponent, sum of
+weights, weighted sum), so memory does not grow with the text.
 
 Defined results: a null or empty text is one passage without characters and gets that passage's
 score; labels that are not 0 or 1 are not learned from, of several labels of a document the
@@ -18,6 +20,7 @@ empty table gives no rows. Nothing but the text is an input of a score.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,9 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from odskein.llm.shared import carried, given_back
 from odskein.llm.token_files import slices
 
 PASSAGE = 80
+# Text described at once, in bytes.
+SLICE = 1_000_000
 # Character classes of bytes: every ASCII punctuation mark that prose or markup uses is one.
 _MARKS = b" \n\t.,;:!?'\"-()[]{}<>#*$%&|/\\=_@+~^`"
 _CLASS = np.zeros(256, np.int64)
@@ -68,6 +74,29 @@ def passage_counts(texts: list[bytes], words: int = PASSAGE) -> tuple[np.ndarray
     return np.bincount(pairs, minlength=len(edges) * FEATURES).reshape(len(edges), FEATURES), passages
 
 
+def passage_slices(text: bytes, words: int = PASSAGE, size: int = SLICE) -> Iterator[np.ndarray]:
+    """``passage_counts`` of one text, some passages at a time."""
+    at = 0
+    while at < len(text) or not at:
+        upto, cut = at + size, None
+        while upto < len(text) and cut is None:
+            data = np.frombuffer(text, np.uint8, upto - at, at)
+            space = np.concatenate([[True], (data == 32) | ((data >= 9) & (data <= 13))])
+            starts = np.flatnonzero(space[:-1] & ~space[1:])
+            whole = (len(starts) - 1) // words * words
+            if whole > 0:
+                cut = at + int(starts[whole])
+            else:  # words so long that no passage ends here
+                upto += size
+        if cut is None:
+            yield passage_counts([text[at:]], words)[0]
+            return
+        counts, _ = passage_counts([text[at:cut]], words)
+        counts[-1, _CLASS[text[cut - 1]] * CLASSES + _CLASS[text[cut]]] += 1  # the pair that the cut parts
+        yield counts
+        at = cut
+
+
 def described(counts: np.ndarray) -> np.ndarray:
     """Square roots of the shares of the class pairs; zeros for a passage without any."""
     total = counts.sum(axis=1, keepdims=True)
@@ -128,6 +157,17 @@ class Model:
         counts, sizes = passage_counts(texts)
         return self.forward(described(counts), sizes)["score"].astype(np.float64)
 
+    def long_score(self, text: bytes, size: int = SLICE) -> float:
+        """The score of one text, from slices of it."""
+        most, total, weighted = -np.inf, 0.0, np.zeros(len(self.c), np.float64)
+        for counts in passage_slices(text, size=size):
+            h = np.tanh(described(counts) @ self.w + self.b)
+            e = ((np.tanh(h @ self.v) * _sigmoid(h @ self.u)) @ self.q).astype(np.float64)
+            high = max(most, float(e.max()))
+            a = np.exp(e - high)
+            total, weighted, most = total * np.exp(most - high) + a.sum(), weighted * np.exp(most - high) + a @ h, high
+        return float(_sigmoid(weighted / total @ self.c + self.d[0]))
+
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
@@ -206,8 +246,13 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
             texts = [(t or "").encode("utf-8", "replace") for t in batch.column("text").to_pylist()]
             scores = np.full(len(texts), 0.5)
             if model is not None:
-                for first, last in slices([len(t) for t in texts], 1_000_000):
-                    scores[first:last] = model.scores(texts[first:last])
+                for first, last in slices([len(t) for t in texts], SLICE):
+                    # a slice ends with the row that fills it, so only its last text can be a long one
+                    long = len(texts[last - 1]) > SLICE
+                    if last - first > long:
+                        scores[first : last - long] = model.scores(texts[first : last - long])
+                    if long:
+                        scores[last - 1] = model.long_score(texts[last - 1])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(scores)], names=[*names, "score"])
 
     from pyspark.sql.types import DoubleType, StructType
@@ -216,6 +261,12 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.select(*names).mapInArrow(run, schema)
 
 
+def kept(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+    """The documents that score at least ``least``, with all their columns, also one named ``score``."""
+    rows = docs.select(*carried(docs), F.col("text").cast("string").alias("text"))
+    return given_back(scored(rows, model).where(F.col("score") >= least), docs)
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents whose labels are never learned from."""
     return F.crc32(doc_id.cast("string")) % 4 == 2

@@ -1,6 +1,8 @@
 """The classifier's held-out accuracy and gradients, and the whole pipeline."""
 
 import os
+import random
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -9,7 +11,7 @@ import pytest
 import corpus_pipeline
 from odskein.llm import passage_quality as quality
 from odskein.llm.queries import QUERIES
-from tests.llm.samples import odd_rows
+from tests.llm.samples import odd_rows, prose
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -137,3 +139,42 @@ def test_queries_match_sql(spark, name):
     found = db.execute(ORACLE[name])
     expected = canonical([c[0] for c in found.description], found.fetchall())
     assert spark_rows(QUERIES[name](spark, FOLDER)) == expected
+
+
+def test_long_texts_are_scored_in_slices():
+    """Slices of a text give its passages and its score."""
+    rng = random.Random(6)
+    model = quality.Model.fresh(32, 16, 5)
+    texts = [prose(3000, 1), "a " * 5000, "x" * 9000, " \n" * 700 + prose(100, 2) + "   ", "", "word " + "y" * 4000 + " " + prose(500, 3)]
+    texts += ["".join(rng.choices(["a", "bb ", " ", "\n", "é", "9."], k=rng.randint(1, 4000))) for _ in range(30)]
+    for text in map(str.encode, texts):
+        for size in (100, 999, 10**6):
+            parts = list(quality.passage_slices(text, size=size))
+            assert np.array_equal(np.concatenate(parts), quality.passage_counts([text])[0])
+            assert model.long_score(text, size) == pytest.approx(model.scores([text])[0], abs=1e-5)
+
+
+def test_a_very_long_text_takes_little_memory():
+    model = quality.Model.fresh(32, 16, 5)
+    text = b"a " * 4_000_000
+    tracemalloc.start()
+    model.long_score(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20
+
+
+def test_long_rows_among_short_ones(docs_of, monkeypatch):
+    monkeypatch.setattr(quality, "SLICE", 500)
+    model = quality.Model.fresh(32, 16, 5)
+    rows = [(i, prose(n, i)) for i, n in enumerate([5, 400, 3, 3, 300, 200, 1, 90, 90])] + [(50, None), (51, "")]
+    found = {r["doc_id"]: r["score"] for r in quality.scored(docs_of(rows), model).collect()}
+    for doc_id, text in rows:
+        assert found[doc_id] == pytest.approx(model.scores([(text or "").encode()])[0], abs=1e-5)
+
+
+def test_a_column_named_score_comes_through(docs_of):
+    model = quality.Model.fresh(32, 16, 5)
+    docs = docs_of([(1, prose(50, 1)), (2, prose(50, 2))]).withColumnRenamed("lang", "score")
+    kept = quality.kept(docs, model, 0.0)
+    assert kept.columns == docs.columns and {r["score"] for r in kept.collect()} == {"en"}
