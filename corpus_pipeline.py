@@ -19,9 +19,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the passage classifier scores at 0.7 or more."""
     labels = table(spark, sf_dir, "labels")
     model = passage_quality.learn(docs, labels.where(~passage_quality.held_out(F.col("doc_id"))))
-    if model is None:
-        return docs
-    return passage_quality.scored(docs, model).where(F.col("score") >= KEEP_SCORE).select(*docs.columns)
+    return docs if model is None else passage_quality.kept(docs, model, KEEP_SCORE)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
