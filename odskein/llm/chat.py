@@ -34,7 +34,10 @@ SIGN = "␛"
 _ESCAPED = re.compile("|".join(re.escape(c) for c in sorted(CONTROLS, key=len, reverse=True)))
 _TURNS = re.compile(re.escape(TURN) + "(.*?)" + re.escape(SAYS) + "(.*?)" + re.escape(DONE), re.S)
 PART_CHARS = 1_000_000
-FORMATTED = "conv_id long, part long, n_turns long, formatted string, ids array<int>, loss array<boolean>, spans array<struct<begin:int,finish:int>>"
+FORMATTED = (
+    "conv_id long, part long, n_turns long, formatted string, ids array<int>, loss array<boolean>, begins array<int>, "
+    "finishes array<int>, spans array<struct<begin:int,finish:int>>"
+)
 
 
 def escape(text: str) -> str:
@@ -65,7 +68,10 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 def loss_tokens(offsets: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """A mask over tokens with sorted (begin, end) offsets, and the text that the masked tokens cover."""
+    """A mask over tokens with sorted (begin, end) offsets, and the text that the masked tokens cover.
+
+    Where a token reaches over a span's edge, so does the text covered.
+    """
     mask = np.zeros(len(offsets), bool)
     covered = []
     for begin, end in spans:
@@ -73,12 +79,21 @@ def loss_tokens(offsets: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.n
         last = int(np.searchsorted(offsets[:, 0], end, "left"))
         mask[first:last] = True
         if first < last:
-            covered.append((max(begin, int(offsets[first, 0])), min(end, int(offsets[last - 1, 1]))))
+            covered.append((int(offsets[first, 0]), int(offsets[last - 1, 1])))
     return mask, covered
 
 
+def masked_spans(loss: np.ndarray, begins: np.ndarray, finishes: np.ndarray) -> list[tuple[int, int]]:
+    """Where the text of the masked tokens stands: one span for each run of them."""
+    turns = np.flatnonzero(np.diff(loss.astype(np.int8), prepend=0, append=0))
+    return [(int(begins[a]), int(finishes[b - 1])) for a, b in zip(turns[::2], turns[1::2])]
+
+
 def formatted(turns: DataFrame, tokenizer_path: str, speaker: str = "assistant", ranges: int | None = None) -> DataFrame:
-    """One row for each conversation (or part of a long one): text, ids, loss mask, masked spans.
+    """One row for each conversation (or part of a long one).
+
+    It has the text, the token ids, for each token whether it is under the loss mask and where in the text
+    it begins and finishes, and the spans of the text that the mask is meant to cover.
 
     ``ranges`` fixes the number of tasks; by default Spark chooses it.
     """
@@ -95,10 +110,11 @@ def formatted(turns: DataFrame, tokenizer_path: str, speaker: str = "assistant",
         def row(conv_id, held):
             text, spans = render(held, speaker)
             encoded = tokenizer.encode(text, add_special_tokens=False)
-            mask, covered = loss_tokens(np.array(encoded.offsets, np.int64).reshape(-1, 2), spans)
+            offsets = np.array(encoded.offsets, np.int64).reshape(-1, 2)
+            mask, covered = loss_tokens(offsets, spans)
             if covered != spans:
                 raise ValueError(f"tokens of conversation {conv_id} cross a turn's edge")
-            return conv_id, part, len(held), text, encoded.ids, mask.tolist(), covered
+            return conv_id, part, len(held), text, encoded.ids, mask.tolist(), *offsets.T.tolist(), spans
 
         conv_id, held, size = None, [], 0
         for batch in batches:
@@ -128,7 +144,7 @@ def formatted(turns: DataFrame, tokenizer_path: str, speaker: str = "assistant",
 
 def _batch(rows):
     if rows:
-        conv, part, n, text, ids, loss, spans = zip(*rows)
+        conv, part, n, text, ids, loss, begins, finishes, spans = zip(*rows)
         span = pa.struct([("begin", pa.int32()), ("finish", pa.int32())])
         yield pa.RecordBatch.from_arrays(
             [
@@ -138,9 +154,11 @@ def _batch(rows):
                 pa.array(text, pa.string()),
                 pa.array(ids, pa.list_(pa.int32())),
                 pa.array(loss, pa.list_(pa.bool_())),
+                pa.array(begins, pa.list_(pa.int32())),
+                pa.array(finishes, pa.list_(pa.int32())),
                 pa.array([[{"begin": a, "finish": b} for a, b in s] for s in spans], pa.list_(span)),
             ],
-            names=["conv_id", "part", "n_turns", "formatted", "ids", "loss", "spans"],
+            names=["conv_id", "part", "n_turns", "formatted", "ids", "loss", "begins", "finishes", "spans"],
         )
 
 
@@ -150,7 +168,7 @@ DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
 def digests(parts: DataFrame) -> DataFrame:
     """What the formatted text of each conversation says, read back from it: one row for each.
 
-    A digest is made front to back, so a conversation's parts are hashed by one task, one at a time.
+    Turns are parsed from the text; the text to learn from is that of the tokens under the mask. A digest is made front to back, so a conversation's parts are hashed by one task, one at a time.
     """
 
     def run(batches):
@@ -162,7 +180,7 @@ def digests(parts: DataFrame) -> DataFrame:
 
         for batch in batches:
             out = []
-            for at, text, spans in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "spans"))):
+            for at, text, *tokens in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss", "begins", "finishes"))):
                 if state is None or at != conv_id:
                     if state is not None:
                         out.append(done())
@@ -170,8 +188,8 @@ def digests(parts: DataFrame) -> DataFrame:
                 for role, said in parse(text):
                     state[0] += 1
                     state[1].update(f"{role}\n{said}\n".encode("utf-8", "replace"))
-                for span in spans:
-                    said = unescape(text[span["begin"] : span["finish"]])
+                for begin, finish in masked_spans(*map(np.array, tokens)):
+                    said = unescape(text[begin:finish])
                     state[2] += len(said)
                     state[3].update(said.encode("utf-8", "replace"))
                 state[4] += len(text)
@@ -180,7 +198,7 @@ def digests(parts: DataFrame) -> DataFrame:
             yield from _digest_batch([done()])
 
     key = [F.col("conv_id").asc_nulls_first(), F.col("part").asc()]
-    ordered = parts.select("conv_id", "part", "formatted", "spans").repartition("conv_id").sortWithinPartitions(*key)
+    ordered = parts.select("conv_id", "part", "formatted", "loss", "begins", "finishes").repartition("conv_id").sortWithinPartitions(*key)
     return ordered.mapInArrow(run, DIGESTS)
 
 

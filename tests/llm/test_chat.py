@@ -5,6 +5,8 @@ import hashlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from odskein.llm import chat
 from tests.llm.samples import prose
@@ -84,9 +86,35 @@ def test_escape_is_reversible_and_leaves_no_control():
 
 def test_spans_between_tokens():
     mask, covered = chat.loss_tokens(np.array([(0, 2), (2, 5), (5, 5), (5, 9)]), [(2, 5), (7, 8)])
-    assert mask.tolist() == [False, True, False, True] and covered == [(2, 5), (7, 8)]
+    assert mask.tolist() == [False, True, False, True] and covered == [(2, 5), (5, 9)]
 
 
 def test_no_rows(spark):
     parts = chat.formatted(spark.createDataFrame([], TURNS), TOKENIZER)
     assert chat.digests(parts).count() == 0
+
+
+def test_a_token_over_an_edge_is_seen():
+    """A token that reaches out of a turn's text covers more than the span."""
+    offsets = np.array([(0, 3), (3, 12), (12, 15)])
+    mask, covered = chat.loss_tokens(offsets, [(5, 10)])
+    assert mask.tolist() == [False, True, False] and covered == [(3, 12)]
+    mask, covered = chat.loss_tokens(offsets, [(3, 12)])
+    assert covered == [(3, 12)]
+
+
+def test_digests_read_the_mask(spark):
+    rows = [(1, 0, "user", "ask", 0, ""), (1, 1, "assistant", "tell", 0, "")]
+    parts = chat.formatted(spark.createDataFrame(rows, TURNS), TOKENIZER)
+    unmasked = parts.withColumn("loss", F.transform("loss", lambda _: F.lit(False)))
+    assert [r["loss_chars"] for r in chat.digests(parts).collect()] == [4]
+    assert [r["loss_chars"] for r in chat.digests(unmasked).collect()] == [0]
+
+
+def test_marks_that_are_no_tokens_are_crossed(monkeypatch):
+    """Marks that are no tokens of their own let others cross a turn's edge."""
+    monkeypatch.setattr(chat, "DONE", "ked<|done|>")
+    text, spans = chat.render([("assistant", "wal")])
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    offsets = np.array(tokenizer.encode(text, add_special_tokens=False).offsets).reshape(-1, 2)
+    assert chat.loss_tokens(offsets, spans)[1] != spans
