@@ -114,7 +114,7 @@ def formatted(turns: DataFrame, tokenizer_path: str, speaker: str = "assistant",
             mask, covered = loss_tokens(offsets, spans)
             if covered != spans:
                 raise ValueError(f"tokens of conversation {conv_id} cross a turn's edge")
-            return conv_id, part, len(held), text, encoded.ids, mask.tolist(), *offsets.T.tolist(), spans
+            return conv_id, part, len(held), text, np.array(encoded.ids, np.int32), mask, *offsets.T.astype(np.int32), spans
 
         conv_id, held, size = None, [], 0
         for batch in batches:
@@ -145,6 +145,7 @@ def formatted(turns: DataFrame, tokenizer_path: str, speaker: str = "assistant",
 def _batch(rows):
     if rows:
         conv, part, n, text, ids, loss, begins, finishes, spans = zip(*rows)
+        ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
         span = pa.struct([("begin", pa.int32()), ("finish", pa.int32())])
         yield pa.RecordBatch.from_arrays(
             [
@@ -152,10 +153,7 @@ def _batch(rows):
                 pa.array(part, pa.int64()),
                 pa.array(n, pa.int64()),
                 pa.array(text, pa.string()),
-                pa.array(ids, pa.list_(pa.int32())),
-                pa.array(loss, pa.list_(pa.bool_())),
-                pa.array(begins, pa.list_(pa.int32())),
-                pa.array(finishes, pa.list_(pa.int32())),
+                *(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(column))) for column in (ids, loss, begins, finishes)),
                 pa.array([[{"begin": a, "finish": b} for a, b in s] for s in spans], pa.list_(span)),
             ],
             names=["conv_id", "part", "n_turns", "formatted", "ids", "loss", "begins", "finishes", "spans"],
@@ -180,7 +178,11 @@ def digests(parts: DataFrame) -> DataFrame:
 
         for batch in batches:
             out = []
-            for at, text, *tokens in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss", "begins", "finishes"))):
+            lists = [batch.column(c) for c in ("loss", "begins", "finishes")]
+            edges = lists[0].offsets.to_numpy()
+            flat = [column.values.to_numpy(zero_copy_only=False) for column in lists]
+            for i, (at, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted")))):
+                tokens = [values[edges[i] : edges[i + 1]] for values in flat]
                 if state is None or at != conv_id:
                     if state is not None:
                         out.append(done())
@@ -188,7 +190,7 @@ def digests(parts: DataFrame) -> DataFrame:
                 for role, said in parse(text):
                     state[0] += 1
                     state[1].update(f"{role}\n{said}\n".encode("utf-8", "replace"))
-                for begin, finish in masked_spans(*map(np.array, tokens)):
+                for begin, finish in masked_spans(*tokens):
                     said = unescape(text[begin:finish])
                     state[2] += len(said)
                     state[3].update(said.encode("utf-8", "replace"))
