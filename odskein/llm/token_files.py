@@ -12,13 +12,14 @@ and reads no rows; columns other than the two named are not looked at.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
 import types
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,16 @@ CACHE_WORDS = 500_000
 # A cut in front of a run of such white space is a cut of the tokenizer's too.
 _SPACE = np.isin(np.arange(256), list(b" \n\t\r"))
 OTHER_SPACE = re.compile(r"[^\S \n]")
+# Bytes of plain words: ASCII letters, and the first bytes of the two that spell U+00C0 to U+027F and
+# U+0400 to U+047F, which are letters but for two; what else is printed in ASCII and is no digit.
+LETTER, MARK = 1, 2
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[[c for c in range(33, 127) if not chr(c).isalnum()]] = MARK
+_KINDS[[*range(65, 91), *range(97, 123), *range(0xC3, 0xCA), 0xD0, 0xD1]] = LETTER
+# The characters by which byte-level tokenizers name the bytes.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_NAMES = np.arange(256, dtype="<u2")
+_NAMES[[b for b in range(256) if b not in _SHOWN]] = np.arange(256, 512 - len(_SHOWN))
 
 
 def worker_memo(key, make: Callable):
@@ -56,10 +67,12 @@ class KnownPieces:
     """The pieces a worker remembers, as arrays: spelling, hash, ids, and how often they were met.
 
     A hash finds a piece and its spelling decides. Pieces are looked up in two sorted lists of
-    hashes, a long one and a short one of those that came last, so that adding some is cheap.
+    hashes, a long one and a short one of those that came last, so that adding some is cheap; so are
+    the arrays longer than what they hold.
     """
 
     def __init__(self):
+        self.count = self.spelled_to = self.flat_to = 0
         self.spelled = np.empty(0, np.uint8)
         self.flat = np.empty(0, np.int32)
         self.begins, self.starts, self.sizes, self.uses = (np.empty(0, np.int64) for _ in range(4))
@@ -68,10 +81,13 @@ class KnownPieces:
         self.lists = [(np.empty(0, np.uint64), np.empty(0, np.int64))] * 2
 
     def __len__(self) -> int:
-        return len(self.begins)
+        return self.count
 
     def find(self, hashes: np.ndarray, data: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """The number of each piece of ``data``; -1 if it is not known, -2 if another has its hash."""
+        """The number of each piece of ``data``; -1 if it is not known, -2 if another has its hash.
+
+        Hashes in ascending order are found fastest.
+        """
         numbers = np.full(len(hashes), -1)
         for keys, values in self.lists:
             if len(keys):
@@ -85,15 +101,17 @@ class KnownPieces:
 
     def add(self, hashes: np.ndarray, spelled: np.ndarray, lengths: np.ndarray, flat: np.ndarray, sizes: np.ndarray, whole: np.ndarray) -> np.ndarray:
         """Remember new pieces, no two of one hash; their numbers."""
-        numbers = np.arange(len(self), len(self) + len(hashes))
-        self.begins = np.concatenate([self.begins, len(self.spelled) + np.cumsum(lengths) - lengths])
-        self.spelled = np.concatenate([self.spelled, spelled])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.flat = np.concatenate([self.flat, flat])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.whole = np.concatenate([self.whole, whole])
-        self.uses = np.concatenate([self.uses, np.zeros(len(hashes), np.int64)])
+        count = self.count
+        numbers = np.arange(count, count + len(hashes))
+        self.begins = _put(self.begins, count, self.spelled_to + np.cumsum(lengths) - lengths)
+        self.spelled = _put(self.spelled, self.spelled_to, spelled)
+        self.lengths = _put(self.lengths, count, lengths)
+        self.starts = _put(self.starts, count, self.flat_to + np.cumsum(sizes) - sizes)
+        self.flat = _put(self.flat, self.flat_to, flat)
+        self.sizes = _put(self.sizes, count, sizes)
+        self.whole = _put(self.whole, count, whole)
+        self.uses = _put(self.uses, count, np.zeros(len(hashes), np.int64))
+        self.count, self.spelled_to, self.flat_to = count + len(hashes), self.spelled_to + len(spelled), self.flat_to + len(flat)
         long, short = self.lists
         short = _merged(short, (hashes, numbers))
         if len(short[0]) > max(100_000, len(long[0]) // 8):
@@ -103,7 +121,7 @@ class KnownPieces:
 
     def kept(self, most: int) -> "KnownPieces":
         """Those met more than once, the ``most`` frequent of them, counted anew."""
-        chosen = np.flatnonzero(self.uses > 1)
+        chosen = np.flatnonzero(self.uses[: self.count] > 1)
         if len(chosen) > most:
             chosen = np.sort(chosen[np.argsort(-self.uses[chosen], kind="stable")[:most]])
         hashes = np.empty(len(self), np.uint64)
@@ -116,6 +134,16 @@ class KnownPieces:
         return few
 
 
+def _put(held: np.ndarray, at: int, more: np.ndarray) -> np.ndarray:
+    """``held``, or a longer copy, with ``more`` written behind its first ``at`` values."""
+    if at + len(more) > len(held):
+        longer = np.empty(max(at + len(more), len(held) * 3 // 2), held.dtype)
+        longer[:at] = held[:at]
+        held = longer
+    held[at : at + len(more)] = more
+    return held
+
+
 def _merged(*lists: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     keys, values = (np.concatenate(columns) for columns in zip(*lists))
     order = np.argsort(keys, kind="stable")
@@ -141,12 +169,17 @@ class WordEncoder:
 
     Such a tokenizer never merges across the start of a run of white space that follows other
     text, so a text's ids are those of its pieces, in order; a piece is a run of white space and the
-    word behind it. Texts that hold an added token, or words that begin or end in other white space,
-    are encoded whole.
+    word behind it. Where the tokenizer's pattern is known, a mark behind an ASCII letter starts a
+    piece too. Texts that hold an added token, or words that begin or end in other white space, are
+    encoded whole.
 
     Pieces are found and told apart by whole arrays. Of pieces with one hash the last stands for
     those that equal it byte by byte; where two different pieces have one hash, the text of the one
     that is not remembered is encoded whole.
+
+    A new piece goes through the whole tokenizer, unless its cuts are plain: the tokenizer's own
+    pattern leaves a word of letters in one part with the blank in front of it, and the marks behind it
+    in another. Such parts go to the tokenizer's model itself.
     """
 
     def __init__(self, tokenizer):
@@ -158,6 +191,8 @@ class WordEncoder:
         for token, i in tokenizer.get_vocab().items():
             self.bytes_of[i] = len(token)
         self.known = KnownPieces()
+        self.model = _model_alone(tokenizer)
+        self.table = np.zeros(1 << 20, np.int32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the number of ids of each text."""
@@ -172,6 +207,9 @@ class WordEncoder:
         space = _SPACE[data]
         first = np.zeros(len(data) + 1, bool)
         first[1:-1] = space[1:] & ~space[:-1]
+        if self.model is not None:
+            kinds = _KINDS[data]
+            first[1:-1] |= (kinds[1:] == MARK) & (kinds[:-1] == LETTER) & (data[:-1] < 0x80)
         first[bounds] = True
         first[-1] = False
         begins = np.flatnonzero(first)
@@ -183,7 +221,7 @@ class WordEncoder:
             last = upto
         which = np.concatenate(parts) if parts else np.empty(0, np.int64)
         known = self.known
-        known.uses += np.bincount(which[which >= 0], minlength=len(known))
+        np.add.at(known.uses, which[which >= 0], 1)
         # a piece without a number makes its text odd, so its ids do not matter
         strange, which = which < 0, np.maximum(which, 0)
         sizes = known.sizes[which]
@@ -210,7 +248,7 @@ class WordEncoder:
         at = begins - begins[0]
         hashes = mixed((sums[ends - begins[0]] - sums[at]) * powers(len(sums))[1][at])
         del sums
-        table = np.zeros(1 << 20, np.int32)
+        table = self.table
         slot = (hashes >> np.uint64(44)).astype(np.int64)
         place = np.arange(len(begins))
         table[slot] = place  # the last piece of a slot stands for those that equal it
@@ -222,35 +260,105 @@ class WordEncoder:
         alone[copies] = False
         model = np.where(alone, place, model)
         own = np.flatnonzero(alone)
+        own = own[np.argsort(hashes[own])]
         numbers = self.known.find(hashes[own], data, begins[own], lengths[own])
         # of new pieces with one hash the first is learnt, the others are told apart by the next look
         fresh = np.flatnonzero(numbers == -1)
-        _, firsts = np.unique(hashes[own[fresh]], return_index=True)
-        learnt = own[fresh[firsts]]
-        if len(learnt):
-            self._learn(raw, data, begins[learnt], ends[learnt], hashes[learnt])
-            again = own[fresh]
-            numbers[fresh] = self.known.find(hashes[again], data, begins[again], lengths[again])
+        new = hashes[own[fresh]]
+        first = np.ones(len(fresh), bool)
+        first[1:] = new[1:] != new[:-1]
+        if len(fresh):
+            learnt = own[fresh[first]]
+            numbers[fresh[first]] = self._learn(raw, data, begins[learnt], ends[learnt], hashes[learnt])
+            rest = fresh[~first]
+            again = own[rest]
+            numbers[rest] = self.known.find(hashes[again], data, begins[again], lengths[again])
         every = np.empty(len(begins), np.int64)
         every[own] = numbers
         return every[model]
 
-    def _learn(self, raw: bytes, data: np.ndarray, begins: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
+    def _learn(self, raw: bytes, data: np.ndarray, begins: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The numbers of new pieces, which are remembered."""
+        numbers = np.empty(len(begins), np.int64)
+        lengths = ends - begins
+        spelled = data[ranges(begins, lengths)]
+        plain, letters = _plain(spelled, lengths)
+        if self.model is None:
+            plain[:] = False
+        if plain.any():
+            spelled = spelled[np.repeat(plain, lengths)]
+            numbers[plain] = self._learn_plain(spelled, lengths[plain], letters[plain], hashes[plain])
+        if not plain.all():
+            numbers[~plain] = self._learn_any(raw, data, begins[~plain], ends[~plain], hashes[~plain])
+        return numbers
+
+    def _learn_plain(self, spelled: np.ndarray, lengths: np.ndarray, letters: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        text = _NAMES[spelled].tobytes().decode("utf-16-le")
+        stops = np.cumsum(lengths)
+        starts = stops - lengths
+        broken = spelled[starts] == 10
+        marks = starts + (broken | (spelled[starts] == 32)) + letters
+        cuts = np.unique(np.concatenate([starts, starts[broken] + 1, marks, [len(text)]])).tolist()
+        tokens = self.model.tokenize
+        flat = np.array([t.id for a, b in pairwise(cuts) for t in tokens(text[a:b])], np.int32)
+        return self.known.add(hashes, spelled, lengths, flat, self._sizes(flat, lengths), np.zeros(len(lengths), bool))
+
+    def _sizes(self, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """How many ids each piece has, of which the lengths in bytes are given."""
+        return np.diff(np.searchsorted(np.cumsum(self.bytes_of[flat]), np.cumsum(lengths), "left") + 1, prepend=0)
+
+    def _learn_any(self, raw: bytes, data: np.ndarray, begins: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         # pieces of white space and a word keep their cuts side by side, so many are one text
         beside = _SPACE[data[begins]] & ~_SPACE[data[ends - 1]]
         order = np.argsort(~beside, kind="stable")
         begins, ends, hashes, many = begins[order], ends[order], hashes[order], int(beside.sum())
         pieces = [raw[b:e] for b, e in zip(begins.tolist(), ends.tolist())]
-        texts = [b"".join(pieces[at : min(many, at + 256)]).decode("utf-8") for at in range(0, many, 256)]
+        texts = [b"".join(pieces[at : min(many, at + 64)]).decode("utf-8") for at in range(0, many, 64)]
         texts += [piece.decode("utf-8") for piece in pieces[many:]]
         lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         flat = np.fromiter(chain.from_iterable(lists), np.int32, sum(map(len, lists)))
         lengths = ends - begins
-        stops = np.searchsorted(np.cumsum(self.bytes_of[flat]), np.cumsum(lengths), "left") + 1
         odd = np.zeros(len(pieces), bool)
         if OTHER_SPACE.search("".join(texts)):
             odd[:] = [_odd(piece.decode("utf-8")) for piece in pieces]
-        self.known.add(hashes, np.frombuffer(b"".join(pieces), np.uint8), lengths, flat, np.diff(stops, prepend=0), odd)
+        numbers = np.empty(len(pieces), np.int64)
+        numbers[order] = self.known.add(hashes, np.frombuffer(b"".join(pieces), np.uint8), lengths, flat, self._sizes(flat, lengths), odd)
+        return numbers
+
+
+def _model_alone(tokenizer):
+    """The tokenizer's model, which keeps no words; None if the cuts of plain words are not known for it."""
+    from tokenizers import models
+
+    said = json.loads(tokenizer.to_str())
+    cuts, model = said["pre_tokenizer"] or {}, said["model"]
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+    if said["normalizer"] or said["truncation"] or said["padding"] or model["type"] != "BPE" or any(model.get(o) for o in options):
+        return None
+    if cuts.get("type") != "ByteLevel" or not cuts["use_regex"] or cuts["add_prefix_space"]:
+        return None
+    if not {chr(c) for c in _NAMES} <= model["vocab"].keys():
+        return None
+    merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    return models.BPE(model["vocab"], merges, cache_capacity=0)
+
+
+def _plain(spelled: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pieces are a blank, a line break or nothing, then letters, then marks or nothing; bytes of letters."""
+    stops = np.cumsum(lengths)
+    starts = stops - lengths
+    kinds = _KINDS[spelled]
+    second = np.flatnonzero((kinds[:-1] == LETTER) & (spelled[:-1] >= 0x80)) + 1
+    no_letter = (spelled[second - 1] == 0xC3) & ((spelled[second] == 0x97) | (spelled[second] == 0xB7))
+    kinds[second] = np.where(no_letter, 0, LETTER)
+    letter = kinds == LETTER
+    spoilt = kinds == 0
+    spoilt[1:] |= letter[1:] & (kinds[:-1] == MARK)
+    spoilt[starts] = kinds[starts] == 0
+    ahead = (spelled[starts] == 32) | (spelled[starts] == 10)
+    spoilt[starts[ahead]] = False
+    words = np.minimum(starts + ahead, stops - 1)
+    return letter[words] & ~np.logical_or.reduceat(spoilt, starts), np.add.reduceat(letter, starts, dtype=np.int64)
 
 
 def _odd(piece: str) -> bool:

@@ -1,7 +1,9 @@
 """Token files and the piece codec against the libraries themselves."""
 
+import json
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -87,6 +89,41 @@ def test_pieces_with_one_hash_are_told_apart(monkeypatch):
         assert counts[0] == counts[1]
 
 
+def test_plain_words_go_to_the_model_itself():
+    """No word of letters passes through the whole tokenizer, whatever marks stand behind it."""
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    encoder = token_files.WordEncoder(tokenizer)
+    said = []
+
+    def whole(texts, **options):
+        said.extend(texts)
+        return tokenizer.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = SimpleNamespace(encode_batch_fast=whole)
+    text = "Zebra zebra, zebra. été été, Ночь ночь;\nzebra!\nnew (zebra)"
+    ids, _ = encoder.encode([text])
+    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(said) == sorted([",", ".", "!", ")", " (zebra"])
+
+
+@pytest.mark.parametrize("known_pattern", [True, False])
+def test_letters_and_marks_of_all_kinds(known_pattern):
+    with open(BYTE_BPE) as file:
+        said = json.load(file)
+    said["model"]["ignore_merges"] = not known_pattern
+    tokenizer = Tokenizer.from_str(json.dumps(said))
+    encoder = token_files.WordEncoder(tokenizer)
+    assert (encoder.model is not None) == known_pattern
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("aBst'`.,|  \n\t1é×÷ÿǅʰЯҀ҂ª٣\u3000\xa0“ა中", k=25)) for _ in range(2_000)]
+    texts += ["don't", "we'll've", "rock'n'roll's.", "x''s", "\n'tis", " \nword", "\n\nword", "a" * 3_000 + ",", "Ã\x97"]
+    for at in range(0, len(texts), 50):
+        part = texts[at : at + 50]
+        ids, counts = encoder.encode(part)
+        found = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+        assert found == [tokenizer.encode(t, add_special_tokens=False).ids for t in part]
+
+
 def test_long_texts_are_cut_between_pieces(monkeypatch):
     monkeypatch.setattr(token_files, "SLICE_BYTES", 50)
     tokenizer = Tokenizer.from_file(BYTE_BPE)
