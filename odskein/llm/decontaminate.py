@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 from pyspark.sql.window import Window
 
-from odskein.llm.shared import carried, given_back, stored
+from odskein.llm.shared import carried, given_back, let_go, return_memory, stored
 from odskein.llm.token_files import slices
 from odskein.llm.wordhash import hash_words, hash_shingles, spell, words_of
 
@@ -108,11 +108,13 @@ def shingle_counts(docs: DataFrame, shingles: DataFrame) -> DataFrame:
     field, lengths = bit_field(shingles)
 
     def count(batches):
+        let_go()
         for batch in batches:
             for _, _, _, _, _, hashes, doc in _read(batch):
                 for _, values in _places(field, lengths, hashes, doc):
                     found, times = np.unique(values.view(np.int64), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times.astype(np.int64))], names=["shingle", "times"])
+            return_memory()
 
     plain = docs.select(F.col("text").cast("string").alias("text"))
     return plain.mapInArrow(count, "shingle long, times long").groupBy("shingle").agg(F.sum("times").alias("times"))
@@ -145,6 +147,7 @@ def shingle_places(docs: DataFrame, prefixes: DataFrame, width: int, carry: bool
     place = pa.struct([("at", pa.int32()), ("shingle", pa.int64()), ("lead", pa.int32()), ("around", pa.string())])
 
     def find(batches):
+        let_go()
         for batch in batches:
             for first, last, joined, starts, ends, hashes, doc in _read(batch):
                 count = last - first
@@ -165,6 +168,7 @@ def shingle_places(docs: DataFrame, prefixes: DataFrame, width: int, carry: bool
                     ],
                     names=[*names, "n_words", "places"],
                 )
+            return_memory()
 
     plain = docs.select(
         F.monotonically_increasing_id().alias("row"),

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odskein.llm.shared import carried, given_back
+from odskein.llm.shared import carried, given_back, let_go, return_memory
 from odskein.llm.token_files import slices
 
 PASSAGE = 80
@@ -204,6 +204,7 @@ def sample_bags(docs: DataFrame, labels: DataFrame, sample_docs: int, sample_cha
     """Passage counts and labels of at most ``sample_docs`` labelled documents."""
 
     def describe(batches):
+        let_go()
         for batch in batches:
             packed, sizes = [], []
             for text in batch.column("text").to_pylist():
@@ -211,6 +212,7 @@ def sample_bags(docs: DataFrame, labels: DataFrame, sample_docs: int, sample_cha
                 packed.append(zlib.compress(np.minimum(counts, 65535).astype(np.uint16).tobytes(), 1))
                 sizes.append(len(counts))
             yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(sizes, pa.int32()), pa.array(packed, pa.binary())], names=["quality", "size", "counts"])
+            return_memory()
 
     chosen = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -242,6 +244,7 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
     names = [c for c in docs.columns if c != "score"]
 
     def run(batches):
+        let_go()
         for batch in batches:
             texts = [(t or "").encode("utf-8", "replace") for t in batch.column("text").to_pylist()]
             scores = np.full(len(texts), 0.5)
@@ -253,7 +256,9 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
                         scores[first : last - long] = model.scores(texts[first : last - long])
                     if long:
                         scores[last - 1] = model.long_score(texts[last - 1])
+            del texts
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(scores)], names=[*names, "score"])
+            return_memory()
 
     from pyspark.sql.types import DoubleType, StructType
 

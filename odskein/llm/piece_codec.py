@@ -26,16 +26,21 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from odskein.llm.token_files import CACHE_WORDS, Numbered, ranges, slices, worker_memo
+from odskein.llm.shared import return_memory, worker_memo
+from odskein.llm.token_files import CACHE_WORDS, Numbered, _put, ranges, slices
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 VERIFY_EVERY = 64
+# Text encoded at once, in characters, and new words that both libraries encode at once.
+SLICE_CHARS = 250_000
+FRESH_WORDS = 8192
 # A second normaliser message, which is merged into the first: no character map, no prefix, no stripping.
 _AS_SPELLED = b"\x1a\x06\x12\x00\x18\x00\x20\x00"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -200,20 +205,24 @@ class Codec:
     def forget(self) -> None:
         self.known, self.flat = Numbered(), np.empty(0, np.int32)
         self.starts, self.sizes, self.replaced = (np.empty(0, np.int64) for _ in range(3))
+        self.count = self.flat_to = 0
 
     def _learn(self) -> None:
+        """Encode the new words; the arrays are longer than what they hold."""
         fresh, self.known.fresh = self.known.fresh, []
-        if not fresh:
-            return
-        lists = self.rebuilt.encode_words(fresh)
-        theirs = self.plain.encode(fresh, num_threads=1)
-        changed = [a != b for a, b in zip(lists, theirs)]
-        lists = [b if c else a for a, b, c in zip(lists, theirs, changed)]
-        sizes = np.fromiter((len(x) for x in lists), np.int64, len(lists))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.replaced = np.concatenate([self.replaced, np.array(changed, np.int64)])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in lists for i in x), np.int32, int(sizes.sum()))])
+        for at in range(0, len(fresh), FRESH_WORDS):
+            words = fresh[at : at + FRESH_WORDS]
+            lists = self.rebuilt.encode_words(words)
+            theirs = self.plain.encode(words, num_threads=1)
+            changed = [a != b for a, b in zip(lists, theirs)]
+            lists = [b if c else a for a, b, c in zip(lists, theirs, changed)]
+            sizes = np.fromiter((len(x) for x in lists), np.int64, len(lists))
+            total = int(sizes.sum())
+            self.starts = _put(self.starts, self.count, self.flat_to + np.cumsum(sizes) - sizes)
+            self.sizes = _put(self.sizes, self.count, sizes)
+            self.replaced = _put(self.replaced, self.count, np.array(changed, np.int64))
+            self.flat = _put(self.flat, self.flat_to, np.fromiter((i for x in lists for i in x), np.int32, total))
+            self.count, self.flat_to = self.count + len(words), self.flat_to + total
 
     def encode(self, texts: list[str]):
         """Ids of each text, words that took the other library's ids, and whether parity held."""
@@ -270,9 +279,10 @@ def encoded(docs: DataFrame, model_path: str, threads: int = 2) -> DataFrame:
         codec = _started(model_path, threads)
         rebuilt = codec.rebuilt
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for first, last in slices([len(t) for t in texts]):
-                part = texts[first:last]
+            texts = batch.column("text")
+            lengths = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+            for first, last in slices(lengths, SLICE_CHARS):
+                part = [t or "" for t in texts.slice(first, last - first).to_pylist()]
                 lists, replaced, parity = codec.encode(part)
                 trips = [rebuilt.decode(ids.tolist()) == _respelled(rebuilt, text) for ids, text in zip(lists, part)]
                 sizes = np.array([len(x) for x in lists], np.int64)
@@ -281,6 +291,7 @@ def encoded(docs: DataFrame, model_path: str, threads: int = 2) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(first, last - first) for c in names), ids, *map(pa.array, (sizes, replaced, parity, trips))], names=[*names, *new]
                 )
+            return_memory()
 
     plain = docs.select(*names, F.col("text").cast("string").alias("text"))
     return plain.mapInArrow(run, StructType([docs.schema[c] for c in names] + ADDED))

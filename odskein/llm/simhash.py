@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from odskein.llm.components import components
-from odskein.llm.shared import carried, given_back, stored
+from odskein.llm.shared import carried, given_back, let_go, return_memory, stored
 from odskein.operators.lookups import with_totals
 
 SEED = 42
@@ -63,10 +63,12 @@ def fingerprints(docs: DataFrame, shingle: int, carry: bool = False) -> DataFram
     names = ["row", "doc_id", *(f"c{i}" for i in range(len(docs.columns)) if carry)]
 
     def run(batches):
+        let_go()
         for batch in batches:
             values = [fingerprint(text or "", shingle) for text in batch.column("plain").to_pylist()]
             signed = np.array(values, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(signed)], names=[*names, "fingerprint"])
+            return_memory()
 
     plain = docs.select(
         F.monotonically_increasing_id().alias("row"),

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from odskein.llm.shared import carried, given_back, new_path, return_memory, stored
+from odskein.llm.shared import carried, given_back, let_go, new_path, return_memory, stored
 from odskein.llm.token_files import same_bytes
 from odskein.llm.suffix_runs import GRAM, LEAST, Run, differences, front_code, merge, pack, spread, stretches, string_keys, unpack, windows
 
@@ -70,6 +70,7 @@ def write_runs(docs: DataFrame, folder: str, run_bytes: int) -> DataFrame:
     """Store whole rows in files of about ``run_bytes`` of text: their paths, sizes and sample strings."""
 
     def write(batches):
+        let_go()
         filesystem, root = _file(folder)
         filesystem.create_dir(root, recursive=True)
         held, size = [], 0
@@ -163,6 +164,7 @@ def _bounds(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def _send_classes(buckets: int):
     def run(batches):
+        let_go()
         for batch in batches:
             for path in batch.column("run").to_pylist():
                 own = _Classes(_read_run(path))
@@ -427,6 +429,8 @@ def _trim(names: list[str], text_at: int):
             kept = [text[a:b][~goes[a:b]].tobytes().decode("utf-8", "ignore") for a, b in zip(begins.tolist(), ends.tolist())]
             columns = [pa.chunked_array([pa.array(kept, pa.string())]) if i == text_at else table.column(f"c{i}") for i in range(len(names))]
             yield from pa.table(columns, names=[f"c{i}" for i in range(len(names))]).to_batches(max_chunksize=2000)
+            del table, text, ends, goes, kept, columns
+            return_memory()
 
     return run
 

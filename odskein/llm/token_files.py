@@ -15,10 +15,8 @@ from __future__ import annotations
 import json
 import os
 import re
-import sys
-import types
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain, pairwise
 
 import numpy as np
@@ -26,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from odskein.llm.shared import return_memory
+from odskein.llm.shared import return_memory, worker_memo
 from odskein.llm.wordhash import mixed, powers, prefix_sums
 
 IDS_SCHEMA = "doc_id long, n_tokens long, ids array<int>"
@@ -53,16 +51,6 @@ _NAMES = np.arange(256, dtype="<u2")
 _NAMES[[b for b in range(256) if b not in _SHOWN]] = np.arange(256, 512 - len(_SHOWN))
 
 
-def worker_memo(key, make: Callable):
-    """``make()``, once for each Python worker; its tasks share what it remembers."""
-    memo = sys.modules.setdefault("odskein_worker_memo", types.ModuleType("odskein_worker_memo"))
-    if not hasattr(memo, "kept"):
-        memo.kept = {}
-    if key not in memo.kept:
-        memo.kept[key] = make()
-    return memo.kept[key]
-
-
 class KnownPieces:
     """The pieces a worker remembers, as arrays: spelling, hash, ids, and how often they were met.
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from odskein.llm import decontaminate, shared, simhash, suffix_dedup
 from odskein.llm import passage_quality as quality
 from odskein.llm.queries import QUERIES
 from tests.llm.samples import odd_rows, prose
@@ -178,3 +179,34 @@ def test_a_column_named_score_comes_through(docs_of):
     docs = docs_of([(1, prose(50, 1)), (2, prose(50, 2))]).withColumnRenamed("lang", "score")
     kept = quality.kept(docs, model, 0.0)
     assert kept.columns == docs.columns and {r["score"] for r in kept.collect()} == {"en"}
+
+
+TASKS = {
+    "scored": lambda docs: quality.scored(docs, None),
+    "fingerprints": lambda docs: simhash.fingerprints(docs, 4),
+    "repeats": lambda docs: suffix_dedup.repeated_bytes(docs),
+    "places": lambda docs: decontaminate.shingle_places(docs, docs.selectExpr("doc_id shingle", "1 k"), 10),
+    "counts": lambda docs: decontaminate.shingle_counts(docs, docs.selectExpr("doc_id shingle", "1 k")),
+}
+
+
+@pytest.mark.parametrize("name", TASKS)
+def test_tasks_let_go_of_what_a_worker_remembers(docs_of, monkeypatch, name):
+    docs = docs_of([(1, prose(50, 1))])
+    tasks, through = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, *a, **b: tasks.append(task) or through(self, task, *a, **b))
+    TASKS[name](docs)
+    shared.worker_memo("words of an encoder", list)
+    list(tasks[0](iter([])))
+    made = []
+    shared.worker_memo("words of an encoder", lambda: made.append(1))
+    shared.let_go()
+    assert made
+
+
+def test_a_worker_remembers_one_thing():
+    made = []
+    for key in "aabba":
+        shared.worker_memo(key, lambda: made.append(key) or key)
+    shared.let_go()
+    assert made == ["a", "b", "a"]

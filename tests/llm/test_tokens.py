@@ -242,3 +242,17 @@ def test_round_trip(docs_of):
 def test_broken_bytes_decode_to_replacement(spark):
     rows = spark.createDataFrame([(1, [3 + 0xFF, 3 + 0x41]), (2, None), (3, [])], "doc_id long, ids array<int>")
     assert {r["doc_id"]: r["text"] for r in piece_codec.decoded(rows, PIECES).collect()} == {1: "�A", 2: "", 3: ""}
+
+
+def test_words_are_learnt_a_part_at_a_time(monkeypatch):
+    monkeypatch.setattr(piece_codec, "FRESH_WORDS", 3)
+    with open(PIECES, "rb") as file:
+        codec = piece_codec.Codec(file.read())
+    most, through = [], codec.rebuilt.encode_words
+    monkeypatch.setattr(codec.rebuilt, "encode_words", lambda words: most.append(len(words)) or through(words))
+    texts = [prose(40, seed) for seed in range(4)] + [text or "" for text in ODD_TEXTS]
+    own = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for part in (texts[:3], texts, []):
+        lists, _, _ = codec.encode(part)
+        assert [x.tolist() for x in lists] == [own.encode(text) for text in part]
+    assert max(most) == 3 and codec.count == len(codec.known)
